@@ -139,4 +139,157 @@ SELECT count(*) AS total_rows, CAST(sum(n_failures) AS BIGINT) AS total_failures
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(validation_sql())
+    out.update(profile_sql())
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Profiling
+# ---------------------------------------------------------------------------
+
+CUST = list(spec.LOGICAL_TYPES)
+
+
+def _phone_fmt_sql(s: str) -> str:
+    parts = " ".join(f"WHEN {rx(s, p)} THEN {q(n)}" for n, p in spec.PHONE_FORMATS)
+    return f"CASE {parts} ELSE {q(spec.PHONE_OTHER)} END"
+
+
+def _date_shape_sql(s: str) -> str:
+    parts = " ".join(f"WHEN regexp_matches({s}, {q(p)}, 'i') THEN {q(n)}" for n, p in spec.DATE_SHAPES)
+    return f"CASE {parts} ELSE {q(spec.DATE_OTHER)} END"
+
+
+def _tok(c: str) -> str:
+    return strip(f"coalesce({c}, {q(spec.NULL_TOKEN)})")
+
+
+def _issues_local_sql(src="messy") -> str:
+    parts = []
+
+    def add(pred, col, typ, value=None, agev="CAST(NULL AS DOUBLE)"):
+        sev = spec.ISSUE_SEVERITY[typ]
+        parts.append(
+            f"SELECT row_num, '{col}' AS \"column\", '{typ}' AS type, '{sev}' AS severity, "
+            f"{value or col} AS value, {agev} AS age_years FROM {src} WHERE {pred}"
+        )
+
+    for c in spec.DATE_SHAPE_COLUMNS:
+        add(f"lower({_tok(c)}) = 'invalid_date'", c, "invalid_date_string")
+    s = _tok("income")
+    n = f"try_cast({s} AS DOUBLE)"
+    add(f"{s} <> '' AND {n} IS NULL", "income", "non_numeric_income")
+    add(f"{s} <> '' AND NOT isnan({n}) AND {n} < 0", "income", "negative_income")
+    add(f"{s} <> '' AND NOT isnan({n}) AND {n} > 10000000", "income", "income_exceeds_10M")
+    s = _tok("date_of_birth")
+    d = pdate(f"coalesce(date_of_birth, {q(spec.NULL_TOKEN)})", spec.PROFILE_DOB_FORMATS)
+    add(f"{s} <> '' AND lower({s}) <> 'invalid_date' AND {age(d)} > 150", "date_of_birth", "extreme_age",
+        agev=f"round({age(d)}, 1)")
+    s = _tok("created_date")
+    d = pdate(f"coalesce(created_date, {q(spec.NULL_TOKEN)})", spec.PROFILE_CREATED_FORMATS)
+    add(f"{s} <> '' AND lower({s}) <> 'invalid_date' AND {d} > {AS_OF}", "created_date", "future_created_date")
+    dom = ", ".join(q(x) for x in spec.VALID_STATUSES)
+    add(f"{nblank('account_status')} AND lower({strip('account_status')}) NOT IN ({dom})", "account_status",
+        "invalid_account_status")
+    for c in ("first_name", "last_name"):
+        s = _tok(c)
+        up = f"(regexp_matches({s}, '[A-Z]') AND NOT regexp_matches({s}, '[a-z]') AND length({s}) > 1)"
+        low = f"(regexp_matches({s}, '[a-z]') AND NOT regexp_matches({s}, '[A-Z]') AND length({s}) > 1)"
+        add(up, c, "name_all_caps")
+        add(f"NOT {up} AND {low}", c, "name_all_lower")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _phone_issues_sql(src="messy") -> str:
+    s = strip("phone")
+    return f"""SELECT min(row_num) OVER (PARTITION BY v) AS row_num, 'phone' AS "column",
+  'non_standard_phone_format' AS type, 'Medium' AS severity, v AS value, CAST(NULL AS DOUBLE) AS age_years
+FROM (SELECT row_num, {s} AS v FROM {src} WHERE {nblank('phone')}) WHERE {_phone_fmt_sql('v')} <> 'XXX-XXX-XXXX'"""
+
+
+def _hist_sql(vals: str, group: list[str]) -> str:
+    g = ", ".join(group)
+    return f"""SELECT {g}, count(*) AS n_rows, min(row_num) AS first_row,
+  max(CASE WHEN rn = 1 THEN value END) AS example_1, max(CASE WHEN rn = 2 THEN value END) AS example_2
+FROM (SELECT *, row_number() OVER (PARTITION BY {g} ORDER BY row_num) AS rn FROM ({vals})) GROUP BY {g}"""
+
+
+def profile_sql() -> dict[str, str]:
+    out = {}
+
+    def compl(src_cols, src):
+        agg = ", ".join(f"count_if({blank(f'CAST({c} AS VARCHAR)')}) AS m{i}" for i, c in enumerate(src_cols))
+        rows = " UNION ALL ".join(
+            f"SELECT CAST({i + 1} AS BIGINT) AS position, {q(c)} AS \"column\", total, m{i} AS missing FROM a"
+            for i, c in enumerate(src_cols)
+        )
+        return (f"WITH {M if src == 'messy' else 'x AS (SELECT 1)'}, a AS (SELECT count(*) AS total, {agg} FROM {src}) "
+                f"SELECT position, \"column\", total, missing, round(100.0 * (total - missing) / nullif(total, 0), 1) "
+                f"AS complete_pct FROM ({rows})")
+
+    out["profile_completeness"] = compl(CUST, "messy")
+    ocols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    out["profile_completeness_orders"] = compl(ocols, "orders")
+
+    aggs, rows = [], []
+    for i, c in enumerate(CUST):
+        lt = spec.LOGICAL_TYPES[c]
+        nb = nblank(c)
+        if lt == "INT":
+            n = pnum(c)
+            bad = f"NOT coalesce({n} IS NOT NULL AND isfinite({n}) AND {n} = floor({n}), false)"
+        elif lt == "NUMERIC":
+            bad = f"{pnum(c)} IS NULL"
+        elif lt == "DATE":
+            bad = f"{pdate(c, spec.VALIDATE_DATE_FORMATS)} IS NULL"
+        else:
+            bad = "false"
+        aggs += [f"count_if({nb}) AS n{i}", f"count_if({nb} AND {bad}) AS u{i}"]
+        st = "OK" if lt == "STRING" else "FAIL"
+        rows.append(f"SELECT CAST({i + 1} AS BIGINT) AS position, {q(c)} AS \"column\", 'STRING' AS detected, "
+                    f"{q(lt)} AS expected, {q(st)} AS status, n{i} AS non_blank, u{i} AS unparseable FROM a")
+    out["profile_type_conformance"] = _with(M, f"a AS (SELECT {', '.join(aggs)} FROM messy)") + " UNION ALL ".join(rows)
+
+    s = strip("phone")
+    vals = f"SELECT row_num, {s} AS value, {_phone_fmt_sql(s)} AS format FROM messy WHERE {nblank('phone')}"
+    out["profile_phone_formats"] = _with(M) + _hist_sql(vals, ["format"])
+    stacked = " UNION ALL ".join(
+        f"SELECT row_num, {q(c)} AS \"column\", {strip(c)} AS value, {_date_shape_sql(strip(c))} AS format "
+        f"FROM messy WHERE {nblank(c)}" for c in spec.DATE_SHAPE_COLUMNS
+    )
+    out["profile_date_formats"] = _with(M) + _hist_sql(stacked, ['"column"', "format"])
+    out["profile_key_uniqueness"] = _with(M) + (
+        "SELECT customer_id, count(*) AS n_rows, min(row_num) AS first_row FROM messy "
+        "GROUP BY customer_id HAVING count(*) > 1")
+    out["profile_key_uniqueness_lineitem"] = (
+        "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem "
+        "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
+    out["profile_key_summary"] = _with(M) + """SELECT count(*) AS distinct_keys, count_if(n > 1) AS duplicate_keys,
+  CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS duplicate_rows, CAST(sum(n) AS BIGINT) AS total_rows,
+  count_if(n > 1) = 0 AS is_unique FROM (SELECT customer_id, count(*) AS n FROM messy GROUP BY customer_id)"""
+
+    local = _issues_local_sql()
+    phone = _phone_issues_sql()
+    out["issues_invalid_values"] = _with(M) + "SELECT * FROM (" + local + ") WHERE type NOT IN ('invalid_account_status', 'name_all_caps', 'name_all_lower')"
+    out["issues_status"] = _with(M) + "SELECT * FROM (" + local + ") WHERE type = 'invalid_account_status'"
+    out["issues_name_casing"] = _with(M) + "SELECT * FROM (" + local + ") WHERE type IN ('name_all_caps', 'name_all_lower')"
+    out["issues_phone_format"] = _with(M) + phone
+    all_iss = f"iss AS ({local}\nUNION ALL\n{phone})"
+    out["issues_all"] = _with(M, all_iss) + "SELECT * FROM iss"
+    lv = " UNION ALL ".join(
+        f"SELECT CAST({i + 1} AS BIGINT) AS level, {q(s_)} AS severity, {q(spec.SEVERITY_DESCRIPTIONS[s_])} AS description"
+        for i, s_ in enumerate(spec.SEVERITIES))
+    out["issues_by_severity"] = _with(M, all_iss) + f"""SELECT l.level, l.severity, l.description,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS n_issues FROM ({lv}) l
+  LEFT JOIN (SELECT severity, count(*) AS n FROM iss GROUP BY severity) c ON l.severity = c.severity"""
+    out["issues_totals"] = _with(M, all_iss) + """SELECT count_if(type <> 'non_standard_phone_format') AS issues_core,
+  count(*) AS issues_all FROM iss"""
+    anyblank = " OR ".join(blank(c) for c in CUST)
+    out["profile_row_health"] = _with(M, all_iss) + f"""
+, probs AS (SELECT DISTINCT row_num FROM (SELECT row_num FROM iss UNION ALL SELECT row_num FROM messy WHERE {anyblank}))
+, t AS (SELECT (SELECT count(*) FROM messy) AS total_rows, (SELECT count(*) FROM probs) AS problem_rows)
+SELECT total_rows, CAST(10 AS BIGINT) AS total_columns, problem_rows,
+  round(100.0 * problem_rows / nullif(total_rows, 0), 1) AS problem_pct,
+  greatest(total_rows - problem_rows, 0) AS clean_rows,
+  round(100.0 * greatest(total_rows - problem_rows, 0) / nullif(total_rows, 0), 1) AS clean_pct FROM t"""
     return out

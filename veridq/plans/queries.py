@@ -35,4 +35,32 @@ def validation_queries() -> dict[str, Query]:
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(validation_queries())
+    out.update(profile_queries())
     return out
+
+
+def profile_queries() -> dict[str, Query]:
+    from veridq.operators import profile as P
+    from veridq.sources.tables import table
+
+    ms = messy
+    iss = lambda spark, sf: P.issues(ms(spark, sf), AS_OF)
+    return {
+        "profile_completeness": lambda spark, sf: P.completeness(ms(spark, sf)),
+        "profile_completeness_orders": lambda spark, sf: P.completeness(table(spark, sf, "orders")),
+        "profile_type_conformance": lambda spark, sf: P.type_conformance(ms(spark, sf)),
+        "profile_phone_formats": lambda spark, sf: P.phone_formats(ms(spark, sf)),
+        "profile_date_formats": lambda spark, sf: P.date_formats(ms(spark, sf)),
+        "profile_key_uniqueness": lambda spark, sf: P.key_duplicates(ms(spark, sf), ["customer_id"]),
+        "profile_key_uniqueness_lineitem": lambda spark, sf: P.key_duplicates(
+            table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], order_col=None),
+        "profile_key_summary": lambda spark, sf: P.key_uniqueness(ms(spark, sf), ["customer_id"]),
+        "issues_invalid_values": lambda spark, sf: P.local_issues(ms(spark, sf), AS_OF, kinds=("invalid",)),
+        "issues_status": lambda spark, sf: P.local_issues(ms(spark, sf), AS_OF, kinds=("status",)),
+        "issues_name_casing": lambda spark, sf: P.local_issues(ms(spark, sf), AS_OF, kinds=("names",)),
+        "issues_phone_format": lambda spark, sf: P.phone_issues(ms(spark, sf)),
+        "issues_all": iss,
+        "issues_by_severity": lambda spark, sf: P.issues_by_severity(ms(spark, sf), AS_OF),
+        "issues_totals": lambda spark, sf: P.issue_totals(ms(spark, sf), AS_OF),
+        "profile_row_health": lambda spark, sf: P.row_health(ms(spark, sf), AS_OF),
+    }
