@@ -140,6 +140,7 @@ def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(validation_sql())
     out.update(profile_sql())
+    out.update(pii_sql())
     return out
 
 
@@ -293,3 +294,69 @@ SELECT total_rows, CAST(10 AS BIGINT) AS total_columns, problem_rows,
   greatest(total_rows - problem_rows, 0) AS clean_rows,
   round(100.0 * greatest(total_rows - problem_rows, 0) / nullif(total_rows, 0), 1) AS clean_pct FROM t"""
     return out
+
+
+# ---------------------------------------------------------------------------
+# PII
+# ---------------------------------------------------------------------------
+
+def _pii_flags() -> dict[str, str]:
+    def search(c, p):
+        s = _tok(c)
+        return f"({s} <> '' AND regexp_matches({s}, {q(p)}))"
+
+    return {
+        "name": f"({nblank('first_name')} OR {nblank('last_name')})",
+        "email": search("email", spec.EMAIL_SEARCH),
+        "phone": search("phone", spec.PHONE_SEARCH),
+        "address": nblank("address"),
+        "date_of_birth": nblank("date_of_birth"),
+        "income": nblank("income"),
+    }
+
+
+_PII_LABELS = {"name": spec.PII_LABEL_NAME, "email": spec.PII_LABEL_EMAIL, "phone": spec.PII_LABEL_PHONE,
+               "address": spec.PII_LABEL_ADDRESS, "date_of_birth": spec.PII_LABEL_DOB, "income": spec.PII_LABEL_INCOME}
+
+
+def _text_hits_sql(table: str, id_expr: str, id_name: str, cols: list[str]) -> str:
+    pats = {"email": spec.EMAIL_SEARCH, "phone": spec.PHONE_SEARCH, "date": spec.DATE_SEARCH}
+    parts = []
+    for c in cols:
+        for k, p in pats.items():
+            parts.append(f"SELECT {id_expr} AS {id_name}, {q(c)} AS \"column\", {q(k)} AS kind, "
+                         f"CAST(len(regexp_extract_all(CAST({c} AS VARCHAR), {q(p)})) AS BIGINT) AS n_matches FROM {table}")
+    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n_matches > 0"
+
+
+def pii_sql() -> dict[str, str]:
+    out = {}
+    fl = _pii_flags()
+    aggs = ", ".join(f"count_if({nblank(f'CAST({c} AS VARCHAR)')}) AS n{i}" for i, c in enumerate(CUST))
+    rows = " UNION ALL ".join(
+        f"SELECT CAST({i + 1} AS BIGINT) AS position, {q(c)} AS \"column\", "
+        f"{q(spec.PII_REGISTRY.get(c, spec.NON_PII)[0])} AS category, {q(spec.PII_REGISTRY.get(c, spec.NON_PII)[1])} AS risk, "
+        f"n{i} AS non_blank FROM a" for i, c in enumerate(CUST))
+    out["pii_column_classification"] = _with(M, f"a AS (SELECT {aggs} FROM messy)") + rows
+    order = ["email", "phone", "address", "date_of_birth", "name", "income"]
+    aggs = ", ".join(f"count_if({fl[k]}) AS n_{k}" for k in order)
+    rows = " UNION ALL ".join(
+        f"SELECT CAST({i + 1} AS BIGINT) AS position, {q(k)} AS detector, n_{k} AS n_rows, total FROM a"
+        for i, k in enumerate(order))
+    out["pii_coverage"] = _with(M, f"a AS (SELECT count(*) AS total, {aggs} FROM messy)") + (
+        f"SELECT position, detector, n_rows, total, round(100.0 * n_rows / nullif(total, 0), 1) AS pct FROM ({rows})")
+    labels = ", ".join(f"CASE WHEN {fl[k]} THEN {q(v)} END" for k, v in _PII_LABELS.items())
+    out["pii_row_inventory"] = _with(M) + f"""SELECT row_num, {_tok('customer_id')} AS customer_id,
+  CASE WHEN len(l) > 0 THEN array_to_string(l, ', ') ELSE {q(spec.NO_PII)} END AS pii_types,
+  CAST(len(l) AS BIGINT) AS n_types
+FROM (SELECT row_num, customer_id, list_filter([{labels}], lambda x: x IS NOT NULL) AS l FROM messy)"""
+    anyp = " OR ".join(fl.values())
+    out["pii_at_risk"] = _with(M) + f"SELECT count(*) AS total_rows, count(*) AS at_risk_rows, count_if({anyp}) AS rows_with_any_pii FROM messy"
+    out["pii_text_scan_documents"] = _text_hits_sql("documents", "doc_id", "doc_id", ["text"])
+    out["pii_text_scan_pages"] = _text_hits_sql("pages", "page_id", "page_id", ["url", "html"])
+    out["pii_text_scan_conversations"] = _text_hits_sql(
+        "conversations", "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)", "msg_id", ["text"])
+    out["pii_text_summary_documents"] = (
+        "SELECT \"column\", kind, count(*) AS rows_with_hits, CAST(sum(n_matches) AS BIGINT) AS n_matches FROM ("
+        + _text_hits_sql("documents", "doc_id", "doc_id", ["text"]) + ") GROUP BY 1, 2")
+    return out

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veridq import spec
 from veridq.operators import validate as V
@@ -36,6 +37,7 @@ def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(validation_queries())
     out.update(profile_queries())
+    out.update(pii_queries())
     return out
 
 
@@ -64,3 +66,21 @@ def profile_queries() -> dict[str, Query]:
         "issues_totals": lambda spark, sf: P.issue_totals(ms(spark, sf), AS_OF),
         "profile_row_health": lambda spark, sf: P.row_health(ms(spark, sf), AS_OF),
     }
+
+
+def pii_queries() -> dict[str, Query]:
+    from veridq.operators import pii as D
+    from veridq.sources.tables import table
+
+    return {
+        "pii_column_classification": lambda spark, sf: D.classification(messy(spark, sf)),
+        "pii_coverage": lambda spark, sf: D.coverage(messy(spark, sf)),
+        "pii_row_inventory": lambda spark, sf: D.inventory_text(messy(spark, sf)),
+        "pii_at_risk": lambda spark, sf: D.at_risk(messy(spark, sf)),
+        "pii_text_scan_documents": lambda spark, sf: D.text_hits(table(spark, sf, "documents"), "doc_id", ["text"]),
+        "pii_text_scan_pages": lambda spark, sf: D.text_hits(table(spark, sf, "pages"), "page_id", ["url", "html"]),
+        "pii_text_scan_conversations": lambda spark, sf: D.text_hits(
+            table(spark, sf, "conversations").withColumn("msg_id", F.concat_ws(":", "conv_id", "turn")),
+            "msg_id", ["text"]),
+        "pii_text_summary_documents": lambda spark, sf: D.text_summary(table(spark, sf, "documents"), "doc_id", ["text"]),
+    }

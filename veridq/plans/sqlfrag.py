@@ -52,7 +52,7 @@ def rx(v: str, pattern: str) -> str:
 def title(v: str) -> str:
     return (
         f"array_to_string(list_transform(regexp_extract_all({v}, '[A-Za-z]+|[^A-Za-z]+'), "
-        f"x -> upper(x[1]) || lower(x[2:])), '')"
+        f"lambda x: upper(x[1]) || lower(x[2:])), '')"
     )
 
 
