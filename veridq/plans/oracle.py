@@ -141,6 +141,7 @@ def all_sql() -> dict[str, str]:
     out.update(validation_sql())
     out.update(profile_sql())
     out.update(pii_sql())
+    out.update(clean_mask_sql())
     return out
 
 
@@ -360,3 +361,190 @@ FROM (SELECT row_num, customer_id, list_filter([{labels}], lambda x: x IS NOT NU
         "SELECT \"column\", kind, count(*) AS rows_with_hits, CAST(sum(n_matches) AS BIGINT) AS n_matches FROM ("
         + _text_hits_sql("documents", "doc_id", "doc_id", ["text"]) + ") GROUP BY 1, 2")
     return out
+
+
+# ---------------------------------------------------------------------------
+# Cleaning and masking
+# ---------------------------------------------------------------------------
+
+def _clean_ctes(src="messy") -> str:
+    """s1: step values and flags; cl: cleaned rows with keep-first rank."""
+    ph_d0 = digits(strip("phone"))
+    ph_d = f"(CASE WHEN length({ph_d0}) = 11 AND starts_with({ph_d0}, '1') THEN substr({ph_d0}, 2) ELSE {ph_d0} END)"
+    ph_fmt = f"(substr({ph_d}, 1, 3) || '-' || substr({ph_d}, 4, 3) || '-' || substr({ph_d}, 7, 4))"
+    sel = [
+        "*",
+        f"{ph_d} AS ph_d",
+        f"{ph_fmt} AS ph_fmt",
+        f"({nblank('phone')} AND length({ph_d}) = 10 AND {ph_fmt} <> phone) AS ph_chg",
+        f"({nblank('phone')} AND length({ph_d}) <> 10) AS ph_flag",
+    ]
+    for c in ("date_of_birth", "created_date"):
+        p = pdate(c, spec.CLEAN_DATE_FORMATS)
+        iso = f"strftime({p}, '%Y-%m-%d')"
+        lit = f"({nblank(c)} AND lower({strip(c)}) = 'invalid_date')"
+        sel += [
+            f"{lit} AS {c}_lit",
+            f"{iso} AS {c}_iso",
+            f"({nblank(c)} AND NOT {lit} AND {p} IS NULL) AS {c}_bad",
+            f"({nblank(c)} AND NOT {lit} AND {p} IS NOT NULL AND {iso} <> {strip(c)}) AS {c}_chg",
+        ]
+    for c in ("first_name", "last_name"):
+        sel += [f"{title(strip(c))} AS {c}_t", f"({nblank(c)} AND {title(strip(c))} <> {strip(c)}) AS {c}_chg"]
+    s1 = f"s1 AS (SELECT {', '.join(sel)} FROM {src})"
+    sel2 = ["*", "CASE WHEN ph_chg THEN ph_fmt ELSE phone END AS phone_c"]
+    for c in ("date_of_birth", "created_date"):
+        sel2.append(f"CASE WHEN {c}_lit OR {c}_bad THEN NULL WHEN {c}_chg THEN {c}_iso ELSE {c} END AS {c}_c")
+    for c in ("first_name", "last_name"):
+        sel2.append(f"CASE WHEN {c}_chg THEN {c}_t ELSE {c} END AS {c}_c3")
+    s2 = f"s2 AS (SELECT {', '.join(sel2)} FROM s1)"
+    fills = spec.FILL_VALUES
+    sel3 = ["*"]
+    for c in ("first_name", "last_name"):
+        sel3.append(f"CASE WHEN {blank(c + '_c3')} THEN {q(fills[c])} ELSE {c}_c3 END AS {c}_c")
+    for c in ("address", "account_status", "income"):
+        sel3.append(f"CASE WHEN {blank(c)} THEN {q(fills[c])} ELSE {c} END AS {c}_f")
+    s3 = f"s3 AS (SELECT {', '.join(sel3)} FROM s2)"
+    inc_n = f"coalesce({pnum('income_f')}, 0.0)"
+    dob_p = pdate("date_of_birth_c", spec.AGE_FLAG_FORMATS)
+    sel4 = [
+        "*",
+        f"({nblank('income_f')} AND NOT isnan({inc_n}) AND {inc_n} < 0) AS inc_neg",
+        f"({nblank('date_of_birth_c')} AND {age(dob_p)} > 150) AS dob_old",
+        f"printf('%.1f', {age(dob_p)}) AS dob_age",
+    ]
+    s4 = f"s4 AS (SELECT {', '.join(sel4)} FROM s3)"
+    inc_c = "CASE WHEN inc_neg THEN '0' ELSE income_f END"
+    inc_cn = f"coalesce({pnum(inc_c)}, 0.0)"
+    dom = ", ".join(q(x) for x in spec.VALID_STATUSES)
+    sel5 = [
+        "*",
+        f"{inc_c} AS income_c",
+        "CASE WHEN dob_old THEN NULL ELSE date_of_birth_c END AS date_of_birth_c5",
+        f"({nblank(inc_c)} AND NOT isnan({inc_cn}) AND {inc_cn} > 10000000) AS inc_hi",
+        f"({nblank('account_status_f')} AND lower({strip('account_status_f')}) NOT IN ({dom})) AS st_bad",
+        f"coalesce({pdate('created_date_c', spec.FUTURE_FLAG_FORMATS)} > {AS_OF}, false) AS cr_fut",
+        "row_number() OVER (PARTITION BY customer_id ORDER BY row_num) AS rn",
+        "min(row_num) OVER (PARTITION BY customer_id) AS first_row",
+    ]
+    s5 = f"s5 AS (SELECT {', '.join(sel5)} FROM s4)"
+    cl = """cl AS (SELECT row_num, customer_id, first_name_c AS first_name, last_name_c AS last_name, email,
+  phone_c AS phone, date_of_birth_c5 AS date_of_birth, address_f AS address, income_c AS income,
+  account_status_f AS account_status, created_date_c AS created_date FROM s5 WHERE rn = 1)"""
+    return ",\n".join([s1, s2, s3, s4, s5, cl])
+
+
+def _audit_sql() -> str:
+    e = []
+
+    def add(where, step, col, action, old, new="NULL", note="NULL", src="s5"):
+        e.append(f"SELECT row_num, {q(step)} AS step, {q(col)} AS \"column\", {q(action)} AS action, "
+                 f"CAST({old} AS VARCHAR) AS old_value, CAST({new} AS VARCHAR) AS new_value, "
+                 f"CAST({note} AS VARCHAR) AS note FROM {src} WHERE {where}")
+
+    add("ph_chg", "phone_format", "phone", "change", "phone", "ph_fmt")
+    add("ph_flag", "phone_format", "phone", "flag", "phone", "NULL",
+        "'Could not normalise: ' || CAST(length(ph_d) AS VARCHAR) || ' digits after stripping'")
+    for c in ("date_of_birth", "created_date"):
+        add(f"{c}_chg", "date_format", c, "change", c, f"{c}_iso")
+        add(f"{c}_lit", "date_format", c, "null", c, "NULL", q("Literal 'invalid_date' — set to NaN"))
+        add(f"{c}_bad", "date_format", c, "null", c, "NULL",
+            f"'Unparseable date string ''' || {strip(c)} || ''' — set to NaN'")
+    for c in ("first_name", "last_name"):
+        add(f"{c}_chg", "name_case", c, "change", c, f"{c}_t", f"'''' || {strip(c)} || ''' -> ''' || {c}_t || ''''")
+    for c in ("first_name", "last_name"):
+        add(blank(f"{c}_c3"), "fill_missing", c, "fill", f"{c}_c3", q(spec.FILL_VALUES[c]))
+    for c in ("address", "income", "account_status"):
+        add(blank(c), "fill_missing", c, "fill", c, q(spec.FILL_VALUES[c]))
+    add("rn > 1", "dedupe", "customer_id", "drop", "customer_id", "NULL",
+        "'duplicate of row ' || CAST(first_row AS VARCHAR)")
+    add("rn = 1 AND inc_neg", "negative_income", "income", "change", "income_f", "'0'")
+    add("rn = 1 AND inc_hi", "income_over_limit", "income", "flag", "income_c", "NULL", q("flagged for review (NOT modified)"))
+    add("rn = 1 AND st_bad", "invalid_status", "account_status", "flag", "account_status_f", "NULL", q("flagged for review"))
+    add("rn = 1 AND cr_fut", "future_created_date", "created_date", "flag", "created_date_c", "NULL",
+        q("flagged for review (NOT modified)"))
+    add("rn = 1 AND dob_old", "extreme_age", "date_of_birth", "null", "date_of_birth_c", "NULL",
+        "'(~' || dob_age || ' years old)'")
+    return "aud AS (" + "\nUNION ALL\n".join(e) + ")"
+
+
+def _mask_exprs() -> dict[str, str]:
+    def name(x):
+        s = strip(x)
+        return f"CASE WHEN {blank(x)} THEN '' WHEN {s} = '[UNKNOWN]' THEN {s} ELSE substr({s}, 1, 1) || '***' END"
+
+    def email(x):
+        s = strip(x)
+        loc = f"split_part({s}, '@', 1)"
+        return (f"CASE WHEN {blank(x)} THEN '' WHEN strpos({s}, '@') = 0 THEN {s} "
+                f"ELSE (CASE WHEN {loc} <> '' THEN substr({loc}, 1, 1) || '***' ELSE '***' END) || '@' || "
+                f"substr({s}, strpos({s}, '@') + 1) END")
+
+    def phone(x):
+        s = strip(x)
+        d0 = digits(s)
+        d = f"(CASE WHEN length({d0}) = 11 AND starts_with({d0}, '1') THEN substr({d0}, 2) ELSE {d0} END)"
+        return (f"CASE WHEN {blank(x)} THEN '' WHEN length({d}) = 10 THEN '***-***-' || substr({d}, 7, 4) "
+                f"WHEN length({s}) >= 4 THEN '***' || right({s}, 4) ELSE '****' END")
+
+    def address(x):
+        s = strip(x)
+        return f"CASE WHEN {x} IS NULL THEN '' WHEN {s} IN ('', '[UNKNOWN]') THEN {s} ELSE '[MASKED ADDRESS]' END"
+
+    def dob(x):
+        s = strip(x)
+        h = f"split_part({s}, '-', 1)"
+        return f"CASE WHEN {blank(x)} THEN '' WHEN length({h}) = 4 THEN {h} || '-**-**' ELSE '****-**-**' END"
+
+    return {"first_name": name("first_name"), "last_name": name("last_name"), "email": email("email"),
+            "phone": phone("phone"), "address": address("address"), "date_of_birth": dob("date_of_birth")}
+
+
+def clean_mask_sql() -> dict[str, str]:
+    out = {}
+    base = _with(M, _clean_ctes(), _audit_sql())
+    out["clean_full"] = base + "SELECT * FROM cl"
+    steps = {
+        "clean_phone": "step = 'phone_format'",
+        "clean_dates": "step = 'date_format'",
+        "clean_names": "step = 'name_case'",
+        "clean_fill": "step = 'fill_missing'",
+        "clean_dedupe": "step = 'dedupe'",
+        "clean_negative_income": "step = 'negative_income'",
+        "clean_extreme_age": "step = 'extreme_age'",
+        "clean_flags": "action = 'flag'",
+    }
+    for name, cond in steps.items():
+        out[name] = base + f"SELECT * FROM aud WHERE {cond}"
+    out["clean_audit_counts"] = base + 'SELECT step, "column", action, count(*) AS n_rows FROM aud GROUP BY 1, 2, 3'
+    out["clean_summary"] = base + """SELECT (SELECT count(*) FROM messy) AS rows_in, (SELECT count(*) FROM cl) AS rows_out,
+  (SELECT count(*) FROM messy) - (SELECT count(*) FROM cl) AS rows_dropped,
+  (SELECT count_if(date_of_birth_c IS NULL OR trim(date_of_birth_c) = '') FROM s5) AS dob_missing,
+  CAST(10 AS BIGINT) AS columns"""
+    out["clean_before_after"] = _with(M, _clean_ctes(), f"fb AS ({failures_sql('messy')})",
+                                      f"fa AS ({failures_sql('cl')})") + """
+SELECT 'before' AS phase, "column", count(*) AS n_failures FROM fb GROUP BY 2
+UNION ALL SELECT 'after', "column", count(*) FROM fa GROUP BY 2"""
+    out["clean_negative_balance"] = ("SELECT c_custkey, c_acctbal AS old_value, 0.0 AS new_value FROM customer "
+                                     "WHERE NOT isnan(c_acctbal) AND c_acctbal < 0")
+    mx = _mask_exprs()
+    cl = _with(M, _clean_ctes())
+    out["mask_names"] = cl + f"SELECT row_num, {mx['first_name']} AS first_name, {mx['last_name']} AS last_name FROM cl"
+    out["mask_email"] = cl + f"SELECT row_num, {mx['email']} AS email FROM cl"
+    out["mask_phone"] = cl + f"SELECT row_num, {mx['phone']} AS phone FROM cl"
+    out["mask_address"] = cl + f"SELECT row_num, {mx['address']} AS address FROM cl"
+    out["mask_dob"] = cl + f"SELECT row_num, {mx['date_of_birth']} AS date_of_birth FROM cl"
+    full_cols = ", ".join(mx.get(c, c) + f" AS {c}" for c in ["row_num"] + CUST)
+    masked = f"mk AS (SELECT {full_cols} FROM cl)"
+    out["mask_full"] = _with(M, _clean_ctes(), masked) + "SELECT * FROM mk"
+    out["mask_sample"] = _with(M, _clean_ctes(), masked) + """
+SELECT * FROM (SELECT *, 'before' AS phase FROM cl ORDER BY row_num LIMIT 3)
+UNION ALL SELECT * FROM (SELECT *, 'after' AS phase FROM mk ORDER BY row_num LIMIT 3)"""
+    cnt = ", ".join(
+        (f"count_if(({mx[c]}) IS DISTINCT FROM {c}) AS c{i}" if c in mx else f"CAST(0 AS BIGINT) AS c{i}")
+        for i, c in enumerate(CUST))
+    rows = " UNION ALL ".join(
+        f"SELECT rows, CAST({i + 1} AS BIGINT) AS position, {q(c)} AS \"column\", "
+        f"{q('MASKED' if c in mx else 'INTACT')} AS treatment, c{i} AS n_changed FROM a" for i, c in enumerate(CUST))
+    out["mask_summary"] = _with(M, _clean_ctes(), f"a AS (SELECT count(*) AS rows, {cnt} FROM cl)") + rows
+    return out

@@ -38,6 +38,7 @@ def all_queries() -> dict[str, Query]:
     out.update(validation_queries())
     out.update(profile_queries())
     out.update(pii_queries())
+    out.update(clean_mask_queries())
     return out
 
 
@@ -84,3 +85,43 @@ def pii_queries() -> dict[str, Query]:
             "msg_id", ["text"]),
         "pii_text_summary_documents": lambda spark, sf: D.text_summary(table(spark, sf, "documents"), "doc_id", ["text"]),
     }
+
+
+def clean_mask_queries() -> dict[str, Query]:
+    from veridq.operators import clean as C
+    from veridq.operators import mask as MK
+    from veridq.sources.tables import table
+
+    def aud(cond):
+        return lambda spark, sf: C.audit(messy(spark, sf), AS_OF).where(cond)
+
+    def cleaned(spark, sf):
+        return C.clean(messy(spark, sf), AS_OF)
+
+    def masked_cols(*cols):
+        return lambda spark, sf: MK.mask(cleaned(spark, sf)).select("row_num", *cols)
+
+    return {
+        "clean_phone": aud(F.col("step") == "phone_format"),
+        "clean_dates": aud(F.col("step") == "date_format"),
+        "clean_names": aud(F.col("step") == "name_case"),
+        "clean_fill": aud(F.col("step") == "fill_missing"),
+        "clean_dedupe": aud(F.col("step") == "dedupe"),
+        "clean_negative_income": aud(F.col("step") == "negative_income"),
+        "clean_extreme_age": aud(F.col("step") == "extreme_age"),
+        "clean_flags": aud(F.col("action") == "flag"),
+        "clean_full": cleaned,
+        "clean_audit_counts": lambda spark, sf: C.audit_counts(C.audit(messy(spark, sf), AS_OF)),
+        "clean_summary": lambda spark, sf: C.summary(messy(spark, sf), AS_OF),
+        "clean_before_after": lambda spark, sf: C.before_after(messy(spark, sf), AS_OF),
+        "clean_negative_balance": lambda spark, sf: C.fix_negative_numeric(
+            table(spark, sf, "customer"), "c_custkey", "c_acctbal"),
+        "mask_names": masked_cols("first_name", "last_name"),
+        "mask_email": masked_cols("email"),
+        "mask_phone": masked_cols("phone"),
+        "mask_address": masked_cols("address"),
+        "mask_dob": masked_cols("date_of_birth"),
+        "mask_full": lambda spark, sf: MK.mask(cleaned(spark, sf)),
+        "mask_sample": lambda spark, sf: MK.sample(cleaned(spark, sf), MK.mask(cleaned(spark, sf))),
+        "mask_summary": lambda spark, sf: MK.mask_summary(cleaned(spark, sf)),
+    }

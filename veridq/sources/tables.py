@@ -10,8 +10,23 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer input splits than the cluster has cores.
+
+    A single-file / single-row-group table is read by one task; everything
+    downstream of it would then run on one core.  When (and only when) the scan
+    has fewer partitions than ``defaultParallelism``, a round-robin repartition
+    after the column-pruned scan spreads the rows; large inputs with enough
+    splits are left untouched (no extra exchange)."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(cores) if n < cores else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
     """Parquet scan; Catalyst prunes columns and pushes filters into it."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_small else df
