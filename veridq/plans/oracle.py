@@ -142,6 +142,7 @@ def all_sql() -> dict[str, str]:
     out.update(profile_sql())
     out.update(pii_sql())
     out.update(clean_mask_sql())
+    out.update(extension_sql())
     return out
 
 
@@ -548,3 +549,77 @@ UNION ALL SELECT * FROM (SELECT *, 'after' AS phase FROM mk ORDER BY row_num LIM
         f"{q('MASKED' if c in mx else 'INTACT')} AS treatment, c{i} AS n_changed FROM a" for i, c in enumerate(CUST))
     out["mask_summary"] = _with(M, _clean_ctes(), f"a AS (SELECT count(*) AS rows, {cnt} FROM cl)") + rows
     return out
+
+
+# ---------------------------------------------------------------------------
+# Extensions
+# ---------------------------------------------------------------------------
+
+def extension_sql() -> dict[str, str]:
+    out = {}
+    dob = pdate("date_of_birth", spec.VALIDATE_DATE_FORMATS)
+    cr = pdate("created_date", spec.VALIDATE_DATE_FORMATS)
+    inc = pnum("income")
+    out["ext_cross_column"] = _with(M) + f"""
+SELECT row_num, 'date_of_birth,created_date' AS "column", 'cross.created_before_birth' AS rule_id,
+  'Account created before the date of birth' AS rule, concat_ws(' / ', date_of_birth, created_date) AS value
+FROM messy WHERE {cr} < {dob}
+UNION ALL
+SELECT row_num, 'date_of_birth,income', 'cross.minor_with_income', 'Income reported for an age below 18',
+  concat_ws(' / ', date_of_birth, income) FROM messy WHERE {age(dob)} < 18 AND NOT isnan({inc}) AND {inc} > 0"""
+    out["ext_soft_duplicates"] = _with(M) + f"""
+SELECT lower({strip('email')}) AS match_key, count(*) AS n_rows, count(DISTINCT {strip('customer_id')}) AS n_ids,
+  min(row_num) AS first_row FROM messy WHERE {nblank('email')} GROUP BY 1 HAVING count(DISTINCT {strip('customer_id')}) > 1"""
+
+    def nm(c):
+        return f"regexp_replace(lower({strip(f'coalesce({c}, {chr(39)}{chr(39)})')}), '[^a-z0-9]+', ' ', 'g')"
+
+    full = f"concat_ws('|', {nm('first_name')}, {nm('last_name')}, {nm('address')})"
+    block = (f"concat_ws('|', substr({nm('first_name')}, 1, 1), {nm('last_name')}, "
+             f"trim(regexp_replace({nm('address')}, '[0-9]+', '', 'g'), ' '))")
+    out["ext_fuzzy_duplicates"] = _with(M, f"b AS (SELECT row_num, {block} AS block, {full} AS f FROM messy "
+                                            f"WHERE {nblank('last_name')} AND {nblank('address')})") + """,
+r AS (SELECT block, min(row_num) AS rep_row, arg_min(f, row_num) AS rep_full FROM b GROUP BY block)
+SELECT b.row_num, r.rep_row, CAST(levenshtein(b.f, r.rep_full) AS BIGINT) AS distance, b.block
+FROM b JOIN r USING (block) WHERE b.row_num <> r.rep_row AND levenshtein(b.f, r.rep_full) <= 2"""
+
+    def z(src, idc, grp, val, ctes=""):
+        return f"""WITH {ctes}base AS (SELECT {idc}, {grp} AS grp, {val} AS x FROM {src}),
+b2 AS (SELECT * FROM base WHERE x IS NOT NULL AND NOT isnan(x) AND grp IS NOT NULL),
+st AS (SELECT grp, avg(x) AS mean, stddev_samp(x) AS sd FROM b2 GROUP BY grp)
+SELECT {idc}, grp, round(x, 4) AS value, round((x - mean) / sd, 4) AS z FROM b2 JOIN st USING (grp)
+WHERE sd IS NOT NULL AND sd > 0 AND abs((x - mean) / sd) > 3"""
+
+    out["ext_zscore_outliers"] = z("orders", "o_orderkey", "o_orderpriority", "o_totalprice")
+    out["ext_zscore_income"] = z("messy", "row_num", f"lower({strip('account_status')})", pnum("income"), M + ",\n")
+    from veridq.operators.extend import RELATIONS
+    rel = " UNION ALL ".join(
+        f"SELECT CAST({i + 1} AS BIGINT) AS position, {q(name)} AS relation, "
+        f"(SELECT count(*) FROM {ct}) AS child_rows, "
+        f"(SELECT count(*) FROM {ct} c WHERE c.{fk} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {pt} p WHERE p.{pk} = c.{fk})) AS orphan_rows"
+        for i, (name, ct, fk, pt, pk) in enumerate(RELATIONS))
+    out["ext_referential_orphans"] = rel
+    out["ext_quarantine_split"] = _with(M, _row_failures_sql()) + """,
+a AS (SELECT count(*) AS t, count_if(n_failures > 0) AS qn FROM rs)
+SELECT 'valid' AS partition, t - qn AS n_rows, round(qn * 100.0 / t, 2) AS batch_failure_pct,
+  CASE WHEN qn * 1.0 / t > 0.2 THEN 'HOLD' ELSE 'PASS' END AS gate FROM a
+UNION ALL SELECT 'quarantine', qn, round(qn * 100.0 / t, 2), CASE WHEN qn * 1.0 / t > 0.2 THEN 'HOLD' ELSE 'PASS' END FROM a"""
+    out["ext_failure_drift"] = """WITH d AS (
+  SELECT CAST(ts AS DATE) AS day, count(*) AS n_events,
+    count_if(event_type = 'error' OR value IS NULL OR isnan(value) OR value < 0 OR NOT coalesce(json_valid(props), false)) AS n_failed
+  FROM events GROUP BY 1),
+r AS (SELECT day, n_events, n_failed, n_failed * 100.0 / n_events AS rate FROM d),
+p AS (SELECT a.day, avg(b.rate) AS avg_prev FROM r a JOIN r b ON b.day >= a.day - 7 AND b.day <= a.day - 1 GROUP BY a.day)
+SELECT CAST(r.day AS VARCHAR) AS day, n_events, n_failed, round(rate, 4) AS failure_pct, round(avg_prev, 4) AS avg_prev_pct,
+  CASE WHEN avg_prev IS NULL THEN 'OK' WHEN abs(rate - avg_prev) > 5 THEN 'DRIFT' ELSE 'OK' END AS status
+FROM r LEFT JOIN p USING (day)"""
+    out["ext_review_queue"] = _with(M, _clean_ctes(), _audit_sql()) + """SELECT a.row_num, a.step, a."column", a.old_value,
+  a.note, c.customer_id, c.email FROM aud a JOIN cl c USING (row_num) WHERE a.action = 'flag'"""
+    n = pnum("income")
+    br = " ".join(f"WHEN {n} < {hi} THEN {q(lbl)}" for lo, hi, lbl in
+                  [(0, 25000, "0-25k"), (25000, 50000, "25k-50k"), (50000, 100000, "50k-100k"), (100000, 250000, "100k-250k")])
+    out["ext_income_brackets"] = _with(M, _clean_ctes()) + f"""SELECT row_num,
+  CASE WHEN {n} IS NULL OR isnan({n}) THEN 'unknown' WHEN {n} < 0 THEN 'negative' {br} ELSE '250k+' END AS income_bracket
+FROM cl"""
+    return out

@@ -39,6 +39,7 @@ def all_queries() -> dict[str, Query]:
     out.update(profile_queries())
     out.update(pii_queries())
     out.update(clean_mask_queries())
+    out.update(extension_queries())
     return out
 
 
@@ -125,3 +126,23 @@ def clean_mask_queries() -> dict[str, Query]:
         "mask_sample": lambda spark, sf: MK.sample(cleaned(spark, sf), MK.mask(cleaned(spark, sf))),
         "mask_summary": lambda spark, sf: MK.mask_summary(cleaned(spark, sf)),
     }
+
+
+def extension_queries() -> dict[str, Query]:
+    from veridq.operators import clean as C
+    from veridq.operators import extend as XT
+    from veridq.sources.tables import table
+
+    return {
+        "ext_cross_column": lambda spark, sf: XT.cross_column_failures(messy(spark, sf), AS_OF),
+        "ext_soft_duplicates": lambda spark, sf: XT.soft_duplicates(messy(spark, sf)),
+        "ext_fuzzy_duplicates": lambda spark, sf: XT.fuzzy_duplicates(messy(spark, sf)),
+        "ext_zscore_outliers": lambda spark, sf: XT.totalprice_outliers(table(spark, sf, "orders")),
+        "ext_zscore_income": lambda spark, sf: XT.income_outliers(messy(spark, sf)),
+        "ext_referential_orphans": lambda spark, sf: XT.referential_report(lambda n: table(spark, sf, n)),
+        "ext_quarantine_split": lambda spark, sf: XT.quarantine_split(messy(spark, sf), AS_OF),
+        "ext_failure_drift": lambda spark, sf: XT.failure_drift(table(spark, sf, "events")),
+        "ext_review_queue": lambda spark, sf: XT.review_queue(messy(spark, sf), AS_OF),
+        "ext_income_brackets": lambda spark, sf: C.clean(messy(spark, sf), AS_OF).select(
+            "row_num", XT.income_bracket("income").alias("income_bracket")),
+    }
