@@ -143,6 +143,7 @@ def all_sql() -> dict[str, str]:
     out.update(pii_sql())
     out.update(clean_mask_sql())
     out.update(extension_sql())
+    out.update(streaming_sql())
     return out
 
 
@@ -623,3 +624,22 @@ FROM r LEFT JOIN p USING (day)"""
   CASE WHEN {n} IS NULL OR isnan({n}) THEN 'unknown' WHEN {n} < 0 THEN 'negative' {br} ELSE '250k+' END AS income_bracket
 FROM cl"""
     return out
+
+
+# ---------------------------------------------------------------------------
+# Streaming (same results as the batch operators they mirror)
+# ---------------------------------------------------------------------------
+
+def streaming_sql() -> dict[str, str]:
+    local = "\nUNION ALL\n".join(
+        p for p in failures_sql("messy").split("\nUNION ALL\n") if "customer_id.duplicate" not in p)
+    mx = _mask_exprs()
+    cols = ", ".join(mx.get(c, c) + f" AS {c}" for c in ["row_num"] + CUST)
+    return {
+        "stream_validate": _with(M) + local,
+        "stream_mask": _with(M) + f"SELECT {cols} FROM messy",
+        "stream_dedupe": _with(M) + "SELECT * FROM messy QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY row_num) = 1",
+        "stream_event_quality": """SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n_events,
+  count_if(event_type = 'error' OR value IS NULL OR isnan(value) OR value < 0 OR NOT coalesce(json_valid(props), false)) AS n_failed
+FROM events GROUP BY 1""",
+    }

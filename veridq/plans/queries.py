@@ -40,6 +40,7 @@ def all_queries() -> dict[str, Query]:
     out.update(pii_queries())
     out.update(clean_mask_queries())
     out.update(extension_queries())
+    out.update(streaming_queries())
     return out
 
 
@@ -146,3 +147,14 @@ def extension_queries() -> dict[str, Query]:
         "ext_income_brackets": lambda spark, sf: C.clean(messy(spark, sf), AS_OF).select(
             "row_num", XT.income_bracket("income").alias("income_bracket")),
     }
+
+
+def streaming_queries() -> dict[str, Query]:
+    from veridq.streaming import stream as S
+
+    return {
+        "stream_validate": lambda spark, sf: S.validate_stream(spark, sf, AS_OF),
+        "stream_mask": S.mask_stream,
+        "stream_dedupe": S.dedupe_stream,
+        "stream_event_quality": S.event_quality_stream,
+    }
