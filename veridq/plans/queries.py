@@ -41,6 +41,7 @@ def all_queries() -> dict[str, Query]:
     out.update(clean_mask_queries())
     out.update(extension_queries())
     out.update(streaming_queries())
+    out.update(pipeline_queries())
     return out
 
 
@@ -158,3 +159,17 @@ def streaming_queries() -> dict[str, Query]:
         "stream_dedupe": S.dedupe_stream,
         "stream_event_quality": S.event_quality_stream,
     }
+
+
+def pipeline_queries() -> dict[str, Query]:
+    from veridq.plans.pipeline import run_pipeline
+
+    def summary(spark, sf):
+        res = run_pipeline(spark, messy(spark, sf), as_of=AS_OF)
+        return res.run_log.select("stage", "status", "detail", "rows_in", "rows_out")
+
+    def manifest(spark, sf):
+        res = run_pipeline(spark, messy(spark, sf), as_of=AS_OF)
+        return res.manifest.select("table", "rows", "status")
+
+    return {"pipeline_summary": summary, "manifest": manifest}
