@@ -164,3 +164,27 @@ def date_shape(stripped: Column) -> Column:
     for name, pattern in reversed(spec.DATE_SHAPES):
         out = F.when(stripped.rlike("(?i)" + pattern), F.lit(name)).otherwise(out)
     return out
+
+
+def memo_columns(fn):
+    """Reuse built ``Column`` expression trees within one Spark application.
+
+    Column trees are immutable, unresolved expressions; building one costs a JVM
+    round trip per node, which dominates driver-side planning for wide rule sets.
+    Keyed by the application id and the arguments' ``repr``."""
+    import functools
+
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        from pyspark import SparkContext
+
+        sc = SparkContext._active_spark_context
+        app = sc.applicationId if sc is not None else None
+        key = (app, repr(args), repr(sorted(kwargs.items())))
+        if key not in cache:
+            cache[key] = fn(*args, **kwargs)
+        return cache[key]
+
+    return wrapper

@@ -1,11 +1,13 @@
 """Cleaning with a full audit trail.
 
 Physical shape of ``cleaned``: every row-local step (phone, dates, names, fills,
-negative income, age remediation) is one fused projection — each step's expression
-embeds the previous step's — followed by keep-first dedupe as
-``row_number() over (partition by id order by row_num) = 1``.  The planner inserts
-``WindowGroupLimit`` before the shuffle, so each map task forwards at most one row
-per id: one exchange in total and a hot id (or the null id) stays cheap.
+negative income, age remediation) is computed in a short chain of projections over
+named intermediate columns — each stripped value, digit string and parsed date is
+computed once and shared by the value, the step predicates and the audit entries —
+followed by keep-first dedupe as ``row_number() over (partition by id order by
+row_num) = 1``.  The planner inserts ``WindowGroupLimit`` before the shuffle, so
+each map task forwards at most one row per id: one exchange in total, and a hot id
+(or the null id) stays cheap.
 
 The audit is built beside the projection as an ``array<struct>`` of changes and
 exploded only for the audit sink.  Steps after dedupe (C8–C12) are logged only for
@@ -39,150 +41,175 @@ def _entry(pred: Column, step: str, column: str, action: str, old: Column, new:
     ))
 
 
-# ---------------------------------------------------------------------------
-# Row-local steps: each returns (new value, [audit entries])
-# ---------------------------------------------------------------------------
-
-def normalise_phone(raw: Column, column: str = "phone") -> tuple[Column, list[Column]]:
-    """C1 — digits; a leading 1 of 11 digits dropped; 10 digits → XXX-XXX-XXXX;
-    otherwise the value is kept and flagged with its digit count."""
-    s = X.ustrip(raw)
-    blank = X.is_blank(raw, s)
-    d = X.digits(s)
-    d = F.when((F.char_length(d) == 11) & d.startswith("1"), F.substring(d, 2, 10)).otherwise(d)
-    ten = F.char_length(d) == 10
-    formatted = F.concat_ws("-", F.substring(d, 1, 3), F.substring(d, 4, 3), F.substring(d, 7, 4))
-    change = ~blank & ten & (formatted != raw)
-    flag = ~blank & ~ten
-    note = F.concat(F.lit("Could not normalise: "), F.char_length(d).cast(STR), F.lit(" digits after stripping"))
-    new = F.when(change, formatted).otherwise(raw)
-    return new, [_entry(change, "phone_format", column, "change", raw, formatted),
-                 _entry(flag, "phone_format", column, "flag", raw, None, note)]
-
-
-def normalise_date(raw: Column, column: str, formats=spec.CLEAN_DATE_FORMATS) -> tuple[Column, list[Column]]:
-    """C2 — four formats → ``yyyy-MM-dd``; literal / unparseable → null with a note;
-    values already in ISO form stay untouched (outer whitespace kept)."""
-    s = X.ustrip(raw)
-    blank = X.is_blank(raw, s)
-    literal = ~blank & (F.lower(s) == spec.INVALID_DATE_LITERAL)
-    d = X.parse_date(s, formats)
-    iso = F.date_format(d, "yyyy-MM-dd")
-    bad = ~blank & ~literal & d.isNull()
-    change = ~blank & ~literal & d.isNotNull() & (iso != s)
-    new = F.when(literal | bad, F.lit(None).cast(STR)).when(change, iso).otherwise(raw)
-    note_bad = F.concat(F.lit("Unparseable date string '"), s, F.lit("' — set to NaN"))
-    return new, [
-        _entry(change, "date_format", column, "change", raw, iso),
-        _entry(literal, "date_format", column, "null", raw, None, F.lit("Literal 'invalid_date' — set to NaN")),
-        _entry(bad, "date_format", column, "null", raw, None, note_bad),
-    ]
-
-
-def normalise_name(raw: Column, column: str, protect: bool = False) -> tuple[Column, list[Column]]:
-    """C3 — Python ``title()`` of the stripped value when it differs."""
-    s = X.ustrip(raw)
-    t = X.title_case(s)
-    change = X.not_blank(raw, s) & (t != s)
-    if protect:
-        change = change & ~s.isin(*set(spec.FILL_VALUES.values()))
-    note = F.concat(F.lit("'"), s, F.lit("' -> '"), t, F.lit("'"))
-    return F.when(change, t).otherwise(raw), [_entry(change, "name_case", column, "change", raw, t, note)]
-
-
-def fill_missing(value: Column, column: str, fill: str) -> tuple[Column, list[Column]]:
-    """C4 — blank (null or whitespace-only) → fill value."""
-    b = X.is_blank(value)
-    return F.when(b, F.lit(fill)).otherwise(value), [_entry(b, "fill_missing", column, "fill", value, F.lit(fill))]
-
-
-def _safe_float(v: Column) -> Column:
-    """``float(v.strip())`` with default 0 on failure; blank handled by callers."""
-    return F.coalesce(X.parse_number(v), F.lit(0.0))
-
-
-def fix_negative_income(value: Column, column: str = "income") -> tuple[Column, list[Column]]:
-    """C8 — negative income → "0" (non-numeric counts as 0, so it is untouched)."""
-    neg = X.not_blank(value) & ~F.isnan(_safe_float(value)) & (_safe_float(value) < 0)
-    return F.when(neg, F.lit("0")).otherwise(value), [_entry(neg, "negative_income", column, "change", value, F.lit("0"))]
-
-
-def flag_income(value: Column, column: str = "income") -> list[Column]:
-    """C9 — income above the limit is flagged, not changed."""
-    n = _safe_float(value)
-    hi = X.not_blank(value) & ~F.isnan(n) & (n > spec.INCOME_LIMIT)
-    return [_entry(hi, "income_over_limit", column, "flag", value, None, F.lit("flagged for review (NOT modified)"))]
-
-
-def flag_status(value: Column, column: str = "account_status") -> list[Column]:
-    """C10 — status outside the domain (the fill value ``unknown`` included)."""
-    s = X.ustrip(value)
-    bad = X.not_blank(value, s) & ~X.in_domain(value, spec.VALID_STATUSES, s)
-    return [_entry(bad, "invalid_status", column, "flag", value, None, F.lit("flagged for review"))]
-
-
-def flag_future(value: Column, as_of, column: str = "created_date") -> list[Column]:
-    """C11 — created date after ``as_of`` (two formats)."""
-    fut = X.is_future(value, as_of, spec.FUTURE_FLAG_FORMATS)
-    return [_entry(fut, "future_created_date", column, "flag", value, None, F.lit("flagged for review (NOT modified)"))]
-
-
-def remove_extreme_age(value: Column, as_of, column: str = "date_of_birth") -> tuple[Column, list[Column]]:
-    """C12 — date of birth implying age > 150 → null."""
-    age = X.age_years(X.parse_date(value, spec.AGE_FLAG_FORMATS), as_of)
-    old = X.not_blank(value) & (age > spec.AGE_LIMIT_YEARS)
-    note = F.concat(F.lit("(~"), F.format_string("%.1f", age), F.lit(" years old)"))
-    return F.when(old, F.lit(None).cast(STR)).otherwise(value), [_entry(old, "extreme_age", column, "null", value, None, note)]
-
-
-# ---------------------------------------------------------------------------
-# Composition
-# ---------------------------------------------------------------------------
-
-def _steps(df: DataFrame, as_of, policy: spec.CleanPolicy):
-    """Final column values plus pre-dedupe and post-dedupe audit entry lists."""
-    v = {c: F.col(c) for c in df.columns}
+def _c(name: str) -> Column:
+    return F.col(name)
+
+
+def _blank(v: str, s: str) -> Column:
+    return _c(v).isNull() | (_c(s) == "")
+
+
+def _safe_float(num: Column) -> Column:
+    """``float(v.strip())`` with default 0 on failure (blank handled by callers)."""
+    return F.coalesce(num, F.lit(0.0))
+
+
+@dataclass
+class Staged:
+    df: DataFrame           # input columns + intermediate "__" columns
+    values: dict            # output column -> final value column name
+    pre: list               # audit entries of C1–C4 (all rows)
+    post: list              # audit entries of C8–C12 (surviving rows)
+
+
+def staged(df: DataFrame, as_of=spec.GOLDEN_AS_OF, policy: spec.CleanPolicy = spec.CleanPolicy()) -> Staged:
+    """All row-local cleaning steps as a chain of projections (C1–C4, C8–C12)."""
+    stages, values, pre, post = _staged_exprs(tuple(df.columns), as_of, policy)
+    for st in stages:
+        df = df.withColumns(st)
+    return Staged(df, values, pre, post)
+
+
+@X.memo_columns
+def _staged_exprs(columns: tuple, as_of, policy: spec.CleanPolicy):
+    stages = []
+    cols = set(columns)
+    values = {c: c for c in columns}
     pre: list[Column] = []
     post: list[Column] = []
-    if "phone" in v:
-        v["phone"], e = normalise_phone(v["phone"])
-        pre += e
-    for c in DATE_COLUMNS:
-        if c in v:
-            v[c], e = normalise_date(v[c], c, policy.date_formats)
-            pre += e
-    for c in NAME_COLUMNS:
-        if c in v:
-            v[c], e = normalise_name(v[c], c, policy.protect_placeholders)
-            pre += e
-    for c, fill in policy.fills.items():
-        if c in v:
-            v[c], e = fill_missing(v[c], c, fill)
-            pre += e
-    if "income" in v:
-        v["income"], e = fix_negative_income(v["income"])
-        post += e + flag_income(v["income"])
-    if "account_status" in v:
-        post += flag_status(v["account_status"])
-    if "created_date" in v:
-        post += flag_future(v["created_date"], as_of)
-    if "date_of_birth" in v:
-        v["date_of_birth"], e = remove_extreme_age(v["date_of_birth"], as_of)
-        post += e
+    has = lambda c: c in cols
+    dates = [c for c in DATE_COLUMNS if has(c)]
+    names = [c for c in NAME_COLUMNS if has(c)]
+    fills = {c: v for c, v in policy.fills.items() if has(c)}
+
+    # 1: stripped values and digits (read the raw columns only)
+    s1 = {f"__s_{c}": X.ustrip(c) for c in set(dates) | set(names) | set(fills) | ({"phone"} & cols)}
+    if has("phone"):
+        s1["__ph_d0"] = X.digits(_c("phone"))
+    stages.append(s1)
+    # 2: parses, titles, 11 -> 10 digits
+    s2 = {}
+    for c in dates:
+        s2[f"__d_{c}"] = X.parse_date(_c(f"__s_{c}"), policy.date_formats)
+    for c in names:
+        s2[f"__t_{c}"] = X.title_case(_c(f"__s_{c}"))
+    if has("phone"):
+        d0 = _c("__ph_d0")
+        s2["__ph_d"] = F.when((F.char_length(d0) == 11) & d0.startswith("1"), F.substring(d0, 2, 10)).otherwise(d0)
+    stages.append(s2)
+    # 3: step predicates and step values (C1–C3)
+    s3 = {}
+    if has("phone"):
+        d = _c("__ph_d")
+        blank = _blank("phone", "__s_phone")
+        ten = F.char_length(d) == 10
+        s3["__ph_fmt"] = F.concat_ws("-", F.substring(d, 1, 3), F.substring(d, 4, 3), F.substring(d, 7, 4))
+        s3["__ph_chg"] = ~blank & ten
+        s3["__ph_flag"] = ~blank & ~ten
+    for c in dates:
+        s, dt = _c(f"__s_{c}"), _c(f"__d_{c}")
+        blank = _blank(c, f"__s_{c}")
+        literal = ~blank & (F.lower(s) == spec.INVALID_DATE_LITERAL)
+        s3[f"__lit_{c}"] = literal
+        s3[f"__bad_{c}"] = ~blank & ~literal & dt.isNull()
+        s3[f"__iso_{c}"] = F.date_format(dt, "yyyy-MM-dd")
+    for c in names:
+        chg = ~_blank(c, f"__s_{c}") & (_c(f"__t_{c}") != _c(f"__s_{c}"))
+        if policy.protect_placeholders:
+            chg = chg & ~_c(f"__s_{c}").isin(*set(spec.FILL_VALUES.values()))
+        s3[f"__chg_{c}"] = chg
+    stages.append(s3)
+    s4 = {}
+    if has("phone"):
+        chg = _c("__ph_chg") & (_c("__ph_fmt") != _c("phone"))
+        s4["__v_phone"] = F.when(chg, _c("__ph_fmt")).otherwise(_c("phone"))
+        note = F.concat(F.lit("Could not normalise: "), F.char_length("__ph_d").cast(STR), F.lit(" digits after stripping"))
+        pre += [_entry(chg, "phone_format", "phone", "change", _c("phone"), _c("__ph_fmt")),
+                _entry(_c("__ph_flag"), "phone_format", "phone", "flag", _c("phone"), None, note)]
+        values["phone"] = "__v_phone"
+    for c in dates:
+        raw, s, iso = _c(c), _c(f"__s_{c}"), _c(f"__iso_{c}")
+        lit_, bad = _c(f"__lit_{c}"), _c(f"__bad_{c}")
+        chg = _c(f"__d_{c}").isNotNull() & (iso != s) & ~lit_
+        s4[f"__v_{c}"] = F.when(lit_ | bad, F.lit(None).cast(STR)).when(chg, iso).otherwise(raw)
+        pre += [
+            _entry(chg, "date_format", c, "change", raw, iso),
+            _entry(lit_, "date_format", c, "null", raw, None, F.lit("Literal 'invalid_date' — set to NaN")),
+            _entry(bad, "date_format", c, "null", raw, None,
+                   F.concat(F.lit("Unparseable date string '"), s, F.lit("' — set to NaN"))),
+        ]
+        values[c] = f"__v_{c}"
+    for c in names:
+        raw, s, t, chg = _c(c), _c(f"__s_{c}"), _c(f"__t_{c}"), _c(f"__chg_{c}")
+        s4[f"__v3_{c}"] = F.when(chg, t).otherwise(raw)
+        note = F.concat(F.lit("'"), s, F.lit("' -> '"), t, F.lit("'"))
+        pre.append(_entry(chg, "name_case", c, "change", raw, t, note))
+        values[c] = f"__v3_{c}"
+    stages.append(s4)
+    # 4: fills (C4); names are filled after title-casing (which leaves blanks alone)
+    s5 = {}
+    for c, fill in fills.items():
+        cur = _c(values[c])
+        b = _blank(c, f"__s_{c}")  # the steps above never turn a non-blank value blank
+        s5[f"__f_{c}"] = F.when(b, F.lit(fill)).otherwise(cur)
+        pre.append(_entry(b, "fill_missing", c, "fill", cur, F.lit(fill)))
+        values[c] = f"__f_{c}"
+    stages.append(s5)
+    # 5: post-dedupe steps (C8–C12) on the filled / normalised values
+    s6 = {}
+    if has("income"):
+        s6["__n_income"] = X.parse_number(_c(values["income"]))
+    if has("created_date"):
+        s6["__fut"] = X.is_future(_c(values["created_date"]), as_of, spec.FUTURE_FLAG_FORMATS)
+    if has("date_of_birth"):
+        s6["__age"] = X.age_years(X.parse_date(_c(values["date_of_birth"]), spec.AGE_FLAG_FORMATS), as_of)
+    stages.append(s6)
+    s7 = {}
+    if has("income"):
+        v = _c(values["income"])
+        n = _safe_float(_c("__n_income"))
+        nb = X.not_blank(v)
+        neg = nb & ~F.isnan(n) & (n < 0)
+        s7["__v_income"] = F.when(neg, F.lit("0")).otherwise(v)
+        n2 = F.when(neg, F.lit(0.0)).otherwise(n)
+        hi = nb & ~F.isnan(n2) & (n2 > spec.INCOME_LIMIT)
+        post += [_entry(neg, "negative_income", "income", "change", v, F.lit("0")),
+                 _entry(hi, "income_over_limit", "income", "flag", F.col("__v_income"), None,
+                        F.lit("flagged for review (NOT modified)"))]
+        values["income"] = "__v_income"
+    if has("account_status"):
+        v = _c(values["account_status"])
+        sv = X.ustrip(v)
+        bad = X.not_blank(v, sv) & ~F.lower(sv).isin(*spec.VALID_STATUSES)
+        post.append(_entry(bad, "invalid_status", "account_status", "flag", v, None, F.lit("flagged for review")))
+    if has("created_date"):
+        v = _c(values["created_date"])
+        post.append(_entry(_c("__fut"), "future_created_date", "created_date", "flag", v, None,
+                           F.lit("flagged for review (NOT modified)")))
+    if has("date_of_birth"):
+        v = _c(values["date_of_birth"])
+        old = X.not_blank(v) & (_c("__age") > spec.AGE_LIMIT_YEARS)
+        s7["__v5_dob"] = F.when(old, F.lit(None).cast(STR)).otherwise(v)
+        note = F.concat(F.lit("(~"), F.format_string("%.1f", _c("__age")), F.lit(" years old)"))
+        post.append(_entry(old, "extreme_age", "date_of_birth", "null", v, None, note))
+        values["date_of_birth"] = "__v5_dob"
+    stages.append(s7)
     if not policy.fix:  # review mode: keep every value, report every change as a flag
-        v = {c: F.col(c) for c in df.columns}
-    return v, pre, post
+        values = {c: c for c in values}
+    return [st for st in stages if st], values, pre, post
 
 
 def _arr(entries: list[Column]) -> Column:
-    return F.filter(F.array(*entries), lambda x: x.isNotNull())
+    """Entries of steps that did not fire are null; they are dropped after ``inline``
+    with a plain filter (a lambda ``filter`` would leave whole-stage codegen)."""
+    return F.array(*entries)
 
 
 def cleaned_rows(df: DataFrame, as_of=spec.GOLDEN_AS_OF, policy: spec.CleanPolicy = spec.CleanPolicy(),
                  key: str = "customer_id") -> DataFrame:
-    """All row-local steps, before dedupe (one projection)."""
-    v, _, _ = _steps(df, as_of, policy)
-    return df.select(*[v[c].alias(c) for c in df.columns])
+    """All row-local steps, before dedupe."""
+    st = staged(df, as_of, policy)
+    return st.df.select(*[F.col(st.values[c]).alias(c) for c in df.columns])
 
 
 def keep_first(df: DataFrame, key: str = "customer_id", order: str = "row_num") -> DataFrame:
@@ -201,23 +228,24 @@ def clean(df: DataFrame, as_of=spec.GOLDEN_AS_OF, policy: spec.CleanPolicy = spe
 def audit(df: DataFrame, as_of=spec.GOLDEN_AS_OF, policy: spec.CleanPolicy = spec.CleanPolicy(),
           key: str = "customer_id") -> DataFrame:
     """C14 — one row per change / fill / null / drop / flag."""
-    v, pre, post = _steps(df, as_of, policy)
+    st = staged(df, as_of, policy)
+    pre, post = st.pre, st.post
     if not policy.fix:
         pre = [_as_flag(e) for e in pre]
         post = [_as_flag(e) for e in post]
-    before = df.select("row_num", F.inline(_arr(pre)))
+    before = st.df.select("row_num", F.inline(_arr(pre))).where(F.col("step").isNotNull())
     firsts = df.groupBy(key).agg(F.min("row_num").alias("_first"))
-    narrow = df.select("row_num", F.col(key).alias("_k"), _arr(post).alias("_post"))
+    narrow = st.df.select("row_num", F.col(key).alias("_k"), _arr(post).alias("_post"))
     j = narrow.join(firsts, narrow["_k"].eqNullSafe(firsts[key]))
     dropped = F.col("row_num") > F.col("_first")
     drop = F.struct(
-        F.lit("dedupe").alias("step"), F.lit(key).alias("column"), F.lit("drop").alias("action"),
+        F.lit("dedupe").alias("step"), F.lit(key).alias("column"),
+        F.lit("flag" if not policy.fix else "drop").alias("action"),
         F.col("_k").cast(STR).alias("old_value"), F.lit(None).cast(STR).alias("new_value"),
         F.concat(F.lit("duplicate of row "), F.col("_first").cast(STR)).alias("note"),
     )
-    drop_action = "flag" if not policy.fix else "drop"
-    drop = drop.withField("action", F.lit(drop_action))
-    after = j.select("row_num", F.inline(F.when(dropped, F.array(drop)).otherwise(F.col("_post"))))
+    after = j.select("row_num", F.inline(F.when(dropped, F.array(drop)).otherwise(F.col("_post")))).where(
+        F.col("step").isNotNull())
     return before.unionByName(after)
 
 
@@ -235,10 +263,11 @@ def summary(df: DataFrame, as_of=spec.GOLDEN_AS_OF, policy: spec.CleanPolicy = s
     """Rows in / out / dropped and C5: dates of birth missing after date
     normalisation (counted before dedupe and before age remediation).
 
-    Rows out = rows that are first for their key, counted from a partial aggregate
-    of the keys (number of distinct keys) — no second pass over the cleaned table."""
-    dob_c2, _ = normalise_date(F.col("date_of_birth"), "date_of_birth", policy.date_formats)
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.count_if(X.is_blank(dob_c2)).alias("_dob"))
+    Rows out = number of distinct keys, from a partial aggregate — no second pass
+    over the cleaned table."""
+    st = staged(df, as_of, policy)
+    dob = F.col("__v_date_of_birth") if "__v_date_of_birth" in st.df.columns else F.col("date_of_birth")
+    per_key = st.df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.count_if(X.is_blank(dob)).alias("_dob"))
     agg = per_key.agg(
         F.sum("_n").cast("bigint").alias("rows_in"),
         F.count(F.lit(1)).alias("_keys"),

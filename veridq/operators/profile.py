@@ -218,6 +218,7 @@ def name_casing_issues(columns=("first_name", "last_name"), token=spec.NULL_TOKE
     return out
 
 
+@X.memo_columns
 def local_issue_array(as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN, kinds=("invalid", "status", "names")) -> Column:
     exprs: list[Column] = []
     if "invalid" in kinds:
@@ -230,7 +231,7 @@ def local_issue_array(as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN, kinds=("in
 
 
 def local_issues(df: DataFrame, as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN, kinds=("invalid", "status", "names")) -> DataFrame:
-    return df.select("row_num", F.inline(local_issue_array(as_of, token, kinds)))
+    return df.select("row_num", F.inline(local_issue_array(as_of, token, tuple(kinds))))
 
 
 def _nonstandard_phones(df: DataFrame, c: str = "phone") -> DataFrame:

@@ -7,89 +7,64 @@ every partition is generated independently.  Rules per column: first match wins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veridq.sources.tables import table
 
 
-def _s(x) -> Column:
-    return x.cast("string")
+def _case(rules: list, default: str) -> str:
+    """``rules`` = [(modulus, remainder, SQL value)], first match wins."""
+    whens = " ".join(f"WHEN k % {m} = {r} THEN {v}" for m, r, v in rules)
+    return f"CASE {whens} ELSE {default} END"
 
 
-def _pad(x: Column, n: int) -> Column:
-    return F.lpad(_s(x), n, "0")
+def _lit(v: str) -> str:
+    return "'" + v.replace("'", "\\'") + "'"
 
 
-def _chain(k: Column, rules: list, default: Column) -> Column:
-    """``rules`` = [(modulus, remainder, value)], first match wins."""
-    out = None
-    for mod, rem, val in rules:
-        cond = (k % mod) == rem
-        out = F.when(cond, val) if out is None else out.when(cond, val)
-    return out.otherwise(default)
+# Built as SQL expression text: one call to the JVM per column instead of one per
+# expression node, which keeps driver-side planning short.
+P3, P4 = "lpad(CAST(k % 1000 AS STRING), 3, '0')", "lpad(CAST(k % 10000 AS STRING), 4, '0')"
+MM, DD = "lpad(CAST(1 + k % 12 AS STRING), 2, '0')", "lpad(CAST(1 + k % 28 AS STRING), 2, '0')"
+YY = "CAST(1950 + k % 50 AS STRING)"
+NULL = "CAST(NULL AS STRING)"
 
+COLUMNS = {
+    "row_num": "CAST(k + 2 AS BIGINT)",
+    "customer_id": _case([(211, 7, NULL), (223, 9, _lit("abc")), (227, 11, _lit("-4")),
+                          (97, 5, "CAST(k AS STRING)")], "CAST(k + 1 AS STRING)"),
+    "first_name": _case([(29, 3, NULL), (53, 9, _lit("   ")), (31, 4, _lit("PATRICIA")), (37, 5, _lit("jennifer")),
+                         (41, 6, _lit("J")), (43, 7, _lit("o'brien")), (47, 8, _lit("R2D2")),
+                         (4, 0, _lit("John")), (4, 1, _lit("Mary")), (4, 2, _lit("McKay"))], _lit("Ann-Lee")),
+    "last_name": _case([(34, 3, NULL), (38, 4, _lit("wilson")), (46, 5, _lit("MOORE")), (3, 0, _lit("Doe")),
+                        (3, 1, _lit("Smith"))], _lit("Brown")),
+    "email": _case([(59, 1, NULL), (61, 2, _lit("not-an-email")), (62, 3, _lit("a@b@example.com"))],
+                   "concat('user.', CAST(k AS STRING), '@example.com')"),
+    "phone": _case([(67, 3, NULL),
+                    (7, 0, f"concat('(555) ', {P3}, '-', {P4})"),
+                    (7, 1, f"concat('555.', {P3}, '.', {P4})"),
+                    (7, 2, f"concat('555', {P3}, {P4})"),
+                    (7, 3, f"concat('+1-555-', {P3}, '-', {P4})"),
+                    (77, 4, f"concat({P3}, '-', {P4})")],
+                   f"concat('555-', {P3}, '-', {P4})"),
+    "date_of_birth": _case([(71, 6, NULL), (17, 3, _lit("invalid_date")), (23, 5, _lit("1850-01-01")),
+                            (73, 7, _lit("2001-02-30")), (79, 8, _lit("25/12/1990")), (74, 9, _lit("1990/07/22")),
+                            (109, 2, _lit("2099-01-01")), (19, 4, f"concat({MM}, '/', {DD}, '/', {YY})")],
+                           f"concat({YY}, '-', {MM}, '-', {DD})"),
+    "address": _case([(13, 2, NULL)], "concat(CAST(k AS STRING), ' Main St')"),
+    "income": _case([(11, 3, NULL), (83, 4, _lit("-5000")), (89, 5, _lit("15000000")), (101, 6, _lit("abc"))],
+                    "CAST(20000 + (k * 37) % 100000 AS STRING)"),
+    "account_status": _case([(15, 4, NULL), (16, 5, _lit("unknown")), (18, 6, _lit("ACTIVE")),
+                             (3, 0, _lit("active")), (3, 1, _lit("inactive"))], _lit("suspended")),
+    "created_date": _case([(103, 5, _lit("2099-06-01")), (107, 6, _lit("invalid_date"))],
+                          f"concat('2024-', {MM}, '-', {DD})"),
+}
 
-def messy_from_orders(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    p3, p4 = _pad(k % 1000, 3), _pad(k % 10000, 4)
-    mm, dd = _pad(F.lit(1) + k % 12, 2), _pad(F.lit(1) + k % 28, 2)
-    yy = _s(F.lit(1950) + k % 50)
-    null = F.lit(None).cast("string")
-    lit = F.lit
 
-    cols = {
-        "row_num": (k + 2).cast("bigint"),
-        "customer_id": _chain(
-            k, [(211, 7, null), (223, 9, lit("abc")), (227, 11, lit("-4")), (97, 5, _s(k))], _s(k + 1)
-        ),
-        "first_name": _chain(
-            k,
-            [(29, 3, null), (53, 9, lit("   ")), (31, 4, lit("PATRICIA")), (37, 5, lit("jennifer")),
-             (41, 6, lit("J")), (43, 7, lit("o'brien")), (47, 8, lit("R2D2")),
-             (4, 0, lit("John")), (4, 1, lit("Mary")), (4, 2, lit("McKay"))],
-            lit("Ann-Lee"),
-        ),
-        "last_name": _chain(
-            k, [(34, 3, null), (38, 4, lit("wilson")), (46, 5, lit("MOORE")), (3, 0, lit("Doe")),
-                (3, 1, lit("Smith"))], lit("Brown")
-        ),
-        "email": _chain(
-            k, [(59, 1, null), (61, 2, lit("not-an-email")), (62, 3, lit("a@b@example.com"))],
-            F.concat(lit("user."), _s(k), lit("@example.com")),
-        ),
-        "phone": _chain(
-            k,
-            [(67, 3, null),
-             (7, 0, F.concat(lit("(555) "), p3, lit("-"), p4)),
-             (7, 1, F.concat(lit("555."), p3, lit("."), p4)),
-             (7, 2, F.concat(lit("555"), p3, p4)),
-             (7, 3, F.concat(lit("+1-555-"), p3, lit("-"), p4)),
-             (77, 4, F.concat(p3, lit("-"), p4))],
-            F.concat(lit("555-"), p3, lit("-"), p4),
-        ),
-        "date_of_birth": _chain(
-            k,
-            [(71, 6, null), (17, 3, lit("invalid_date")), (23, 5, lit("1850-01-01")),
-             (73, 7, lit("2001-02-30")), (79, 8, lit("25/12/1990")), (74, 9, lit("1990/07/22")),
-             (109, 2, lit("2099-01-01")), (19, 4, F.concat(mm, lit("/"), dd, lit("/"), yy))],
-            F.concat(yy, lit("-"), mm, lit("-"), dd),
-        ),
-        "address": _chain(k, [(13, 2, null)], F.concat(_s(k), lit(" Main St"))),
-        "income": _chain(
-            k, [(11, 3, null), (83, 4, lit("-5000")), (89, 5, lit("15000000")), (101, 6, lit("abc"))],
-            _s(F.lit(20000) + (k * 37) % 100000),
-        ),
-        "account_status": _chain(
-            k, [(15, 4, null), (16, 5, lit("unknown")), (18, 6, lit("ACTIVE")), (3, 0, lit("active")),
-                (3, 1, lit("inactive"))], lit("suspended")
-        ),
-        "created_date": _chain(
-            k, [(103, 5, lit("2099-06-01")), (107, 6, lit("invalid_date"))],
-            F.concat(lit("2024-"), mm, lit("-"), dd),
-        ),
-    }
-    return orders.select(*[v.alias(n) for n, v in cols.items()])
+def messy_from_orders(orders: DataFrame) -> DataFrame:
+    k = orders.select(F.col("o_orderkey").alias("k"))
+    return k.selectExpr(*[f"{expr} AS {name}" for name, expr in COLUMNS.items()])
 
 
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,10 +20,17 @@ def spread(df: DataFrame) -> DataFrame:
     splits are left untouched (no extra exchange)."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    key = (tuple(sorted(df.inputFiles())), cores)
+    n = _SPLITS.get(key)
+    if n is None:
+        n = _SPLITS[key] = df.rdd.getNumPartitions()
     return df.repartition(cores) if n < cores else df
 
 
+# (input files, cores) -> number of scan splits; a planning hint only.
+_SPLITS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
     """Parquet scan; Catalyst prunes columns and pushes filters into it."""
     if name not in TABLES:
