@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -9,26 +11,48 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# (file fingerprint, cores) -> path of the re-split copy, or "" when none is needed
+_LAYOUT: dict = {}
+
+
+def _fingerprint(spark: SparkSession, files: list[str]) -> str:
+    """Path, size and modification time of every input file (Hadoop FS API)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    parts = []
+    for f in sorted(files):
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        st = p.getFileSystem(conf).getFileStatus(p)
+        parts.append(f"{f}|{st.getLen()}|{st.getModificationTime()}")
+    return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:20]
+
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer input splits than the cluster has cores.
+    """Give an under-split table as many input splits as the cluster has cores.
+
+    A single-file / single-row-group table is read by one task, and every filter
+    the optimizer pushes into that scan runs on one core.  When the scan has fewer
+    splits than ``defaultParallelism``, the table is rewritten once (round-robin into
+    that many files) under the shared work folder and the copy is scanned instead;
+    the copy is keyed by the source files' size and modification time.  Tables with
+    enough splits — every large input — are read directly, with no extra work."""
+    from veridq.session import work_dir
 
-    A single-file / single-row-group table is read by one task; everything
-    downstream of it would then run on one core.  When (and only when) the scan
-    has fewer partitions than ``defaultParallelism``, a round-robin repartition
-    after the column-pruned scan spreads the rows; large inputs with enough
-    splits are left untouched (no extra exchange)."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    key = (tuple(sorted(df.inputFiles())), cores)
-    n = _SPLITS.get(key)
-    if n is None:
-        n = _SPLITS[key] = df.rdd.getNumPartitions()
-    return df.repartition(cores) if n < cores else df
-
-
-# (input files, cores) -> number of scan splits; a planning hint only.
-_SPLITS: dict = {}
+    files = df.inputFiles()
+    key = (_fingerprint(spark, files), cores)
+    if key not in _LAYOUT:
+        if df.rdd.getNumPartitions() >= cores:
+            _LAYOUT[key] = ""
+        else:
+            path = f"{work_dir(spark)}/resplit/{key[0]}-{cores}"
+            jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+            marker = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+            if not marker.getFileSystem(conf).exists(marker):
+                df.repartition(cores).write.mode("overwrite").parquet(path)
+            _LAYOUT[key] = path
+    path = _LAYOUT[key]
+    return spark.read.parquet(path) if path else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
