@@ -105,14 +105,14 @@ def clean_mask_queries() -> dict[str, Query]:
         return lambda spark, sf: MK.mask(cleaned(spark, sf)).select("row_num", *cols)
 
     return {
-        "clean_phone": aud(F.col("step") == "phone_format"),
-        "clean_dates": aud(F.col("step") == "date_format"),
-        "clean_names": aud(F.col("step") == "name_case"),
-        "clean_fill": aud(F.col("step") == "fill_missing"),
-        "clean_dedupe": aud(F.col("step") == "dedupe"),
-        "clean_negative_income": aud(F.col("step") == "negative_income"),
-        "clean_extreme_age": aud(F.col("step") == "extreme_age"),
-        "clean_flags": aud(F.col("action") == "flag"),
+        "clean_phone": aud("step = 'phone_format'"),
+        "clean_dates": aud("step = 'date_format'"),
+        "clean_names": aud("step = 'name_case'"),
+        "clean_fill": aud("step = 'fill_missing'"),
+        "clean_dedupe": aud("step = 'dedupe'"),
+        "clean_negative_income": aud("step = 'negative_income'"),
+        "clean_extreme_age": aud("step = 'extreme_age'"),
+        "clean_flags": aud("action = 'flag'"),
         "clean_full": cleaned,
         "clean_audit_counts": lambda spark, sf: C.audit_counts(C.audit(messy(spark, sf), AS_OF)),
         "clean_summary": lambda spark, sf: C.summary(messy(spark, sf), AS_OF),
