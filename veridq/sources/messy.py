@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veridq.sources.tables import table
 
 
 def _case(rules: list, default: str) -> str:
@@ -67,5 +66,16 @@ def messy_from_orders(orders: DataFrame) -> DataFrame:
     return k.selectExpr(*[f"{expr} AS {name}" for name, expr in COLUMNS.items()])
 
 
+_VIEWS: dict = {}
+
+
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messy_from_orders(table(spark, sf_dir, "orders").select("o_orderkey"))
+    """The view over ``{sf_dir}/orders.parquet``.  The (lazy, immutable) DataFrame is
+    reused within an application while the scanned files are unchanged."""
+    from veridq.sources.tables import spread
+
+    path = spread(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _VIEWS:
+        _VIEWS[key] = messy_from_orders(spark.read.parquet(path).select("o_orderkey"))
+    return _VIEWS[key]

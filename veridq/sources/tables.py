@@ -15,19 +15,20 @@ TABLES = (
 _LAYOUT: dict = {}
 
 
-def _fingerprint(spark: SparkSession, files: list[str]) -> str:
-    """Path, size and modification time of every input file (Hadoop FS API)."""
+def _fingerprint(spark: SparkSession, path: str) -> str:
+    """Path, size and modification time of every file under ``path`` (Hadoop FS)."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    it = p.getFileSystem(conf).listFiles(p, True)
     parts = []
-    for f in sorted(files):
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        st = p.getFileSystem(conf).getFileStatus(p)
-        parts.append(f"{f}|{st.getLen()}|{st.getModificationTime()}")
-    return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:20]
+    while it.hasNext():
+        st = it.next()
+        parts.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(parts)).encode()).hexdigest()[:20]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give an under-split table as many input splits as the cluster has cores.
+def spread(spark: SparkSession, path: str) -> str:
+    """Path to scan for ``path``: itself, or a re-split copy when under-split.
 
     A single-file / single-row-group table is read by one task, and every filter
     the optimizer pushes into that scan runs on one core.  When the scan has fewer
@@ -37,27 +38,25 @@ def spread(df: DataFrame) -> DataFrame:
     enough splits — every large input — are read directly, with no extra work."""
     from veridq.session import work_dir
 
-    spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    key = (_fingerprint(spark, files), cores)
+    key = (_fingerprint(spark, path), cores)
     if key not in _LAYOUT:
+        df = spark.read.parquet(path)
         if df.rdd.getNumPartitions() >= cores:
-            _LAYOUT[key] = ""
+            _LAYOUT[key] = path
         else:
-            path = f"{work_dir(spark)}/resplit/{key[0]}-{cores}"
+            copy = f"{work_dir(spark)}/resplit/{key[0]}-{cores}"
             jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-            marker = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+            marker = jvm.org.apache.hadoop.fs.Path(copy + "/_SUCCESS")
             if not marker.getFileSystem(conf).exists(marker):
-                df.repartition(cores).write.mode("overwrite").parquet(path)
-            _LAYOUT[key] = path
-    path = _LAYOUT[key]
-    return spark.read.parquet(path) if path else df
+                df.repartition(cores).write.mode("overwrite").parquet(copy)
+            _LAYOUT[key] = copy
+    return _LAYOUT[key]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
     """Parquet scan; Catalyst prunes columns and pushes filters into it."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_small else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.read.parquet(spread(spark, path) if spread_small else path)
