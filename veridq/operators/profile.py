@@ -282,26 +282,25 @@ def row_health(df: DataFrame, as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN) ->
     """P12 — rows with ≥1 issue or ≥1 blank cell; clean = total − problem rows.
 
     Issue rows are the rows the issues name: for phone issues that is the first row
-    holding the value.  Computed without a join: rows flagged locally are counted
-    directly, and each non-standard phone value adds its first row when that row is
-    not already flagged (``min_by`` inside a partial aggregate); both streams are
-    unioned into one final aggregate."""
+    holding the value.  One pass, one shuffle: rows are grouped by their
+    non-standard phone value (NULL for every other row, which partial aggregation
+    collapses to one row per task); each group counts its flagged rows and, via
+    ``min_by``, whether its first row is flagged — an unflagged first row of a
+    non-standard value adds one problem row."""
     cols = [c for c in df.columns if c != "row_num"]
     any_blank = F.lit(False)
     for c in cols:
         any_blank = any_blank | X.is_blank(c)
     flagged = (F.size(local_issue_array(as_of, token)) > 0) | any_blank
-    base = df.select("row_num", "phone", flagged.alias("_flag"))
     s = X.ustrip("phone")
-    per_row = base.select(F.lit(1).alias("_t"), F.col("_flag").cast("int").alias("_f"), F.lit(0).alias("_e"))
-    per_value = (
-        base.where(X.not_blank("phone", s) & (X.phone_format(s) != spec.PHONE_STANDARD))
-        .groupBy(s.alias("_v"))
-        .agg(F.min_by("_flag", "row_num").alias("_first_flag"))
-        .select(F.lit(0).alias("_t"), F.lit(0).alias("_f"), (~F.col("_first_flag")).cast("int").alias("_e"))
-    )
-    tot = per_row.unionByName(per_value).agg(
-        F.sum("_t").cast("bigint").alias("total_rows"), F.sum("_f").alias("_flagged"), F.sum("_e").alias("_extra")
+    nonstd = X.not_blank("phone", s) & (X.phone_format(s) != spec.PHONE_STANDARD)
+    base = df.select("row_num", F.when(nonstd, s).alias("_v"), flagged.alias("_flag"))
+    groups = base.groupBy("_v").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("_flag").alias("_nf"),
+        F.min_by("_flag", "row_num").alias("_first_flag"))
+    tot = groups.agg(
+        F.sum("_n").cast("bigint").alias("total_rows"), F.sum("_nf").alias("_flagged"),
+        F.count_if(F.col("_v").isNotNull() & ~F.col("_first_flag")).alias("_extra"),
     )
     problem = (F.col("_flagged") + F.col("_extra")).cast("bigint")
     clean = F.greatest(F.col("total_rows") - problem, F.lit(0)).cast("bigint")
