@@ -170,47 +170,69 @@ def _issue(pred: Column, column: str, itype: str, value: Column, age: Column | N
     ))
 
 
+ISSUE_COLUMNS = ("date_of_birth", "created_date", "income", "account_status", "first_name", "last_name")
+
+
+@X.memo_columns
+def _issue_derive_exprs(token, as_of) -> tuple[dict, dict]:
+    """Token-rendered stripped values, then the parses that use them (computed once
+    per row, shared by every issue predicate)."""
+    first = {f"__t_{c}": X.ustrip(X.null_token(c, token)) for c in ISSUE_COLUMNS}
+    first["__s_account_status"] = X.ustrip("account_status")
+    t = lambda c: F.col(f"__t_{c}")
+    second = {
+        "__n_income": X.parse_number(t("income"), t("income")),
+        "__age_dob": X.age_years(X.parse_date(t("date_of_birth"), spec.PROFILE_DOB_FORMATS), as_of),
+        "__d_created": X.parse_date(t("created_date"), spec.PROFILE_CREATED_FORMATS),
+    }
+    return first, second
+
+
+def issue_derive(df: DataFrame, as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN) -> DataFrame:
+    first, second = _issue_derive_exprs(token, as_of)
+    return df.withColumns(first).withColumns(second)
+
+
 def invalid_value_issues(as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN) -> list[Column]:
     """P6a–f in report order (date literals, income, extreme age, future created)."""
+    t = lambda c: F.col(f"__t_{c}")
     out = []
     for c in spec.DATE_SHAPE_COLUMNS:
-        s = X.ustrip(X.null_token(c, token))
-        out.append(_issue(F.lower(s) == spec.INVALID_DATE_LITERAL, c, "invalid_date_string", F.col(c)))
+        out.append(_issue(F.lower(t(c)) == spec.INVALID_DATE_LITERAL, c, "invalid_date_string", F.col(c)))
     inc = F.col("income")
-    s = X.ustrip(X.null_token(inc, token))
+    s = t("income")
     nb = s.isNotNull() & (s != "")
-    num = X.parse_number(s, s)
+    num = F.col("__n_income")
     notnan = ~F.isnan(num)
     out += [
         _issue(nb & num.isNull(), "income", "non_numeric_income", inc),
         _issue(nb & notnan & (num < 0), "income", "negative_income", inc),
         _issue(nb & notnan & (num > spec.INCOME_LIMIT), "income", "income_exceeds_10M", inc),
     ]
-    dob = F.col("date_of_birth")
-    s = X.ustrip(X.null_token(dob, token))
+    s = t("date_of_birth")
     ok = (s != "") & (F.lower(s) != spec.INVALID_DATE_LITERAL)
-    age = X.age_years(X.parse_date(s, spec.PROFILE_DOB_FORMATS), as_of)
-    out.append(_issue(ok & (age > spec.AGE_LIMIT_YEARS), "date_of_birth", "extreme_age", dob, F.round(age, 1)))
-    cr = F.col("created_date")
-    s = X.ustrip(X.null_token(cr, token))
+    age = F.col("__age_dob")
+    out.append(_issue(ok & (age > spec.AGE_LIMIT_YEARS), "date_of_birth", "extreme_age", F.col("date_of_birth"),
+                      F.round(age, 1)))
+    s = t("created_date")
     ok = (s != "") & (F.lower(s) != spec.INVALID_DATE_LITERAL)
-    d = X.parse_date(s, spec.PROFILE_CREATED_FORMATS)
-    out.append(_issue(ok & (d > F.lit(as_of)), "created_date", "future_created_date", cr))
+    out.append(_issue(ok & (F.col("__d_created") > F.lit(as_of)), "created_date", "future_created_date",
+                      F.col("created_date")))
     return out
 
 
 def status_issues(c: str = "account_status") -> list[Column]:
     """P7 — non-blank and outside the domain."""
     raw = F.col(c)
-    s = X.ustrip(raw)
-    return [_issue(X.not_blank(raw, s) & ~X.in_domain(raw, spec.VALID_STATUSES, s), c, "invalid_account_status", raw)]
+    s = F.col(f"__s_{c}")
+    return [_issue(X.not_blank(raw, s) & ~F.lower(s).isin(*spec.VALID_STATUSES), c, "invalid_account_status", raw)]
 
 
 def name_casing_issues(columns=("first_name", "last_name"), token=spec.NULL_TOKEN) -> list[Column]:
     """P8 — all-caps / all-lower names longer than one character."""
     out = []
     for c in columns:
-        s = X.ustrip(X.null_token(c, token))
+        s = F.col(f"__t_{c}")
         long_enough = F.char_length(s) > 1
         up = X.is_all_upper(s) & long_enough
         low = X.is_all_lower(s) & long_enough
@@ -220,6 +242,8 @@ def name_casing_issues(columns=("first_name", "last_name"), token=spec.NULL_TOKE
 
 @X.memo_columns
 def local_issue_array(as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN, kinds=("invalid", "status", "names")) -> Column:
+    """Issue structs of one row (null where a check did not fire); needs the
+    columns added by :func:`issue_derive`."""
     exprs: list[Column] = []
     if "invalid" in kinds:
         exprs += invalid_value_issues(as_of, token)
@@ -227,11 +251,20 @@ def local_issue_array(as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN, kinds=("in
         exprs += status_issues()
     if "names" in kinds:
         exprs += name_casing_issues(token=token)
-    return F.filter(F.array(*exprs), lambda x: x.isNotNull())
+    return F.array(*exprs)
+
+
+@X.memo_columns
+def local_issue_count(as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN) -> Column:
+    n = F.lit(0)
+    for e in invalid_value_issues(as_of, token) + status_issues() + name_casing_issues(token=token):
+        n = n + F.when(e.isNotNull(), 1).otherwise(0)
+    return n
 
 
 def local_issues(df: DataFrame, as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN, kinds=("invalid", "status", "names")) -> DataFrame:
-    return df.select("row_num", F.inline(local_issue_array(as_of, token, tuple(kinds))))
+    d = issue_derive(df, as_of, token)
+    return d.select("row_num", F.inline(local_issue_array(as_of, token, tuple(kinds)))).where(F.col("type").isNotNull())
 
 
 def _nonstandard_phones(df: DataFrame, c: str = "phone") -> DataFrame:
@@ -291,10 +324,10 @@ def row_health(df: DataFrame, as_of=spec.GOLDEN_AS_OF, token=spec.NULL_TOKEN) ->
     any_blank = F.lit(False)
     for c in cols:
         any_blank = any_blank | X.is_blank(c)
-    flagged = (F.size(local_issue_array(as_of, token)) > 0) | any_blank
+    flagged = (local_issue_count(as_of, token) > 0) | any_blank
     s = X.ustrip("phone")
     nonstd = X.not_blank("phone", s) & (X.phone_format(s) != spec.PHONE_STANDARD)
-    base = df.select("row_num", F.when(nonstd, s).alias("_v"), flagged.alias("_flag"))
+    base = issue_derive(df, as_of, token).select("row_num", F.when(nonstd, s).alias("_v"), flagged.alias("_flag"))
     groups = base.groupBy("_v").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if("_flag").alias("_nf"),
         F.min_by("_flag", "row_num").alias("_first_flag"))
