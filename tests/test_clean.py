@@ -69,3 +69,12 @@ def test_edge_titles(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [r.t for r in df.select(X.title_case(F.col("v")).alias("t")).collect()]
     assert got == [v.title() for v in vals]
+
+
+def test_dense_renumber(raw, spark):
+    got = {r.row_num: r.clean_row_num for r in C.dense_renumber(C.clean(raw)).collect()}
+    assert got[15] == 15 and 16 not in got and got[2] == 2
+    # small bucket width exercises the cross-bucket offsets
+    df = spark.range(0, 5000).selectExpr("id * 3 + 7 AS row_num").where("row_num % 7 <> 0")
+    out = sorted((r.row_num, r.clean_row_num) for r in C.dense_renumber(df, width=64).collect())
+    assert [c for _, c in out] == list(range(2, 2 + len(out)))

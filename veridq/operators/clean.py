@@ -318,3 +318,22 @@ def run_clean(df: DataFrame, as_of=spec.GOLDEN_AS_OF, policy: spec.CleanPolicy =
     aud = audit(df, as_of, policy)
     return CleanResult(clean(df, as_of, policy), aud, audit_counts(aud), before_after(df, as_of, policy),
                        summary(df, as_of, policy))
+
+
+def dense_renumber(df: DataFrame, order_col: str = "row_num", first: int = 2, width: int = 1 << 20,
+                   out_col: str = "clean_row_num") -> DataFrame:
+    """C7 — consecutive numbers in ``order_col`` order after rows were dropped
+    (``reset_index`` parity), without a global sort.
+
+    Rows are bucketed by ``floor(order_col / width)``; with unique integer keys a
+    bucket holds at most ``width`` rows, so the per-bucket ``row_number`` window is
+    bounded (no skew).  Bucket offsets are running sums over the per-bucket counts
+    — one row per bucket, i.e. input rows / ``width`` — joined back by bucket."""
+    b = F.floor(F.col(order_col) / F.lit(width)).cast("bigint")
+    tagged = df.withColumn("_b", b)
+    counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    w_all = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(w_all), F.lit(0)).alias("_off"))
+    ranked = tagged.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(order_col)))
+    n = (F.col("_off") + F.col("_r") - 1 + F.lit(first)).cast("bigint")
+    return ranked.join(offsets, "_b").select(*df.columns, n.alias(out_col))

@@ -506,6 +506,8 @@ def clean_mask_sql() -> dict[str, str]:
     out = {}
     base = _with(M, _clean_ctes(), _audit_sql())
     out["clean_full"] = base + "SELECT * FROM cl"
+    out["clean_row_numbers"] = _with(M, _clean_ctes()) + (
+        "SELECT row_num, CAST(row_number() OVER (ORDER BY row_num) + 1 AS BIGINT) AS clean_row_num FROM cl")
     steps = {
         "clean_phone": "step = 'phone_format'",
         "clean_dates": "step = 'date_format'",

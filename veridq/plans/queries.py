@@ -114,6 +114,7 @@ def clean_mask_queries() -> dict[str, Query]:
         "clean_extreme_age": aud("step = 'extreme_age'"),
         "clean_flags": aud("action = 'flag'"),
         "clean_full": cleaned,
+        "clean_row_numbers": lambda spark, sf: C.dense_renumber(cleaned(spark, sf)).select("row_num", "clean_row_num"),
         "clean_audit_counts": lambda spark, sf: C.audit_counts(C.audit(messy(spark, sf), AS_OF)),
         "clean_summary": lambda spark, sf: C.summary(messy(spark, sf), AS_OF),
         "clean_before_after": lambda spark, sf: C.before_after(messy(spark, sf), AS_OF),
