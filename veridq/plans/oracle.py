@@ -136,7 +136,29 @@ SELECT count(*) AS total_rows, CAST(sum(n_failures) AS BIGINT) AS total_failures
     return out
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's ``count_if`` returns HUGEINT; Spark's returns BIGINT."""
+    out, i, tok = [], 0, "count_if("
+    while True:
+        j = sql.find(tok, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(tok)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j])
+        inner = sql[j + len(tok):k - 1]
+        out.append(f"CAST(count_if({_bigint_counts(inner)}) AS BIGINT)")
+        i = k
+
+
 def all_sql() -> dict[str, str]:
+    return {k: _bigint_counts(v) for k, v in _all_sql().items()}
+
+
+def _all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(validation_sql())
     out.update(profile_sql())
@@ -529,7 +551,7 @@ def clean_mask_sql() -> dict[str, str]:
                                       f"fa AS ({failures_sql('cl')})") + """
 SELECT 'before' AS phase, "column", count(*) AS n_failures FROM fb GROUP BY 2
 UNION ALL SELECT 'after', "column", count(*) FROM fa GROUP BY 2"""
-    out["clean_negative_balance"] = ("SELECT c_custkey, c_acctbal AS old_value, 0.0 AS new_value FROM customer "
+    out["clean_negative_balance"] = ("SELECT c_custkey, c_acctbal AS old_value, CAST(0.0 AS DOUBLE) AS new_value FROM customer "
                                      "WHERE NOT isnan(c_acctbal) AND c_acctbal < 0")
     mx = _mask_exprs()
     cl = _with(M, _clean_ctes())
