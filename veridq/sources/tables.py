@@ -39,7 +39,7 @@ def spread(spark: SparkSession, path: str) -> str:
     from veridq.session import work_dir
 
     cores = spark.sparkContext.defaultParallelism
-    key = (_fingerprint(spark, path), cores)
+    key = (_fingerprint(spark, path), cores, work_dir(spark))
     if key not in _LAYOUT:
         df = spark.read.parquet(path)
         if df.rdd.getNumPartitions() >= cores:
