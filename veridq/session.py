@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -65,4 +64,4 @@ def is_local_path(p: str) -> bool:
     return p.startswith("/") or p.startswith("file:")
 
 
-__all__ = ["local_session", "work_dir", "new_path", "RECOMMENDED_CONF", "os"]
+__all__ = ["local_session", "work_dir", "new_path", "RECOMMENDED_CONF", "JIT_OPTS"]
