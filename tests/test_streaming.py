@@ -23,3 +23,28 @@ def test_stream_dedupe_keeps_first(spark):
     # every kept row is the lowest row of its id
     firsts = m.groupBy("customer_id").agg(F.min("row_num").alias("row_num"))
     assert got.join(firsts, ["row_num"], "left_anti").count() == 0
+
+
+def test_stream_dedupe_across_batches(spark, tmp_path):
+    """Three files, one per micro-batch; later batches repeat ids of earlier ones and
+    a batch is replayed: the target keeps one row per id, the first by arrival."""
+    src = str(tmp_path / "src")
+    rows = [(2, "1"), (3, "2"), (4, "1"),      # batch 0: id 1 twice
+            (5, "2"), (6, "3"), (7, None),     # batch 1: id 2 seen before, null id
+            (8, None), (9, "3"), (10, "4")]    # batch 2: null and 3 seen before
+    schema = "row_num long, customer_id string"
+    for i in range(3):
+        spark.createDataFrame(rows[3 * i:3 * i + 3], schema).coalesce(1).write.parquet(f"{src}/f{i}.parquet")
+    target, ck = str(tmp_path / "target"), str(tmp_path / "ck")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    q = (stream.writeStream.foreachBatch(S.dedupe_batch(target)).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r.row_num, r.customer_id) for r in spark.read.parquet(target).collect())
+    assert got == [(2, "1"), (3, "2"), (6, "3"), (7, None), (10, "4")]
+    # replaying a batch id overwrites that batch's folder instead of duplicating it
+    fn = S.dedupe_batch(target)
+    fn(spark.createDataFrame(rows[6:9], schema), 2)
+    again = sorted((r.row_num, r.customer_id) for r in spark.read.parquet(target).collect())
+    assert again == got
