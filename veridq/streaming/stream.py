@@ -68,21 +68,38 @@ def mask_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+# Batch keys above this count are joined with a shuffle instead of a broadcast.
+BROADCAST_KEYS_LIMIT = 1_000_000
+
+
 def dedupe_batch(target: str, key: str = "customer_id", order: str = "row_num"):
-    """foreachBatch function: keep-first within the batch, then anti-join history."""
+    """foreachBatch function: keep-first within the batch, then drop keys already
+    written by earlier batches.
+
+    History is never shuffled whole: it is semi-joined against this batch's
+    distinct keys (broadcast when their counted number is below
+    ``BROADCAST_KEYS_LIMIT``), which leaves only the keys seen before; the batch is
+    anti-joined against that small set.  Output goes to ``_batch=<id>`` with
+    overwrite, so a replayed batch replaces its own output."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        first = C.keep_first(batch, key, order)
-        hist = None
+        batch.persist()
         try:
-            hist = spark.read.parquet(target).where(F.col("_batch") != batch_id).select(key)
-        except Exception:  # noqa: BLE001 — no history yet
-            hist = None
-        if hist is not None:
-            first = first.join(hist, first[key].eqNullSafe(hist[key]), "left_anti")
-        (first.withColumn("_batch", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{target}/_batch={batch_id}"))
+            first = C.keep_first(batch, key, order)
+            try:
+                hist = spark.read.parquet(target).where(F.col("_batch") != batch_id).select(key)
+            except Exception:  # noqa: BLE001 — no history yet
+                hist = None
+            if hist is not None:
+                keys = first.select(F.col(key).alias("_k")).distinct()
+                side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS_LIMIT else keys
+                seen = hist.join(side, hist[key].eqNullSafe(side["_k"]), "left_semi").select(F.col(key).alias("_s"))
+                first = first.join(seen, first[key].eqNullSafe(seen["_s"]), "left_anti")
+            (first.withColumn("_batch", F.lit(batch_id))
+             .write.mode("overwrite").parquet(f"{target}/_batch={batch_id}"))
+        finally:
+            batch.unpersist()
 
     return fn
 
