@@ -381,6 +381,13 @@ FROM (SELECT row_num, customer_id, list_filter([{labels}], lambda x: x IS NOT NU
     out["pii_text_scan_pages"] = _text_hits_sql("pages", "page_id", "page_id", ["url", "html"])
     out["pii_text_scan_conversations"] = _text_hits_sql(
         "conversations", "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)", "msg_id", ["text"])
+    pats = {"email": spec.EMAIL_SEARCH, "phone": spec.PHONE_SEARCH, "date": spec.DATE_SEARCH}
+    ms = " UNION ALL ".join(
+        f"SELECT doc_id, {q(k)} AS kind, unnest(regexp_extract_all(text, {q(p)})) AS match FROM documents"
+        for k, p in pats.items())
+    out["pii_text_matches_documents"] = f"""SELECT doc_id, 'text' AS "column", kind, match,
+  CASE WHEN kind = 'phone' AND NOT regexp_matches(match, '[-.\\s()]') THEN 'low' ELSE 'high' END AS confidence
+FROM ({ms})"""
     out["pii_text_summary_documents"] = (
         "SELECT \"column\", kind, count(*) AS rows_with_hits, CAST(sum(n_matches) AS BIGINT) AS n_matches FROM ("
         + _text_hits_sql("documents", "doc_id", "doc_id", ["text"]) + ") GROUP BY 1, 2")

@@ -86,6 +86,7 @@ def pii_queries() -> dict[str, Query]:
         "pii_text_scan_conversations": lambda spark, sf: D.text_hits(
             table(spark, sf, "conversations").withColumn("msg_id", F.concat_ws(":", "conv_id", "turn")),
             "msg_id", ["text"]),
+        "pii_text_matches_documents": lambda spark, sf: D.text_matches(table(spark, sf, "documents"), "doc_id", ["text"]),
         "pii_text_summary_documents": lambda spark, sf: D.text_summary(table(spark, sf, "documents"), "doc_id", ["text"]),
     }
 
