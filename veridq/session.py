@@ -43,13 +43,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a private scratch folder is created and registered."""
+    Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint folder already set
+    on the context).  Only when neither exists (local tests) a private scratch
+    folder is created and registered with ``setCheckpointDir`` — the config key
+    itself is static and cannot be changed at runtime."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="veridq-")
-        spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
+        d = spark.sparkContext.getCheckpointDir() or d
     return d.rstrip("/")
 
 
