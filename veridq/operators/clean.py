@@ -49,6 +49,15 @@ def _blank(v: str, s: str) -> Column:
     return _c(v).isNull() | (_c(s) == "")
 
 
+def _fmt(template: str, *values: Column) -> Column:
+    """Fill the ``{}`` slots of a fixed message with column values."""
+    parts = template.split("{}")
+    out = [F.lit(parts[0])]
+    for v, tail in zip(values, parts[1:]):
+        out += [v, F.lit(tail)]
+    return F.concat(*out)
+
+
 def _safe_float(num: Column) -> Column:
     """``float(v.strip())`` with default 0 on failure (blank handled by callers)."""
     return F.coalesce(num, F.lit(0.0))
@@ -123,7 +132,7 @@ def _staged_exprs(columns: tuple, as_of, policy: spec.CleanPolicy):
     if has("phone"):
         chg = _c("__ph_chg") & (_c("__ph_fmt") != _c("phone"))
         s4["__v_phone"] = F.when(chg, _c("__ph_fmt")).otherwise(_c("phone"))
-        note = F.concat(F.lit("Could not normalise: "), F.char_length("__ph_d").cast(STR), F.lit(" digits after stripping"))
+        note = _fmt(spec.NOTE_PHONE_FLAG, F.char_length("__ph_d").cast(STR))
         pre += [_entry(chg, "phone_format", "phone", "change", _c("phone"), _c("__ph_fmt")),
                 _entry(_c("__ph_flag"), "phone_format", "phone", "flag", _c("phone"), None, note)]
         values["phone"] = "__v_phone"
@@ -134,15 +143,14 @@ def _staged_exprs(columns: tuple, as_of, policy: spec.CleanPolicy):
         s4[f"__v_{c}"] = F.when(lit_ | bad, F.lit(None).cast(STR)).when(chg, iso).otherwise(raw)
         pre += [
             _entry(chg, "date_format", c, "change", raw, iso),
-            _entry(lit_, "date_format", c, "null", raw, None, F.lit("Literal 'invalid_date' — set to NaN")),
-            _entry(bad, "date_format", c, "null", raw, None,
-                   F.concat(F.lit("Unparseable date string '"), s, F.lit("' — set to NaN"))),
+            _entry(lit_, "date_format", c, "null", raw, None, F.lit(spec.NOTE_DATE_LITERAL)),
+            _entry(bad, "date_format", c, "null", raw, None, _fmt(spec.NOTE_DATE_UNPARSEABLE, s)),
         ]
         values[c] = f"__v_{c}"
     for c in names:
         raw, s, t, chg = _c(c), _c(f"__s_{c}"), _c(f"__t_{c}"), _c(f"__chg_{c}")
         s4[f"__v3_{c}"] = F.when(chg, t).otherwise(raw)
-        note = F.concat(F.lit("'"), s, F.lit("' -> '"), t, F.lit("'"))
+        note = _fmt(spec.NOTE_NAME_CHANGE, s, t)
         pre.append(_entry(chg, "name_case", c, "change", raw, t, note))
         values[c] = f"__v3_{c}"
     stages.append(s4)
@@ -175,22 +183,22 @@ def _staged_exprs(columns: tuple, as_of, policy: spec.CleanPolicy):
         hi = nb & ~F.isnan(n2) & (n2 > spec.INCOME_LIMIT)
         post += [_entry(neg, "negative_income", "income", "change", v, F.lit("0")),
                  _entry(hi, "income_over_limit", "income", "flag", F.col("__v_income"), None,
-                        F.lit("flagged for review (NOT modified)"))]
+                        F.lit(spec.NOTE_FLAG_UNCHANGED))]
         values["income"] = "__v_income"
     if has("account_status"):
         v = _c(values["account_status"])
         sv = X.ustrip(v)
         bad = X.not_blank(v, sv) & ~F.lower(sv).isin(*spec.VALID_STATUSES)
-        post.append(_entry(bad, "invalid_status", "account_status", "flag", v, None, F.lit("flagged for review")))
+        post.append(_entry(bad, "invalid_status", "account_status", "flag", v, None, F.lit(spec.NOTE_FLAG)))
     if has("created_date"):
         v = _c(values["created_date"])
         post.append(_entry(_c("__fut"), "future_created_date", "created_date", "flag", v, None,
-                           F.lit("flagged for review (NOT modified)")))
+                           F.lit(spec.NOTE_FLAG_UNCHANGED)))
     if has("date_of_birth"):
         v = _c(values["date_of_birth"])
         old = X.not_blank(v) & (_c("__age") > spec.AGE_LIMIT_YEARS)
         s7["__v5_dob"] = F.when(old, F.lit(None).cast(STR)).otherwise(v)
-        note = F.concat(F.lit("(~"), F.format_string("%.1f", _c("__age")), F.lit(" years old)"))
+        note = _fmt(spec.NOTE_AGE, F.format_string("%.1f", _c("__age")))
         post.append(_entry(old, "extreme_age", "date_of_birth", "null", v, None, note))
         values["date_of_birth"] = "__v5_dob"
     stages.append(s7)

@@ -465,6 +465,14 @@ def _clean_ctes(src="messy") -> str:
     return ",\n".join([s1, s2, s3, s4, s5, cl])
 
 
+def _sqlfmt(template: str, *values: str) -> str:
+    parts = template.split("{}")
+    out = [q(parts[0])]
+    for v, tail in zip(values, parts[1:]):
+        out += [v, q(tail)]
+    return "(" + " || ".join(out) + ")"
+
+
 def _audit_sql() -> str:
     e = []
 
@@ -475,14 +483,13 @@ def _audit_sql() -> str:
 
     add("ph_chg", "phone_format", "phone", "change", "phone", "ph_fmt")
     add("ph_flag", "phone_format", "phone", "flag", "phone", "NULL",
-        "'Could not normalise: ' || CAST(length(ph_d) AS VARCHAR) || ' digits after stripping'")
+        _sqlfmt(spec.NOTE_PHONE_FLAG, "CAST(length(ph_d) AS VARCHAR)"))
     for c in ("date_of_birth", "created_date"):
         add(f"{c}_chg", "date_format", c, "change", c, f"{c}_iso")
-        add(f"{c}_lit", "date_format", c, "null", c, "NULL", q("Literal 'invalid_date' — set to NaN"))
-        add(f"{c}_bad", "date_format", c, "null", c, "NULL",
-            f"'Unparseable date string ''' || {strip(c)} || ''' — set to NaN'")
+        add(f"{c}_lit", "date_format", c, "null", c, "NULL", q(spec.NOTE_DATE_LITERAL))
+        add(f"{c}_bad", "date_format", c, "null", c, "NULL", _sqlfmt(spec.NOTE_DATE_UNPARSEABLE, strip(c)))
     for c in ("first_name", "last_name"):
-        add(f"{c}_chg", "name_case", c, "change", c, f"{c}_t", f"'''' || {strip(c)} || ''' -> ''' || {c}_t || ''''")
+        add(f"{c}_chg", "name_case", c, "change", c, f"{c}_t", _sqlfmt(spec.NOTE_NAME_CHANGE, strip(c), f"{c}_t"))
     for c in ("first_name", "last_name"):
         add(blank(f"{c}_c3"), "fill_missing", c, "fill", f"{c}_c3", q(spec.FILL_VALUES[c]))
     for c in ("address", "income", "account_status"):
@@ -490,12 +497,12 @@ def _audit_sql() -> str:
     add("rn > 1", "dedupe", "customer_id", "drop", "customer_id", "NULL",
         "'duplicate of row ' || CAST(first_row AS VARCHAR)")
     add("rn = 1 AND inc_neg", "negative_income", "income", "change", "income_f", "'0'")
-    add("rn = 1 AND inc_hi", "income_over_limit", "income", "flag", "income_c", "NULL", q("flagged for review (NOT modified)"))
-    add("rn = 1 AND st_bad", "invalid_status", "account_status", "flag", "account_status_f", "NULL", q("flagged for review"))
+    add("rn = 1 AND inc_hi", "income_over_limit", "income", "flag", "income_c", "NULL", q(spec.NOTE_FLAG_UNCHANGED))
+    add("rn = 1 AND st_bad", "invalid_status", "account_status", "flag", "account_status_f", "NULL", q(spec.NOTE_FLAG))
     add("rn = 1 AND cr_fut", "future_created_date", "created_date", "flag", "created_date_c", "NULL",
-        q("flagged for review (NOT modified)"))
+        q(spec.NOTE_FLAG_UNCHANGED))
     add("rn = 1 AND dob_old", "extreme_age", "date_of_birth", "null", "date_of_birth_c", "NULL",
-        "'(~' || dob_age || ' years old)'")
+        _sqlfmt(spec.NOTE_AGE, "dob_age"))
     return "aud AS (" + "\nUNION ALL\n".join(e) + ")"
 
 

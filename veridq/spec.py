@@ -170,6 +170,15 @@ FILL_VALUES = {
 }
 PLACEHOLDER = "[UNKNOWN]"
 
+# Cleaning audit notes ({} = value inserted at run time).
+NOTE_PHONE_FLAG = "Could not normalise: {} digits after stripping"
+NOTE_DATE_LITERAL = "Literal 'invalid_date' — set to NaN"
+NOTE_DATE_UNPARSEABLE = "Unparseable date string '{}' — set to NaN"
+NOTE_NAME_CHANGE = "'{}' -> '{}'"
+NOTE_FLAG_UNCHANGED = "flagged for review (NOT modified)"
+NOTE_FLAG = "flagged for review"
+NOTE_AGE = "(~{} years old)"
+
 # Masking outputs.
 MASK_SUFFIX = "***"
 MASKED_ADDRESS = "[MASKED ADDRESS]"
