@@ -6,8 +6,6 @@ a hash of their document, and in each group puts them, longest first, into the f
 sequence with room; a tournament tree over the sequences' free capacities finds it in
 logarithmic time.  Groups hold about ``group_pieces`` pieces whatever the input, so the
 work is linear and a group fits in a task.  Only sizes are shuffled, never ids.
-What the last sequences of a group leave free is filled by cutting again: the
-emptiest sequences are emptied into the gaps of the others.
 
 Edge cases: a null or empty text is one piece holding the end id; repeated rows are
 packed each for itself; rows with a null id are packed like others; an empty table
