@@ -38,6 +38,36 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group and the line to keep for every line of every document."""
+    from veridq.llm import linededup
+
+    return linededup.line_rows(read(spark, sf_dir, "documents"))
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from veridq.llm import htmlcrf
+
+    return htmlcrf.extract(read(spark, sf_dir, "pages"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and how alike they are."""
+    from veridq.llm import winnow
+
+    got = winnow.edited(read(spark, sf_dir, "documents"))
+    return got.select(
+        "doc_id",
+        F.col("n_chars").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        winnow.digest("e").alias("fingerprint"),
+        winnow.digest("ee").alias("edited_fingerprint"),
+        winnow.likeness("e", "ee").alias("near_edited"),
+        winnow.likeness("e", "ne").alias("near_next"),
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     from veridq.llm import gam
@@ -66,6 +96,9 @@ def all_queries() -> dict:
     return {
         "op1_bpe": op1_bpe,
         "op4_packing": op4_packing,
+        "op2_line_dedup": op2_line_dedup,
+        "op3_html": op3_html,
+        "op6_fingerprints": op6_fingerprints,
         "op7_quality": op7_quality,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_near_dedup": op10_near_dedup,
