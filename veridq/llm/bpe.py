@@ -19,6 +19,7 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
+import unicodedata
 from array import array
 from functools import lru_cache
 
@@ -60,13 +61,15 @@ class Merges:
         names = byte_names()
         byte_of = {c: b for b, c in enumerate(names)}
         vocab: dict[str, int] = spec["model"]["vocab"]
-        if spec["model"].get("ignore_merges") or spec.get("normalizer"):
+        self.suffix: str = spec["model"].get("end_of_word_suffix") or ""
+        if spec["model"].get("ignore_merges") or spec["model"].get("dropout"):
             raise ValueError("not a plain byte-level BPE file")
         self.first = [vocab[c] for c in names]
+        self.final = [vocab[c + self.suffix] for c in names]  # the last byte of a word
         self.rank: dict[tuple[int, int], int] = {}
         self.made: list[int] = []
         self.parts: dict[int, tuple[int, int]] = {}
-        made = set(self.first)
+        made = {*self.first, *self.final}
         for r, m in enumerate(spec["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
             x, y, z = vocab[a], vocab[b], vocab[a + b]
@@ -84,7 +87,7 @@ class Merges:
         size = max([*vocab.values(), *self.special.values()]) + 1
         self.bytes = [b""] * size
         for s, i in vocab.items():
-            self.bytes[i] = bytes(byte_of[c] for c in s)
+            self.bytes[i] = bytes(byte_of[c] for c in (s.removesuffix(self.suffix) if self.suffix else s))
         for s, i in self.special.items():
             self.bytes[i] = s.encode()
         self.lookahead = self.sufficient_lookahead()
@@ -113,6 +116,8 @@ class Merges:
     def merge(self, data: bytes) -> list[int]:
         """Ids of a byte string, lowest rank first, leftmost first."""
         ids = [self.first[b] for b in data]
+        if ids:
+            ids[-1] = self.final[data[-1]]
         return self._scan(ids) if len(ids) <= 24 else self._heap(ids)
 
     def _scan(self, ids: list[int]) -> list[int]:
@@ -205,9 +210,11 @@ class Remembered(dict):
 class Encoder:
     """Text to ids (little-endian unsigned 32-bit)."""
 
+    PATTERN = PATTERN
+
     def __init__(self, path: str):
         self.m = Merges(path)
-        self.find = regex.compile(PATTERN)
+        self.find = regex.compile(self.PATTERN)
         self.split = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.m.special, key=len, reverse=True)) + ")") if self.m.special else None
         self.words = Remembered(self.word)
 
@@ -284,6 +291,49 @@ class Decoder:
         return "".join(parts) + self.close()
 
 
+#: Fixed value: the word file's pre-token pattern; white space is dropped.
+WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
+
+
+#: Characters whose class is the same in every Unicode version since 6; a text with
+#: others goes through the library itself, whose tables may be older or newer.
+SETTLED = r"\x00-\u0377\u037a-\u037e\u0384-\u038a\u038c\u038e-\u03a1\u03a3-\u0527\u05d0-\u05ea\u0621-\u064a\u2010-\u2027\u2030-\u205e\u20a0-\u20b9\u2190-\u23f3\u2500-\u26ff\u3001-\u303f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\U0001f600-\U0001f64f"
+
+
+class WordEncoder(Encoder):
+    """Ids of a BPE file with word ends: the text is composed (NFC) and lower-cased
+    character by character, and white space between pre-tokens is dropped."""
+
+    PATTERN = WORD_PATTERN
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.unsettled = regex.compile(rf"[^{SETTLED}]")
+
+    def word(self, word: str) -> bytes:
+        return array("I", self.m.merge(word.encode())).tobytes()
+
+    def _plain(self, text: str, out: list[bytes]) -> None:
+        if not text.isascii():
+            if self.unsettled.search(text):
+                out.append(array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes())
+                return
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")  # no final form of sigma
+        text, get = text.lower(), self.words.__getitem__
+        if len(text) <= CHUNK:
+            out.extend(map(get, self.find.findall(text)))
+        else:
+            out.extend(get(m.group()) for m in self.find.finditer(text))
+
+
+@lru_cache(maxsize=2)
+def word_encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One per worker process and file."""

@@ -52,6 +52,13 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmlcrf.extract(read(spark, sf_dir, "pages"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    from veridq.llm import chat
+
+    return chat.render(read(spark, sf_dir, "conversations"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text, and how alike they are."""
     from veridq.llm import winnow
@@ -85,6 +92,13 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(read(spark, sf_dir, "documents")).drop("row")
 
 
+def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document through the compressed token files."""
+    from veridq.llm import tokenfile
+
+    return tokenfile.round_trip(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates for every document."""
     from veridq.llm import setsketch
@@ -98,15 +112,17 @@ def all_queries() -> dict:
         "op4_packing": op4_packing,
         "op2_line_dedup": op2_line_dedup,
         "op3_html": op3_html,
+        "op5_chat": op5_chat,
         "op6_fingerprints": op6_fingerprints,
         "op7_quality": op7_quality,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_tokens": op9_tokens,
         "op10_near_dedup": op10_near_dedup,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": SQL_EXACT}
+    return {"op5_chat": SQL_CHAT, "op8_exact_dedup": SQL_EXACT}
 
 
 SQL_EXACT = """
@@ -121,3 +137,24 @@ SELECT doc_id,
        sha256(t) AS text_sha256
 FROM d
 """
+
+# Conversations as lists of turns; one goes if it is the head of a longer one, or equals one
+# with a smaller id.
+SQL_CHAT = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations
+),
+c AS (
+  SELECT conv_id, count(*) AS n, list('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) ORDER BY pos) AS turns
+  FROM t GROUP BY conv_id
+),
+gone AS (
+  SELECT a.conv_id FROM c a JOIN c b ON a.turns[1] = b.turns[1] AND a.conv_id <> b.conv_id
+  WHERE a.turns = b.turns[1:a.n] AND (b.n > a.n OR b.conv_id < a.conv_id)
+),
+k AS (SELECT c.* FROM c ANTI JOIN gone USING (conv_id)),
+p AS (SELECT conv_id, n, turns, unnest(range(0, (n + 1023) // 1024)) AS part FROM k)
+SELECT conv_id, part, n AS n_turns, array_to_string(turns[part * 1024 + 1 : part * 1024 + 1024], '') AS text FROM p
+"""
