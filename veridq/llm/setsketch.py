@@ -11,10 +11,11 @@ registers are the likelier the more similar two sets are.
 3. Each bucket links its members to its smallest one only.  A candidate pair is kept
    if the joint likelihood of its registers and set sizes has its maximum not far below
    the threshold, and is confirmed on the full shingle sets.
-4. Components of the confirmed links.  Buckets that still hold several components have
-   the pairs across components tested, so that a link that no star saw is found; such a
-   bucket with more than ``SMALL`` members is first split by a second band, which keeps
-   a link with the same probability.
+4. Components of the confirmed links.  In buckets that still hold several components a
+   link may exist that no star saw.  Rows that cannot have one are dropped first: the
+   intersection is at most the number of shingles that another such class has too.  What
+   is left of a bucket is compared in blocks of ``BLOCK`` rows by matrix products on the
+   full sets; only links that join components leave a task, never all pairs.
 
 Edge cases: null or empty text, or one without words, has an empty set and links with
 nothing; texts of one to three words have their whole sequence as only shingle; a row
@@ -26,6 +27,7 @@ an empty table gives no rows; further columns of the input are not read.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +41,7 @@ BANDS, ROWS = 24, 4
 M = BANDS * ROWS
 B, A, Q = 1.001, 20.0, (1 << 16) - 2  # base, rate and largest register value less one
 MARGIN = 0.25  # five standard deviations of the estimate
-SMALL = 64
+BLOCK = 512
 
 SEED = np.random.default_rng(20240611)
 MULT = SEED.integers(1, 1 << 63, M, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -213,34 +215,89 @@ def links(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = materialise(sets(texts.join(wanted, "c", "left_semi")), "setsketch-sets")
     found = materialise(confirm(stars, members), "setsketch-found")
     label = components(found, "setsketch-c1")
-    across = _across(met, label)
-    rest = promising(across.distinct(), classes)
-    more = materialise(confirm(rest, members), "setsketch-more")
+    more = materialise(_unseen(met, label, members), "setsketch-more")
     if more.isEmpty():
         return found, label
     every = found.unionByName(more)
     return every, components(every, "setsketch-c2")
 
 
-def _across(met: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs of a bucket in different components that no star has tested."""
+def _unseen(met: DataFrame, label: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) inside buckets that hold several components."""
     lab = label.select(F.col("node").alias("c"), "label")
-    rows = met.join(lab, "c", "left").select("band", "key", "lead", "c", "n", F.coalesce("label", "c").alias("comp"))
-    several = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("left"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    open_ = materialise(rows.join(several.select("band", "key", "left"), ["band", "key"]), "setsketch-open")
-    few = _pairs(open_.where(f"left <= {SMALL}"), ["band", "key"])
-    many = open_.where(f"left > {SMALL}")
-    if many.isEmpty():
-        return few
-    again = many.select("band", "key", "lead", "c", "n", "comp").join(met.select("c", F.col("band").alias("band2"), F.col("key").alias("key2")), "c").where("band <> band2")
-    return few.unionByName(_pairs(again, ["band", "key", "band2", "key2"]))
-
-
-def _pairs(rows: DataFrame, by: list[str]) -> DataFrame:
-    x = rows.select(*by, "lead", F.col("c").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = rows.select(*by, F.col("c").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    sized = F.expr(f"100 * least(na, nb) >= {SIMILAR} * greatest(na, nb)")
-    return x.join(y, by).where("a < b and ca <> cb and a <> lead").where(sized).select("a", "b")
+    rows = met.join(lab, "c", "left").select("band", "key", "c", "n", F.coalesce("label", "c").alias("comp"))
+    open_ = materialise(_several(rows), "setsketch-open")
+    # shingles that no other open class has cannot be in an intersection
+    mine = members.join(open_.select("c").distinct(), "c", "left_semi")
+    each = materialise(_exploded(mine), "setsketch-shingles")
+    shared = each.join(each.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1").select("h"), "h", "left_semi").groupBy("c").agg(F.count(F.lit(1)).alias("most"))
+    least = open_.groupBy("band", "key").agg(F.min("n").alias("low"))
+    able = open_.join(shared, "c").join(least, ["band", "key"]).where(f"100 * most >= {SIMILAR} * (n + low - most)")
+    left = materialise(_several(able.select("band", "key", "c", "n", "comp")), "setsketch-able")
+    # buckets are compared in blocks: rows of block i go to (i, j) for every block j
+    blocks = left.join(left.groupBy("band", "key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb")), ["band", "key"])
+    blocks = blocks.withColumn("i", F.pmod(F.xxhash64("c"), F.col("nb")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    dealt = blocks.select("band", "key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "c", "comp").join(members, "c")
+    ship(met.sparkSession)
+    return dealt.groupBy("band", "key", "i", "j").applyInPandas(_linked, "a long, b long")
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets with more than one component."""
+    some = rows.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return rows.join(some.select("band", "key"), ["band", "key"], "left_semi")
+
+
+def _exploded(members: DataFrame) -> DataFrame:
+    """c, h: a row for each shingle."""
+
+    def make():
+        def fn(cs, sets):
+            got = [np.frombuffer(x, dtype=np.int64) for x in sets]
+            return {"c": np.repeat(np.array(cs, dtype=np.int64), [len(x) for x in got]), "h": np.concatenate(got)}
+
+        return fn
+
+    return arrow_map(members, make, "c long, h long", "c", "s")
+
+
+def _linked(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links between different components among the rows of two blocks; of all links
+    those that join components not joined by the ones before."""
+    pdf = pdf.sort_values("c", kind="stable")
+    cs, comps = pdf["c"].to_numpy(), pdf["comp"].to_numpy()
+    got = [np.frombuffer(x, dtype=np.uint64) for x in pdf["s"]]
+    size = np.array([len(x) for x in got])
+    row = np.repeat(np.arange(len(got)), size)
+    _, at, count = np.unique(np.concatenate(got), return_inverse=True, return_counts=True)
+    several = count > 1
+    number = np.cumsum(several) - 1
+    use = several[at]
+    row, col = row[use], number[at[use]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    met = np.zeros((len(got), len(got)), dtype=np.float32)
+    for lo in range(0, int(several.sum()), 4096):
+        i, j = np.searchsorted(col, [lo, lo + 4096])
+        part = np.zeros((len(got), 4096), dtype=np.float32)
+        part[row[i:j], col[i:j] - lo] = 1
+        met += part @ part.T
+    near = 100 * met >= SIMILAR * (size[:, None] + size[None, :] - met)
+    x, y = np.nonzero(np.triu(near & (comps[:, None] != comps[None, :]), 1))
+    root: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while root.get(v, v) != v:
+            v = root[v]
+        return v
+
+    keep = []
+    for i, j in zip(x.tolist(), y.tolist(), strict=True):
+        a, b = find(int(comps[i])), find(int(comps[j]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            keep.append((int(cs[i]), int(cs[j])))
+    return pd.DataFrame(keep, columns=["a", "b"], dtype="int64")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
