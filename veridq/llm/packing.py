@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veridq.llm.bpe import encoder
+from veridq.llm.bpe import rank_encoder
 from veridq.llm.common import arrow_map, ship
 
 SIZE = 2048
@@ -71,7 +71,7 @@ def cut(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 1, id_col: s
     """Pieces of each document: doc_id, start, length, ids_crc32, doc_tokens, deal."""
 
     def make():
-        enc, end, step = encoder(path), int(end_id).to_bytes(4, "little"), 4 * size
+        enc, end, step = rank_encoder(path), int(end_id).to_bytes(4, "little"), 4 * size
 
         def fn(ids, texts):
             rows = [], [], [], [], [], []
