@@ -82,6 +82,8 @@ class Merges:
             x, y, z = vocab[a], vocab[b], vocab[a + b]
             if x not in made or y not in made or z in made:
                 raise ValueError("the merge list must build each token once, from tokens built before")
+            if self.made and z <= self.made[-1] or z in self.final:
+                raise ValueError("ids must rise in merge order")
             made.add(z)
             self.rank[x, y] = r
             self.made.append(z)
@@ -324,24 +326,24 @@ class WordEncoder(Encoder):
 
         self.library = Tokenizer.from_file(path)
         # a word's last byte and this mark merge before all others: the byte at a word's end
-        names, mark = [*self.m.first, *self.m.final, *self.m.made], b"\xff"
-        parts = [bytes([b]) for b in range(256)] + [bytes([b]) + mark for b in range(256)]
-        parts += [self.m.bytes[i] + mark * self.m.ends[i] for i in self.m.made]
-        self.pieces = pieces(parts, WORD_PATTERN).encode_single_piece
-        self.name = names.__getitem__
+        mark = b"\xff"
+        parts = {bytes([b]): i for b, i in enumerate(self.m.first)} | {bytes([b]) + mark: i for b, i in enumerate(self.m.final)}
+        parts |= {self.m.bytes[i] + mark * self.m.ends[i]: i for i in self.m.made}
+        self.piece = pieces(parts, WORD_PATTERN).encode_single_piece
         self.unsettled = regex.compile(rf"[^{SETTLED}]")
 
     def word(self, word: str) -> bytes:
-        return array("I", map(self.name, self.pieces(word.encode() + b"\xff"))).tobytes()
+        return array("I", self.piece(word.encode() + b"\xff")).tobytes()
 
     def _plain(self, text: str, out: list[bytes]) -> None:
-        if not text.isascii():
+        find = self.plain
+        if UNPLAIN.search(text):
             if self.unsettled.search(text):
                 out.append(array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes())
                 return
             text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")  # no final form of sigma
+            find = self.any
         text, get = text.lower(), self.words.__getitem__
-        find = self.any if UNPLAIN.search(text) else self.plain
         if len(text) <= CHUNK:
             out.extend(map(get, find.findall(text)))
         else:
@@ -355,23 +357,20 @@ class RankEncoder(Encoder):
 
     def __init__(self, path: str):
         super().__init__(path)
-        names = [*self.m.first, *self.m.made]
-        self.ranks = pieces([self.m.bytes[i] for i in names], PATTERN)
-        self.name = np.array(names, dtype="<u4")
+        self.ranks = pieces({self.m.bytes[i]: i for i in (*self.m.first, *self.m.made)}, PATTERN)
 
     def _plain(self, text: str, out: list[bytes]) -> None:
         if self.LONG.search(text):  # long pre-tokens take the windowed way
             super()._plain(text, out)
         else:
-            got = np.frombuffer(self.ranks.encode_to_tiktoken_buffer(text, set()), dtype="<u4")
-            out.append(self.name[got].tobytes())
+            out.append(bytes(self.ranks.encode_to_tiktoken_buffer(text, set())))
 
 
-def pieces(parts: list[bytes], pattern: str):
-    """The rank library's core over byte strings in merge order."""
+def pieces(ids: dict[bytes, int], pattern: str):
+    """The rank library's core; its ranks are the ids."""
     import tiktoken
 
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks={b: i for i, b in enumerate(parts)}, special_tokens={})._core_bpe
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ids, special_tokens={})._core_bpe
 
 
 @lru_cache(maxsize=2)

@@ -3,7 +3,7 @@
 A line is compared by its character shingles: ``K`` characters (fewer at its end) from
 every position that does not follow a lower-case letter, so that inside a word none starts.
 
-1. Equal lines (trimmed, lower-cased) are collapsed; each line text goes on once.
+1. Equal lines (without spaces at the ends, lower-cased) are collapsed; each line text goes on once.
 2. The signature is the line's shingle hashes in order.  A band is ``ROWS`` consecutive
    hashes, taken in a circle from the first hash of each of ``BANDS`` equal ranges; a
    short line has a band from every hash.  Lines of similarity 0.8 share a given band
@@ -12,7 +12,7 @@ every position that does not follow a lower-case letter, so that inside a word n
 3. In each bucket the smallest line is paired with the others; a pair is a link if the
    Jaccard similarity of the full shingle sets is at least 0.8.
 4. Components of the links; in buckets that still hold several, the pairs across
-   components are tested too.  One line of each component stays: the first
+   components are tested too, in blocks.  One line of each component stays: the first
    by document and line number.
 
 Edge cases: null or empty text has no lines; blank lines are never compared and stay;
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from veridq.llm.common import materialise
 from veridq.llm.components import components
@@ -33,7 +34,7 @@ K = 8
 ROWS, BAND_BITS = 4, 4
 BANDS = 1 << BAND_BITS
 SIMILAR = 80  # per cent
-SMALL = 64
+BLOCK = 128
 
 
 def shingle_hashes(text: str) -> Column:
@@ -45,7 +46,7 @@ def shingle_hashes(text: str) -> Column:
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, line_no, raw line, its normal form ``line`` and that one's two hashes."""
     got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "raw"))
-    got = got.withColumn("line", F.trim(F.lower("raw"), F.lit(" \t\r\f\x0b")))
+    got = got.withColumn("line", F.trim(F.lower("raw")))
     return got.withColumn("k1", F.xxhash64("line")).withColumn("k2", F.xxhash64(F.lit(1), "line"))
 
 
@@ -68,25 +69,36 @@ def confirm(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
     return met.where(F.col("met") * 100 >= SIMILAR * F.col("all")).select("a", "b")
 
 
-def _across(met: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are in different components and not paired before."""
-    rows = met.join(label.select(F.col("node").alias("lid"), "label"), "lid", "left").withColumn("comp", F.coalesce("label", "lid"))
-    several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("left"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    open_ = materialise(rows.join(several.select("key", "left"), "key").select("key", "lid", "n", "lead", "comp", "left"), "lines-open")
-    few = _pairs(open_.where(f"left <= {SMALL}"), ["key"])
-    many = open_.where(f"left > {SMALL}")
-    if many.isEmpty():
-        return few
-    # a large bucket is split by a second band; a link keeps one with the same probability
-    again = many.join(met.select("lid", F.col("key").alias("key2")), "lid").where("key <> key2")
-    return few.unionByName(_pairs(again, ["key", "key2"]))
+def _several(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets with more than one component."""
+    some = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return rows.join(some.select("key"), "key", "left_semi")
+
 
+def _unseen(met: DataFrame, label: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Links (a, b) between components of a bucket.
 
-def _pairs(rows: DataFrame, by: list[str]) -> DataFrame:
-    x = rows.select(*by, "lead", F.col("lid").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = rows.select(*by, F.col("lid").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-    sized = F.expr(f"100 * least(na, nb) >= {SIMILAR} * greatest(na, nb)")
-    return x.join(y, by).where("a < b and ca <> cb and a <> lead").where(sized).select("a", "b").distinct()
+    Lines that cannot be in a link go first: an intersection is at most the shingles that
+    another open line has too.  The rest of a bucket is compared in blocks of at most
+    about ``BLOCK`` lines, in one expression over the block's array, so that only links
+    become rows."""
+    rows = met.join(label.select(F.col("node").alias("lid"), "label"), "lid", "left").withColumn("comp", F.coalesce("label", "lid"))
+    open_ = materialise(_several(rows.select("key", "lid", "n", "comp")), "lines-open")
+    sets = materialise(distinct.join(open_.select("lid").distinct(), "lid", "left_semi").select("lid", shingle_hashes("line").alias("h")), "lines-sets")
+    each = sets.select("lid", F.explode("h").alias("h"))
+    shared = each.join(each.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1").select("h"), "h", "left_semi").groupBy("lid").agg(F.count(F.lit(1)).alias("most"))
+    least = open_.groupBy("key").agg(F.min("n").alias("low"))
+    able = open_.join(shared, "lid").join(least, "key").where(f"100 * most >= {SIMILAR} * (n + low - most)")
+    left = materialise(_several(able.select("key", "lid", "n", "comp", "most")), "lines-able")
+    blocks = left.join(left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb")), "key")
+    blocks = blocks.withColumn("i", F.pmod(F.xxhash64("lid"), F.col("nb")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    dealt = blocks.withColumn("p", F.least("i", "j")).withColumn("q", F.greatest("i", "j")).join(sets, "lid")
+    groups = dealt.groupBy("key", "p", "q").agg(F.collect_list(F.struct("lid", "comp", "most", "n", "h")).alias("m"))
+    # the union is at least the larger set, so the least intersection is known beforehand
+    near = f"100 * size(array_intersect(x.h, y.h)) >= {SIMILAR} * (x.n + y.n - size(array_intersect(x.h, y.h)))"
+    able_pair = f"100 * least(x.most, y.most) >= {SIMILAR} * (x.n + y.n - least(x.most, y.most))"
+    found = f"filter(m, y -> y.lid > x.lid and y.comp <> x.comp and {able_pair} and {near})"
+    return groups.select(F.explode(F.expr(f"flatten(transform(m, x -> transform({found}, y -> named_struct('a', x.lid, 'b', y.lid))))")).alias("l")).select("l.a", "l.b").distinct()
 
 
 def line_components(docs: DataFrame) -> DataFrame:
@@ -94,15 +106,15 @@ def line_components(docs: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNotNull().alias("real"), F.col("doc_id"), F.col("line_no"))
     distinct = lines(docs).where("line <> ''").groupBy("k1", "k2").agg(F.first("line").alias("line"), F.min(place).alias("place"), F.count(F.lit(1)).alias("times"))
     distinct = materialise(distinct.withColumn("lid", F.monotonically_increasing_id()), "lines-distinct")
-    banded = materialise(bands(distinct), "lines-bands")
-    buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("lid").alias("lead")).where("size > 1")
-    met = materialise(banded.join(buckets.select("key", "lead"), "key"), "lines-met")
+    in_bucket = Window.partitionBy("key")
+    banded = bands(distinct).withColumn("size", F.count(F.lit(1)).over(in_bucket)).withColumn("lead", F.min("lid").over(in_bucket))
+    met = materialise(banded.where("size > 1").drop("size"), "lines-met")
     sized = F.expr(f"100 * least(n, ln) >= {SIMILAR} * greatest(n, ln)")
     leads = met.where("lid = lead").select("key", F.col("n").alias("ln"))
     stars = met.where("lid <> lead").join(leads, "key").where(sized).select(F.col("lead").alias("a"), F.col("lid").alias("b")).distinct()
     links = materialise(confirm(stars, distinct), "lines-links")
     label = components(links, "lines-c1")
-    more = materialise(confirm(_across(met, label), distinct), "lines-more")
+    more = materialise(_unseen(met, label, distinct), "lines-more")
     if not more.isEmpty():
         label = components(links.unionByName(more), "lines-c2")
     of = distinct.select("k1", "k2", "lid", "place", "times").join(label.select(F.col("node").alias("lid"), "label"), "lid", "left").withColumn("comp", F.coalesce("label", "lid"))

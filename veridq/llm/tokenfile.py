@@ -3,9 +3,9 @@
 A file row is a segment: whole documents in order, their ids in one stream cut into blocks
 of ``BLOCK`` ids.  Every block starts from the same state and has a checksum of its ids.
 The model predicts an id three times: order 2 and order 1 remember the id that followed the
-last two ids and the last one (hashed, with a confidence), order 0 has the segment's
+last two ids (hashed, with a confidence) and the last one, order 0 has the segment's
 frequencies, which its header holds.  The weights of the predictions are learnt in the
-block, one pair for each state of both confidences; they drive a range coder with a 48-bit
+block, one pair for each confidence and for whether both agree; they drive a range coder with a 48-bit
 interval.  All blocks of a segment are coded side by side, each a lane of numpy arrays, so
 one step handles an id of every block.
 
@@ -34,49 +34,50 @@ from veridq.session import new_path
 MAGIC = b"VQTB1\0\0\0"
 BLOCK = 2048  # ids in a block
 LANES = 4096  # blocks in a segment, about
-SLOTS1, SLOTS2 = 11, 12  # bits of the context tables
+SLOTS1, SLOTS2 = 9, 10  # bits of the context tables
 HEAD = struct.Struct("<8sIIQII")
 
 
 class Lanes:
-    """The model's state for n blocks, all fresh."""
+    """The model's state for n blocks, all fresh.
+
+    Order 2 keeps id * 4 + confidence, order 1 the id.  Shares are of 4096 and stay
+    between LEAST and MOST; shifts of differences move them towards either."""
+
+    LEAST, MOST = 31, 4064
 
     def __init__(self, n: int):
         self.n = n
         self.lane = np.arange(n)
         self.t1 = np.zeros(n << SLOTS1, dtype=np.int32)
         self.t2 = np.zeros(n << SLOTS2, dtype=np.int32)
-        self.p1 = np.full(n * 32, 1024, dtype=np.int32)
-        self.p2 = np.full(n * 32, 1024, dtype=np.int32)
-        self.a = np.zeros(n, dtype=np.int64)
-        self.b = np.zeros(n, dtype=np.int64)
+        self.p1 = np.full(n * 8, 1024, dtype=np.int32)
+        self.p2 = np.full(n * 8, 1024, dtype=np.int32)
+        self.a = np.zeros(n, dtype=np.int32)  # hashes of the last two ids
+        self.b = np.zeros(n, dtype=np.int32)
 
     def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of order 2 and 1, and their shares of 4096."""
-        h = (self.a * 40503 + self.b * 30011) & 0xFFFFFF
-        self.i2 = ((h >> 3 ^ h >> 13) & ((1 << SLOTS2) - 1)) * self.n + self.lane
-        self.i1 = ((self.b * 40503 >> 5) & ((1 << SLOTS1) - 1)) * self.n + self.lane
-        self.e2, self.e1 = self.t2[self.i2], self.t1[self.i1]
-        o2, o1 = self.e2 >> 2, self.e1 >> 2
-        self.same = o1 == o2
-        state = ((self.e2 & 3) << 2) + (self.e1 & 3) + (self.same.view(np.int8) << 4)
-        self.s = state * self.n + self.lane
+        self.i2 = (((self.a * 5) ^ self.b) >> 9 & ((1 << SLOTS2) - 1)) * np.int64(self.n) + self.lane
+        self.i1 = (self.b >> 9 & ((1 << SLOTS1) - 1)) * np.int64(self.n) + self.lane
+        self.e2, o1 = self.t2[self.i2], self.t1[self.i1]
+        o2 = self.e2 >> 2
+        self.c = self.e2 & 3
+        self.other = (o1 != o2).astype(np.int32)
+        self.s = (self.c * 2 + self.other) * np.int64(self.n) + self.lane
         f2 = self.p2[self.s]
         self.q1 = self.p1[self.s]
-        f1 = (self.q1 * (4096 - f2)) >> 12
-        f1[self.same] = 0
-        return o2, o1, f2, f1
+        return o2, o1, f2, (self.q1 * (4096 - f2) >> 12) * self.other
 
     def learn(self, x: np.ndarray, f2: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        self.p2[self.s] = f2 + np.where(hit2, (4096 - f2) >> 4, -(f2 >> 4))
-        step = np.where(hit1, (4096 - self.q1) >> 4, -(self.q1 >> 4))
-        step[hit2 | self.same] = 0
-        self.p1[self.s] = self.q1 + step
-        new = x.astype(np.int32) << 2
-        for t, i, e in ((self.t2, self.i2, self.e2), (self.t1, self.i1, self.e1)):
-            c = e & 3
-            t[i] = np.where(e - c == new, e + (c < 3), np.where(c > 0, e - 1, new))
-        self.a, self.b = self.b, x
+        """``hit2`` and ``hit1``: 1 where the prediction was right, else 0."""
+        low, span = self.LEAST, self.MOST - self.LEAST
+        self.p2[self.s] = f2 + ((low + hit2 * span - f2) >> 4)
+        self.p1[self.s] = self.q1 + ((low + hit1 * span - self.q1) >> 4) * (1 - hit2) * self.other
+        step = hit2 * (1 + (self.c < 3)) - 1
+        self.t2[self.i2] = np.where((hit2 | self.c) > 0, self.e2 + step, x << 2)
+        self.t1[self.i1] = x
+        self.a, self.b = self.b, x * 40503
 
 
 def table_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +107,7 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]
     used, share = table_of(ids)
     zero = Order0(used, share)
     n = -(-len(ids) // BLOCK)
-    grid = np.zeros((n, BLOCK), dtype=np.int64)
+    grid = np.zeros((n, BLOCK), dtype=np.int32)
     grid.ravel()[: len(ids)] = ids
     grid[n - 1, len(ids) - (n - 1) * BLOCK :] = used[0]
     grid = np.ascontiguousarray(grid.T)
@@ -138,12 +139,13 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]
     for t in range(min(BLOCK, len(ids))):
         x = grid[t]
         o2, o1, f2, f1 = m.predict()
-        hit2 = x == o2
-        hit1 = (x == o1) & (f1 > 0) & ~hit2
-        rest = ~(hit2 | hit1)
+        hit2 = (x == o2).astype(np.int32)
+        hit1 = ((x == o1) & (f1 > 0)) * (1 - hit2)
+        rest = 1 - hit2 - hit1
         r = rng >> 12
-        low += r * np.where(hit2, 0, np.where(hit1, f2, f2 + f1))
-        rng = r * np.where(hit2, f2, np.where(hit1, f1, 4096 - f2 - f1))
+        both = f2 + f1
+        low += r * ((1 - hit2) * f2 + rest * f1)
+        rng = r * (hit2 * f2 + hit1 * f1 + rest * (4096 - both))
         renorm(m.lane, low, rng)
         lane = np.flatnonzero(rest)
         if len(lane):
@@ -176,7 +178,7 @@ def decode_blocks(used: np.ndarray, share: np.ndarray, blocks: list[bytes], tota
         code = code << 16 | words[i * n : (i + 1) * n]
     rng = np.full(n, 1 << 48, dtype=np.int64)
     pos = np.full(n, 3, dtype=np.int64)
-    grid = np.zeros((min(BLOCK, total), n), dtype=np.int64)
+    grid = np.zeros((min(BLOCK, total), n), dtype=np.int32)
 
     def renorm(lane: np.ndarray, co: np.ndarray, rg: np.ndarray) -> None:
         few = np.flatnonzero(rg < 1 << 32)
@@ -190,15 +192,14 @@ def decode_blocks(used: np.ndarray, share: np.ndarray, blocks: list[bytes], tota
     for t in range(len(grid)):
         o2, o1, f2, f1 = m.predict()
         r = rng >> 12
-        v = code // r
         both = f2 + f1
-        hit2 = v < f2
-        rest = v >= both
-        hit1 = ~(hit2 | rest)
-        code -= r * np.where(hit2, 0, np.where(hit1, f2, both))
-        rng = r * np.where(hit2, f2, np.where(hit1, f1, 4096 - both))
+        hit2 = (code < r * f2).astype(np.int32)
+        rest = (code >= r * both).astype(np.int32)
+        hit1 = 1 - hit2 - rest
+        code -= r * ((1 - hit2) * f2 + rest * f1)
+        rng = r * (hit2 * f2 + hit1 * f1 + rest * (4096 - both))
         renorm(m.lane, code, rng)
-        x = np.where(hit2, o2, o1).astype(np.int64)
+        x = o1 + hit2 * (o2 - o1)
         lane = np.flatnonzero(rest)
         if len(lane):
             co, rg = code[lane], rng[lane] >> 16
