@@ -60,12 +60,11 @@ def bands(distinct: DataFrame) -> DataFrame:
     return rows.select("lid", "n", F.explode(F.expr(f"array_distinct(transform(at, i -> xxhash64(least(n, {ROWS}), {run})))")).alias("key"))
 
 
-def confirm(pairs: DataFrame, distinct: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are similar."""
-    side = lambda x: distinct.select(F.col("lid").alias(x), F.col("line").alias(f"t{x}"))
+    side = lambda x: sets.select(F.col("lid").alias(x), F.col("h").alias(f"h{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    sets = both.select("a", "b", shingle_hashes("ta").alias("x"), shingle_hashes("tb").alias("y"))
-    met = sets.withColumn("met", F.size(F.array_intersect("x", "y"))).withColumn("all", F.size("x") + F.size("y") - F.col("met"))
+    met = both.withColumn("met", F.size(F.array_intersect("ha", "hb"))).withColumn("all", F.size("ha") + F.size("hb") - F.col("met"))
     return met.where(F.col("met") * 100 >= SIMILAR * F.col("all")).select("a", "b")
 
 
@@ -75,7 +74,7 @@ def _several(rows: DataFrame) -> DataFrame:
     return rows.join(some.select("key"), "key", "left_semi")
 
 
-def _unseen(met: DataFrame, label: DataFrame, distinct: DataFrame) -> DataFrame:
+def _unseen(met: DataFrame, label: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between components of a bucket.
 
     Lines that cannot be in a link go first: an intersection is at most the shingles that
@@ -84,8 +83,7 @@ def _unseen(met: DataFrame, label: DataFrame, distinct: DataFrame) -> DataFrame:
     become rows."""
     rows = met.join(label.select(F.col("node").alias("lid"), "label"), "lid", "left").withColumn("comp", F.coalesce("label", "lid"))
     open_ = materialise(_several(rows.select("key", "lid", "n", "comp")), "lines-open")
-    sets = materialise(distinct.join(open_.select("lid").distinct(), "lid", "left_semi").select("lid", shingle_hashes("line").alias("h")), "lines-sets")
-    each = sets.select("lid", F.explode("h").alias("h"))
+    each = sets.join(open_.select("lid").distinct(), "lid", "left_semi").select("lid", F.explode("h").alias("h"))
     shared = each.join(each.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1").select("h"), "h", "left_semi").groupBy("lid").agg(F.count(F.lit(1)).alias("most"))
     least = open_.groupBy("key").agg(F.min("n").alias("low"))
     able = open_.join(shared, "lid").join(least, "key").where(f"100 * most >= {SIMILAR} * (n + low - most)")
@@ -112,9 +110,12 @@ def line_components(docs: DataFrame) -> DataFrame:
     sized = F.expr(f"100 * least(n, ln) >= {SIMILAR} * greatest(n, ln)")
     leads = met.where("lid = lead").select("key", F.col("n").alias("ln"))
     stars = met.where("lid <> lead").join(leads, "key").where(sized).select(F.col("lead").alias("a"), F.col("lid").alias("b")).distinct()
-    links = materialise(confirm(stars, distinct), "lines-links")
+    # full sets of the lines that meet another one in a bucket
+    sets = distinct.join(met.select("lid").distinct(), "lid", "left_semi").select("lid", shingle_hashes("line").alias("h"))
+    sets = materialise(sets, "lines-sets")
+    links = materialise(confirm(stars, sets), "lines-links")
     label = components(links, "lines-c1")
-    more = materialise(_unseen(met, label, distinct), "lines-more")
+    more = materialise(_unseen(met, label, sets), "lines-more")
     if not more.isEmpty():
         label = components(links.unionByName(more), "lines-c2")
     of = distinct.select("k1", "k2", "lid", "place", "times").join(label.select(F.col("node").alias("lid"), "label"), "lid", "left").withColumn("comp", F.coalesce("label", "lid"))
