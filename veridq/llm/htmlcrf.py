@@ -149,8 +149,7 @@ def blocks(page: str) -> list[Block]:
 def features(page: list[Block]) -> list[list[str]]:
     """Names of the features that hold, for each block."""
     out = []
-    last = len(page) - 1
-    for i, b in enumerate(page):
+    for b in page:
         f = ["bias"]
         f += {f"in:{t}" for t in b.path}
         f += {f"word:{w}" for w in b.words}
@@ -166,10 +165,6 @@ def features(page: list[Block]) -> list[list[str]]:
             f.append("copyright")
         if b.text[0].islower():
             f.append("small")
-        if i == 0:
-            f.append("first")
-        if i == last:
-            f.append("last")
         out.append(f)
     return out
 
