@@ -74,24 +74,24 @@ def parse_date(c: str | Column, formats: Iterable[str]) -> Column:
     return F.when(F.year(d) >= 1, d)
 
 
-# Python float() grammar after strip: sign, digits with single "_" between
-# digits, optional fraction, optional exponent; or inf / infinity / nan.
-_PY_FLOAT = (
-    r"^[+-]?(?:(?:\d(?:_?\d)*(?:\.(?:\d(?:_?\d)*)?)?|\.\d(?:_?\d)*)"
-    r"(?:[eE][+-]?\d(?:_?\d)*)?|(?i:inf|infinity|nan))$"
-)
+# Python float() grammar after strip, in character classes only (a group in a loop would
+# recurse per character): "_" only between digits; then sign, digits, optional fraction
+# and exponent; or inf / infinity / nan.
+_MISPLACED = r"(?:^|[^0-9])_|_(?:[^0-9]|$)"
+_DECIMAL = r"^[+-]?(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?$"
+_INFINITE = r"^[+-]?(?i:inf|infinity)$"
+_NAN = r"^[+-]?(?i:nan)$"
 
 
 def parse_number(c: str | Column, stripped: Column | None = None) -> Column:
     """F5 — Python ``float(str(v).strip())``; null when Python would raise.
 
     Spark's cast alone also accepts ``1.5f``/``12d`` and rejects ``1_000``;
-    the regex guard restores Python's grammar."""
+    the regex guards restore Python's grammar."""
     s = stripped if stripped is not None else ustrip(c)
-    return F.when(
-        s.rlike(_PY_FLOAT),
-        F.regexp_replace(s, "_", "").try_cast("double"),
-    )
+    plain = F.regexp_replace(s, "_", "")
+    number = F.when(~s.rlike(_MISPLACED) & plain.rlike(_DECIMAL), plain.try_cast("double"))
+    return F.when(s.rlike(_NAN), F.lit(float("nan"))).when(s.rlike(_INFINITE), s.try_cast("double")).otherwise(number)
 
 
 def is_finite(n: Column) -> Column:

@@ -49,6 +49,9 @@ def work_dir(spark: SparkSession) -> str:
     itself is static and cannot be changed at runtime."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = getattr(spark.sparkContext, "master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="veridq-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d
@@ -62,8 +65,4 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:")
-
-
 __all__ = ["local_session", "work_dir", "new_path", "RECOMMENDED_CONF", "JIT_OPTS"]

@@ -69,13 +69,18 @@ def messy_from_orders(orders: DataFrame) -> DataFrame:
 _VIEWS: dict = {}
 
 
-def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messy(spark: SparkSession, sf_dir: str, deal: bool = True) -> DataFrame:
     """The view over ``{sf_dir}/orders.parquet``.  The (lazy, immutable) DataFrame is
-    reused within an application while the scanned files are unchanged."""
-    from veridq.sources.tables import spread
+    reused within a session while the scanned files are unchanged.  ``deal``: spread the
+    column of an under-split file over all cores; a query that shuffles first has no use for it."""
+    from veridq.sources.tables import fingerprint
 
-    path = spread(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
-    key = (spark.sparkContext.applicationId, path)
+    path = f"{sf_dir.rstrip('/')}/orders.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path, fingerprint(spark, path), deal)
     if key not in _VIEWS:
-        _VIEWS[key] = messy_from_orders(spark.read.parquet(path).select("o_orderkey"))
+        keys = spark.read.parquet(path).select("o_orderkey")
+        cores = spark.sparkContext.defaultParallelism
+        if deal and keys.rdd.getNumPartitions() < cores:  # few row groups: deal out the one narrow column
+            keys = keys.repartition(cores)
+        _VIEWS[key] = messy_from_orders(keys)
     return _VIEWS[key]

@@ -11,11 +11,7 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# (file fingerprint, cores) -> path of the re-split copy, or "" when none is needed
-_LAYOUT: dict = {}
-
-
-def _fingerprint(spark: SparkSession, path: str) -> str:
+def fingerprint(spark: SparkSession, path: str) -> str:
     """Change detector for a file or folder: total length, file count and
     modification time (Hadoop FS; a constant number of calls)."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -27,45 +23,22 @@ def _fingerprint(spark: SparkSession, path: str) -> str:
     return hashlib.sha1(raw.encode()).hexdigest()[:20]
 
 
-def spread(spark: SparkSession, path: str, fingerprint: str | None = None) -> str:
-    """Path to scan for ``path``: itself, or a re-split copy when under-split.
-
-    A single-file / single-row-group table is read by one task, and every filter
-    the optimizer pushes into that scan runs on one core.  When the scan has fewer
-    splits than ``defaultParallelism``, the table is rewritten once (round-robin into
-    that many files) under the shared work folder and the copy is scanned instead;
-    the copy is keyed by the source files' size and modification time.  Tables with
-    enough splits — every large input — are read directly, with no extra work."""
-    from veridq.session import work_dir
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
-    cores = spark.sparkContext.defaultParallelism
-    key = (fingerprint or _fingerprint(spark, path), cores, work_dir(spark))
-    if key not in _LAYOUT:
-        df = spark.read.parquet(path)
-        if df.rdd.getNumPartitions() >= cores:
-            _LAYOUT[key] = path
-        else:
-            copy = f"{work_dir(spark)}/resplit/{key[0]}-{cores}"
-            jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-            marker = jvm.org.apache.hadoop.fs.Path(copy + "/_SUCCESS")
-            if not marker.getFileSystem(conf).exists(marker):
-                df.repartition(cores).write.mode("overwrite").parquet(copy)
-            _LAYOUT[key] = copy
-    return _LAYOUT[key]
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan of the given path; Catalyst prunes columns and pushes filters into it.
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
-    """Parquet scan; Catalyst prunes columns and pushes filters into it."""
+    The (lazy, immutable) scan is reused within a session; a changed source changes
+    the fingerprint and therefore the key."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    fp = _fingerprint(spark, path)
-    scan = spread(spark, path, fp) if spread_small else path
-    # The (lazy, immutable) scan is reused within an application; a changed source
-    # changes the fingerprint and therefore the key.
-    key = (spark.sparkContext.applicationId, scan, fp)
+    key = (spark.sparkContext.applicationId, id(spark), path, fingerprint(spark, path))
     if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(scan)
+        _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]
 
 

@@ -7,7 +7,8 @@
   target with a ``left_anti`` join, and writes the batch to a folder named by
   ``batchId`` with overwrite — re-running a batch after a failure replaces its
   output instead of duplicating it.
-* Event quality per day: ``withWatermark`` + ``groupBy(window(...))`` in append mode.
+* Event quality per day: every micro-batch writes its own counts per day, which a read
+  sums; events may arrive in any order and none is dropped as late.
 
 Checkpoints and outputs live under the shared work folder
 (``spark.checkpoint.dir``), never a machine-local path on a cluster.
@@ -15,6 +16,7 @@ Checkpoints and outputs live under the shared work folder
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,17 +27,16 @@ from veridq.operators import mask as MK
 from veridq.operators import validate as V
 from veridq.session import new_path
 from veridq.sources.messy import messy_from_orders
+from veridq.sources.tables import is_folder
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
-    """A driver table as a file stream (one file per micro-batch)."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    """A driver table, one file or a folder of files, as a file stream (``max_files`` per micro-batch)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", max_files)
+    if is_folder(spark, path):
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)  # a stream's path is a folder
 
 
 def _run(df: DataFrame, out: str, ck: str, mode: str = "append") -> None:
@@ -89,7 +90,9 @@ def dedupe_batch(target: str, key: str = "customer_id", order: str = "row_num"):
             first = C.keep_first(batch, key, order)
             try:
                 hist = spark.read.parquet(target).where(F.col("_batch") != batch_id).select(key)
-            except Exception:  # noqa: BLE001 — no history yet
+            except AnalysisException as e:
+                if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                    raise  # an unreadable history is not an empty one
                 hist = None
             if hist is not None:
                 keys = first.select(F.col(key).alias("_k")).distinct()
@@ -117,35 +120,27 @@ def dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).drop("_batch")
 
 
-def _upsert_days(out: str):
-    """foreachBatch: replace the partitions of the days updated in this batch."""
+def _count_days(out: str):
+    """foreachBatch: counts per day of this batch, in a folder of its own, so that a
+    replayed batch replaces its output."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("_day", F.col("day"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_day").parquet(out))
+        (batch.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"))
+         .agg(F.count(F.lit(1)).alias("n_events"), F.count_if(XT.event_failure(batch)).alias("n_failed"))
+         .write.mode("overwrite").parquet(f"{out}/_batch={batch_id}"))
 
     return fn
 
 
-def event_quality_stream(spark: SparkSession, sf_dir: str, watermark: str = "1 hour") -> DataFrame:
-    """Per-day event counts and failures with a watermark.
+def event_quality_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-day event counts and failures (days of the session time zone).
 
-    Update mode: every micro-batch emits the windows it changed and the sink
-    replaces those days (dynamic partition overwrite), so the still-open last
-    window is visible too; the watermark bounds the state kept."""
+    What is kept is a row per day and batch; a late event adds to its day."""
     out, ck = new_path(spark, "stream-events"), new_path(spark, "ck-events")
-    # watermarks need TIMESTAMP; NTZ values are read in the session time zone
     ev = stream_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    agg = (
-        ev.withWatermark("ts", watermark)
-        .groupBy(F.window("ts", "1 day"))
-        .agg(F.count(F.lit(1)).alias("n_events"), F.count_if(XT.event_failure(ev)).alias("n_failed"))
-        .select(F.date_format(F.col("window.start"), "yyyy-MM-dd").alias("day"), "n_events", "n_failed")
-    )
     q = (
-        agg.writeStream.outputMode("update").foreachBatch(_upsert_days(out))
+        ev.writeStream.foreachBatch(_count_days(out))
         .option("checkpointLocation", ck).trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    return spark.read.parquet(out).drop("_day")
+    return spark.read.parquet(out).groupBy("day").agg(F.sum("n_events").alias("n_events"), F.sum("n_failed").alias("n_failed"))
