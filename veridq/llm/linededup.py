@@ -75,7 +75,7 @@ def _several(rows: DataFrame) -> DataFrame:
 
 
 def _unseen(met: DataFrame, label: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between components of a bucket.
+    """Pairs (a, b) of components with a link inside a bucket.
 
     Lines that cannot be in a link go first: an intersection is at most the shingles that
     another open line has too.  The rest of a bucket is compared in blocks of at most
@@ -96,7 +96,7 @@ def _unseen(met: DataFrame, label: DataFrame, sets: DataFrame) -> DataFrame:
     near = f"100 * size(array_intersect(x.h, y.h)) >= {SIMILAR} * (x.n + y.n - size(array_intersect(x.h, y.h)))"
     able_pair = f"100 * least(x.most, y.most) >= {SIMILAR} * (x.n + y.n - least(x.most, y.most))"
     found = f"filter(m, y -> y.lid > x.lid and y.comp <> x.comp and {able_pair} and {near})"
-    return groups.select(F.explode(F.expr(f"flatten(transform(m, x -> transform({found}, y -> named_struct('a', x.lid, 'b', y.lid))))")).alias("l")).select("l.a", "l.b").distinct()
+    return groups.select(F.explode(F.expr(f"flatten(transform(m, x -> transform({found}, y -> named_struct('a', least(x.comp, y.comp), 'b', greatest(x.comp, y.comp)))))")).alias("l")).select("l.a", "l.b").distinct()
 
 
 def line_components(docs: DataFrame) -> DataFrame:
@@ -116,9 +116,10 @@ def line_components(docs: DataFrame) -> DataFrame:
     links = materialise(confirm(stars, sets), "lines-links")
     label = components(links, "lines-c1")
     more = materialise(_unseen(met, label, sets), "lines-more")
-    if not more.isEmpty():
-        label = components(links.unionByName(more), "lines-c2")
     of = distinct.select("k1", "k2", "lid", "place", "times").join(label.select(F.col("node").alias("lid"), "label"), "lid", "left").withColumn("comp", F.coalesce("label", "lid"))
+    if not more.isEmpty():  # components that are one
+        joined = components(more, "lines-c2").select(F.col("node").alias("comp"), F.col("label").alias("into"))
+        of = of.join(joined, "comp", "left").withColumn("comp", F.coalesce("into", "comp"))
     best = of.groupBy("comp").agg(F.min("place").alias("keep"), F.sum("times").alias("group_size"))
     return of.select("k1", "k2", "comp").join(best, "comp").select("k1", "k2", "keep", "group_size")
 
