@@ -203,16 +203,20 @@ class Transducer:
 
 
 class Remembered(dict):
-    """Results for short strings; forgets all when full."""
+    """Results for short strings, ``CACHED`` at most: those not asked for while half as
+    many others came are forgotten."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, text: str) -> bytes:
-        ids = self.make(text)
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.make(text)
         if len(text) <= SHORT:
-            if len(self) >= CACHED:
+            if len(self) >= CACHED // 2:
+                self.older = dict(self)
                 self.clear()
             self[text] = ids
         return ids
@@ -268,7 +272,7 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         out: list[bytes] = []
         if text:
-            if self.split is None or not self.split.search(text):
+            if not any(s in text for s in self.m.special):
                 self._plain(text, out)
             else:
                 for part in self.split.split(text):
@@ -314,6 +318,10 @@ PLAIN_WORD_PATTERN = r"[^\W\d_]+|\d|'(?:[stmd]|re|ve|ll)|(?:[^\s\w]|_)+"
 SETTLED = r"\x00-\u0377\u037a-\u037e\u0384-\u038a\u038c\u038e-\u03a1\u03a3-\u0527\u05d0-\u05ea\u0621-\u064a\u2010-\u2027\u2030-\u205e\u20a0-\u20b9\u2190-\u23f3\u2500-\u26ff\u3001-\u303f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\U0001f600-\U0001f64f"
 
 
+SEPARATOR = re.compile(r"[\x1c-\x1f]")
+WHITE = re.compile(rf"[{SPACE}]")
+
+
 class WordEncoder(Encoder):
     """Ids of a BPE file with word ends: the text is composed (NFC) and lower-cased
     character by character, and white space between pre-tokens is dropped."""
@@ -331,23 +339,37 @@ class WordEncoder(Encoder):
         parts |= {self.m.bytes[i] + mark * self.m.ends[i]: i for i in self.m.made}
         self.piece = pieces(parts, WORD_PATTERN).encode_single_piece
         self.unsettled = regex.compile(rf"[^{SETTLED}]")
+        self.parts = Remembered(self._part)
 
     def word(self, word: str) -> bytes:
         return array("I", self.piece(word.encode() + b"\xff")).tobytes()
 
+    def _part(self, text: str) -> bytes:
+        """Lower-cased text between white space.  No pre-token has white space, so a part's
+        ids do not depend on its neighbours."""
+        if text.isascii():
+            if text.isalpha():
+                return self.word(text)
+            if text[-1] in ".,;:!?" and text[:-1].isalpha():
+                return self.parts[text[:-1]] + self.parts[text[-1]]
+        find = (self.any if UNPLAIN.search(text) else self.plain).finditer
+        return b"".join([self.word(m.group()) for m in find(text)])
+
     def _plain(self, text: str, out: list[bytes]) -> None:
-        find = self.plain
         if UNPLAIN.search(text):
             if self.unsettled.search(text):
                 out.append(array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes())
                 return
             text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")  # no final form of sigma
-            find = self.any
-        text, get = text.lower(), self.words.__getitem__
-        if len(text) <= CHUNK:
-            out.extend(map(get, find.findall(text)))
-        else:
-            out.extend(get(m.group()) for m in find.finditer(text))
+            if SEPARATOR.search(text):  # split() takes these for white space, the pattern does not
+                out.append(self._part(text.lower()))
+                return
+        text, get, pos = text.lower(), self.parts.__getitem__, 0
+        while pos < len(text):  # cut at white space, so that few parts are held at a time
+            cut = WHITE.search(text, pos + CHUNK)
+            end = cut.start() if cut else len(text)
+            out.extend(map(get, text[pos:end].split()))
+            pos = end
 
 
 class RankEncoder(Encoder):

@@ -5,7 +5,7 @@ of ``BLOCK`` ids.  Every block starts from the same state and has a checksum of
 The model predicts an id three times: order 2 and order 1 remember the id that followed the
 last two ids (hashed, with a confidence) and the last one, order 0 has the segment's
 frequencies, which its header holds.  The weights of the predictions are learnt in the
-block, one pair for each confidence and for whether both agree; they drive a range coder with a 48-bit
+block, one pair for each confidence and for whether both agree; they drive a range coder with a 64-bit
 interval.  All blocks of a segment are coded side by side, each a lane of numpy arrays, so
 one step handles an id of every block.
 
@@ -31,7 +31,7 @@ from veridq.llm.bpe import word_encoder
 from veridq.llm.common import ship, slices
 from veridq.session import new_path
 
-MAGIC = b"VQTB1\0\0\0"
+MAGIC = b"VQTB2\0\0\0"
 BLOCK = 2048  # ids in a block
 LANES = 4096  # blocks in a segment, about
 SLOTS1, SLOTS2 = 9, 10  # bits of the context tables
@@ -47,26 +47,27 @@ class Lanes:
     LEAST, MOST = 31, 4064
 
     def __init__(self, n: int):
-        self.n = n
-        self.lane = np.arange(n)
+        self.at1 = np.arange(n) << SLOTS1  # a lane's own part of each table
+        self.at2 = np.arange(n) << SLOTS2
+        self.ats = np.arange(n) << 3
         self.t1 = np.zeros(n << SLOTS1, dtype=np.int32)
         self.t2 = np.zeros(n << SLOTS2, dtype=np.int32)
         self.p1 = np.full(n * 8, 1024, dtype=np.int32)
         self.p2 = np.full(n * 8, 1024, dtype=np.int32)
-        self.a = np.zeros(n, dtype=np.int32)  # hashes of the last two ids
-        self.b = np.zeros(n, dtype=np.int32)
+        self.a = np.zeros(n, dtype=np.int64)  # hashes of the last two ids
+        self.b = np.zeros(n, dtype=np.int64)
 
     def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of order 2 and 1, and their shares of 4096."""
-        self.i2 = (((self.a * 5) ^ self.b) >> 9 & ((1 << SLOTS2) - 1)) * np.int64(self.n) + self.lane
-        self.i1 = (self.b >> 9 & ((1 << SLOTS1) - 1)) * np.int64(self.n) + self.lane
-        self.e2, o1 = self.t2[self.i2], self.t1[self.i1]
+        self.i2 = (((self.a * 5) ^ self.b) >> 9 & ((1 << SLOTS2) - 1)) + self.at2
+        self.i1 = (self.b >> 9 & ((1 << SLOTS1) - 1)) + self.at1
+        self.e2, o1 = self.t2.take(self.i2), self.t1.take(self.i1)
         o2 = self.e2 >> 2
         self.c = self.e2 & 3
         self.other = (o1 != o2).astype(np.int32)
-        self.s = (self.c * 2 + self.other) * np.int64(self.n) + self.lane
-        f2 = self.p2[self.s]
-        self.q1 = self.p1[self.s]
+        self.s = (self.c * 2 + self.other) + self.ats
+        f2 = self.p2.take(self.s)
+        self.q1 = self.p1.take(self.s)
         return o2, o1, f2, (self.q1 * (4096 - f2) >> 12) * self.other
 
     def learn(self, x: np.ndarray, f2: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
@@ -77,7 +78,7 @@ class Lanes:
         step = hit2 * (1 + (self.c < 3)) - 1
         self.t2[self.i2] = np.where((hit2 | self.c) > 0, self.e2 + step, x << 2)
         self.t1[self.i1] = x
-        self.a, self.b = self.b, x * 40503
+        self.a, self.b = self.b, x * np.int64(40503)
 
 
 def table_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,13 +94,28 @@ def table_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Order0:
-    """Shares, and the id at each of the 65536 places."""
+    """Shares and starts, and the id at each of the 65536 places."""
 
     def __init__(self, used: np.ndarray, share: np.ndarray):
-        self.share = np.zeros(int(used[-1]) + 1, dtype=np.int64)
-        self.share[used] = share
-        self.start = np.concatenate([[0], np.cumsum(self.share)])[:-1]
-        self.at = np.repeat(used, share)
+        self.share = np.zeros(int(used[-1]) + 1, dtype=np.uint64)
+        self.share[used] = share.astype(np.uint64)
+        self.start = np.concatenate([[0], np.cumsum(self.share)[:-1]]).astype(np.uint64)
+        self.at = np.repeat(used, share).astype(np.int32)
+
+    def place(self, x: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and share of 65536; an id predicted by a higher order has it all."""
+        miss = rest > 0
+        return np.where(miss, self.start.take(x), 0), np.where(miss, self.share.take(x), 65536)
+
+
+LEAST_RANGE = np.uint64(1 << 48)
+U12, U16, U48 = np.uint64(12), np.uint64(16), np.uint64(48)
+
+
+def _shares(f2: np.ndarray, f1: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and width, of 4096, of what came: order 2's id, order 1's or another."""
+    start = (1 - hit2) * f2 + rest * f1
+    return start.astype(np.uint64), (hit2 * f2 + hit1 * f1 + rest * (4096 - f2 - f1)).astype(np.uint64)
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -111,30 +127,10 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]
     grid.ravel()[: len(ids)] = ids
     grid[n - 1, len(ids) - (n - 1) * BLOCK :] = used[0]
     grid = np.ascontiguousarray(grid.T)
-    m = Lanes(n)
-    low, rng = np.zeros(n, dtype=np.int64), np.full(n, 1 << 48, dtype=np.int64)
-    out = np.zeros((2 * BLOCK + 8) * n, dtype=np.uint16)
+    m, lanes = Lanes(n), np.arange(n)
+    low, rng = np.zeros(n, dtype=np.uint64), np.full(n, (1 << 64) - 1, dtype=np.uint64)
+    out = np.zeros((2 * BLOCK + 8) * n, dtype=np.uint16)  # 28 bits an id at most
     pos = np.zeros(n, dtype=np.int64)
-    top = (1 << 48) - 1
-
-    def renorm(lane: np.ndarray, lo: np.ndarray, rg: np.ndarray) -> None:
-        over = np.flatnonzero(lo > top)
-        if len(over):  # the carry runs into words already written
-            lo[over] &= top
-            at = lane[over]
-            p = pos[at] - 1
-            while len(at):
-                k = p * n + at
-                out[k] += 1
-                full = out[k] == 0
-                at, p = at[full], p[full] - 1
-        few = np.flatnonzero(rg < 1 << 32)
-        if len(few):
-            at = lane[few]
-            out[pos[at] * n + at] = lo[few] >> 32
-            pos[at] += 1
-            lo[few] = (lo[few] << 16) & top
-            rg[few] <<= 16
 
     for t in range(min(BLOCK, len(ids))):
         x = grid[t]
@@ -142,25 +138,36 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]
         hit2 = (x == o2).astype(np.int32)
         hit1 = ((x == o1) & (f1 > 0)) * (1 - hit2)
         rest = 1 - hit2 - hit1
-        r = rng >> 12
-        both = f2 + f1
-        low += r * ((1 - hit2) * f2 + rest * f1)
-        rng = r * (hit2 * f2 + hit1 * f1 + rest * (4096 - both))
-        renorm(m.lane, low, rng)
-        lane = np.flatnonzero(rest)
-        if len(lane):
-            y, lo, rg = x[lane], low[lane], rng[lane] >> 16
-            lo += rg * zero.start[y]
-            rg *= zero.share[y]
-            renorm(lane, lo, rg)
-            low[lane], rng[lane] = lo, rg
+        r = rng >> U12
+        start, width = _shares(f2, f1, hit2, hit1, rest)
+        before = low
+        low = low + r * start
+        rng = r * width >> U16
+        start, width = zero.place(x, rest)
+        low += rng * start
+        rng *= width
+        at = np.flatnonzero(low < before)  # the carry runs into words already written
+        p = pos[at] - 1
+        while len(at):
+            k = p * n + at
+            out[k] += 1
+            full = out[k] == 0
+            at, p = at[full], p[full] - 1
+        few = np.flatnonzero(rng < LEAST_RANGE)
+        while len(few):
+            lo, rg, p = low[few], rng[few] << U16, pos[few]
+            out[p * n + few] = lo >> U48
+            pos[few] = p + 1
+            low[few] = lo << U16
+            rng[few] = rg
+            few = few[rg < LEAST_RANGE]
         m.learn(x, f2, hit2, hit1)
-    for _ in range(3):
-        out[pos * n + m.lane] = low >> 32
+    for _ in range(4):
+        out[pos * n + lanes] = low >> U48
         pos += 1
-        low = (low << 16) & top
-    lanes = np.ascontiguousarray(out.reshape(-1, n)[: pos.max()].T)
-    return used, share, [lanes[k, : pos[k]].tobytes() for k in range(n)]
+        low <<= U16
+    words = np.ascontiguousarray(out.reshape(-1, n)[: pos.max()].T)
+    return used, share, [words[k, : pos[k]].tobytes() for k in range(n)]
 
 
 def decode_blocks(used: np.ndarray, share: np.ndarray, blocks: list[bytes], total: int) -> np.ndarray:
@@ -173,41 +180,35 @@ def decode_blocks(used: np.ndarray, share: np.ndarray, blocks: list[bytes], tota
         words[: len(b) // 2, k] = np.frombuffer(b, dtype="<u2")
     words = words.ravel()
     m = Lanes(n)
-    code = np.zeros(n, dtype=np.int64)
-    for i in range(3):
-        code = code << 16 | words[i * n : (i + 1) * n]
-    rng = np.full(n, 1 << 48, dtype=np.int64)
-    pos = np.full(n, 3, dtype=np.int64)
+    code = np.zeros(n, dtype=np.uint64)
+    for i in range(4):
+        code = code << U16 | words[i * n : (i + 1) * n]
+    rng = np.full(n, (1 << 64) - 1, dtype=np.uint64)
+    pos = np.full(n, 4, dtype=np.int64)
     grid = np.zeros((min(BLOCK, total), n), dtype=np.int32)
 
-    def renorm(lane: np.ndarray, co: np.ndarray, rg: np.ndarray) -> None:
-        few = np.flatnonzero(rg < 1 << 32)
-        if len(few):
-            at = lane[few]
-            # a finished lane, in a short last block, may read past its words
-            co[few] = co[few] << 16 | words[np.minimum(pos[at], most) * n + at]
-            pos[at] += 1
-            rg[few] <<= 16
-
     for t in range(len(grid)):
         o2, o1, f2, f1 = m.predict()
-        r = rng >> 12
-        both = f2 + f1
-        hit2 = (code < r * f2).astype(np.int32)
-        rest = (code >= r * both).astype(np.int32)
+        r = rng >> U12
+        hit2 = (code < r * f2.astype(np.uint64)).astype(np.int32)
+        rest = (code >= r * (f2 + f1).astype(np.uint64)).astype(np.int32)
         hit1 = 1 - hit2 - rest
-        code -= r * ((1 - hit2) * f2 + rest * f1)
-        rng = r * (hit2 * f2 + hit1 * f1 + rest * (4096 - both))
-        renorm(m.lane, code, rng)
-        x = o1 + hit2 * (o2 - o1)
-        lane = np.flatnonzero(rest)
-        if len(lane):
-            co, rg = code[lane], rng[lane] >> 16
-            y = zero.at[np.minimum(co // rg, 65535)]
-            co -= rg * zero.start[y]
-            rg *= zero.share[y]
-            renorm(lane, co, rg)
-            code[lane], rng[lane], x[lane] = co, rg, y
+        start, width = _shares(f2, f1, hit2, hit1, rest)
+        code -= r * start
+        rng = r * width >> U16
+        y = zero.at.take((code // rng).astype(np.int64), mode="clip")
+        x = np.where(rest, y, o1 + hit2 * (o2 - o1))
+        start, width = zero.place(x, rest)
+        code -= rng * start
+        rng *= width
+        few = np.flatnonzero(rng < LEAST_RANGE)
+        while len(few):
+            rg, p = rng[few] << U16, pos[few]
+            # a finished lane, in a short last block, may read past its words
+            code[few] = code[few] << U16 | words.take(np.minimum(p, most) * n + few)
+            pos[few] = p + 1
+            rng[few] = rg
+            few = few[rg < LEAST_RANGE]
         grid[t] = x
         m.learn(x, f2, hit2, hit1)
     out = np.zeros(n * BLOCK, dtype=np.int64)
