@@ -11,11 +11,23 @@ def _rows(df):
 
 
 def test_stream_validate_equals_batch(spark):
-    batch = V._local(messy(spark, SF001), list(V.RULE_SETS), V.spec.GOLDEN_AS_OF)
+    batch = V.failures(messy(spark, SF001))
     cols = ["row_num", "column", "rule_id", "rule", "value"]
     assert _rows(S.validate_stream(spark, SF001).select(*cols)) == _rows(batch.select(*cols))
 
 
+def test_stream_validate_finds_repeats_across_batches(spark, tmp_path):
+    """The same id in three batches, the first row last, and a replayed batch."""
+    m = messy(spark, SF001).where("row_num between 2 and 4").withColumn("customer_id", F.lit("17"))
+    fn, out = S.validate_batch(str(tmp_path)), str(tmp_path)
+    for i, n in enumerate([4, 3, 2]):
+        fn(m.where(F.col("row_num") == n), i)
+    fn(m.where("row_num = 2"), 2)
+    got = S.stream_failures(spark, out).where("rule_id = 'customer_id.duplicate'")
+    assert sorted(r.row_num for r in got.collect()) == [3, 4]
+    assert _rows(S.stream_failures(spark, out)) == _rows(V.failures(m))
+
+
 def test_stream_dedupe_keeps_first(spark):
     got = S.dedupe_stream(spark, SF001)
     m = messy(spark, SF001)

@@ -611,16 +611,16 @@ SELECT lower({strip('email')}) AS match_key, count(*) AS n_rows, count(DISTINCT
   min(row_num) AS first_row FROM messy WHERE {nblank('email')} GROUP BY 1 HAVING count(DISTINCT {strip('customer_id')}) > 1"""
 
     def nm(c):
-        return f"regexp_replace(lower({strip(f'coalesce({c}, {chr(39)}{chr(39)})')}), '[^a-z0-9]+', ' ', 'g')"
+        return f"regexp_replace(lower({strip(f'coalesce({c}, {chr(39)}{chr(39)})')}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
 
     full = f"concat_ws('|', {nm('first_name')}, {nm('last_name')}, {nm('address')})"
-    block = (f"concat_ws('|', substr({nm('first_name')}, 1, 1), {nm('last_name')}, "
-             f"trim(regexp_replace({nm('address')}, '[0-9]+', '', 'g'), ' '))")
-    out["ext_fuzzy_duplicates"] = _with(M, f"b AS (SELECT row_num, {block} AS block, {full} AS f FROM messy "
+    out["ext_fuzzy_duplicates"] = _with(M, f"b AS (SELECT row_num, {full} AS f FROM messy "
                                             f"WHERE {nblank('last_name')} AND {nblank('address')})") + """,
-r AS (SELECT block, min(row_num) AS rep_row, arg_min(f, row_num) AS rep_full FROM b GROUP BY block)
-SELECT b.row_num, r.rep_row, CAST(levenshtein(b.f, r.rep_full) AS BIGINT) AS distance, b.block
-FROM b JOIN r USING (block) WHERE b.row_num <> r.rep_row AND levenshtein(b.f, r.rep_full) <= 2"""
+t AS (SELECT f, min(row_num) AS first_row FROM b GROUP BY f),
+p AS (SELECT x.f, min({'rep': y.first_row, 'd': levenshtein(x.f, y.f)}) AS low FROM t x, t y
+  WHERE abs(length(x.f) - length(y.f)) <= 2 AND levenshtein(x.f, y.f) <= 2 GROUP BY x.f)
+SELECT b.row_num, p.low.rep AS rep_row, CAST(p.low.d AS BIGINT) AS distance
+FROM b JOIN p USING (f) WHERE p.low.rep < b.row_num"""
 
     def z(src, idc, grp, val, ctes=""):
         return f"""WITH {ctes}base AS (SELECT {idc}, {grp} AS grp, {val} AS x FROM {src}),
@@ -669,12 +669,10 @@ FROM cl"""
 # ---------------------------------------------------------------------------
 
 def streaming_sql() -> dict[str, str]:
-    local = "\nUNION ALL\n".join(
-        p for p in failures_sql("messy").split("\nUNION ALL\n") if "customer_id.duplicate" not in p)
     mx = _mask_exprs()
     cols = ", ".join(mx.get(c, c) + f" AS {c}" for c in ["row_num"] + CUST)
     return {
-        "stream_validate": _with(M) + local,
+        "stream_validate": _with(M) + failures_sql("messy"),
         "stream_mask": _with(M) + f"SELECT {cols} FROM messy",
         "stream_dedupe": _with(M) + "SELECT * FROM messy QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY row_num) = 1",
         "stream_event_quality": """SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n_events,

@@ -1,7 +1,9 @@
 """X6 — micro-batch validation, masking, dedupe and event-quality windows.
 
-* Stateless operators (row-local rules, masking) are plain ``readStream →
-  transformations → writeStream``: each micro-batch is planned like the batch job.
+* Masking is a plain ``readStream → transformations → writeStream``: each micro-batch is
+  planned like the batch job.
+* Validation writes the row-local failures and the ids of each micro-batch; a read adds
+  the uniqueness rule over the ids of all batches.
 * Keep-first dedupe needs history: ``foreachBatch`` keeps the first row per key
   inside the batch (window with ``WindowGroupLimit``), drops keys already in the
   target with a ``left_anti`` join, and writes the batch to a folder named by
@@ -49,17 +51,34 @@ def _run(df: DataFrame, out: str, ck: str, mode: str = "append") -> None:
     q.awaitTermination()
 
 
-def stateless_failures(stream: DataFrame, as_of=spec.GOLDEN_AS_OF) -> DataFrame:
-    """Row-local rules on a stream (the uniqueness rule needs state: see dedupe)."""
-    d = V.derive(stream)
-    return d.select("row_num", F.inline(V.local_failure_array(None, as_of))).where(F.col("rule_id").isNotNull())
+def validate_batch(out: str, as_of=spec.GOLDEN_AS_OF):
+    """foreachBatch function: the batch's row-local failures, and the ids that the
+    uniqueness rule needs, in folders of the batch id (a replay replaces them)."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        local = V._local(batch, list(V.RULE_SETS), as_of)
+        local.write.mode("overwrite").parquet(f"{out}/local/_batch={batch_id}")
+        batch.select("row_num", "customer_id").write.mode("overwrite").parquet(f"{out}/ids/_batch={batch_id}")
+
+    return fn
+
+
+def stream_failures(spark: SparkSession, out: str) -> DataFrame:
+    """All failures of the batches so far.  Uniqueness (V1d) is taken over the ids of all
+    batches, so that rows may arrive in any order."""
+    local = spark.read.parquet(f"{out}/local").drop("_batch")
+    return local.unionByName(V.duplicate_failures(spark.read.parquet(f"{out}/ids").drop("_batch")))
 
 
 def validate_stream(spark: SparkSession, sf_dir: str, as_of=spec.GOLDEN_AS_OF) -> DataFrame:
     out, ck = new_path(spark, "stream-validate"), new_path(spark, "ck-validate")
     s = messy_from_orders(stream_table(spark, sf_dir, "orders").select("o_orderkey"))
-    _run(stateless_failures(s, as_of), out, ck)
-    return spark.read.parquet(out)
+    q = (
+        s.writeStream.foreachBatch(validate_batch(out, as_of)).option("checkpointLocation", ck)
+        .trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return stream_failures(spark, out)
 
 
 def mask_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
