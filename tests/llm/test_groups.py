@@ -177,6 +177,56 @@ def test_lines_match_all_pairs(spark, monkeypatch):
     assert linededup.line_rows(docs.limit(0)).count() == 0
 
 
+def brute_every_position(texts):
+    """text -> first text of its component, on the shingles from every position."""
+    sets = [{s[j : j + linededup.K] for j in range(len(s))} for s in texts]
+    u = Union(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if 100 * len(sets[i] & sets[j]) >= linededup.SIMILAR * len(sets[i] | sets[j]):
+            u.join(i, j)
+    return {s: texts[u.find(i)] for i, s in enumerate(texts)}
+
+
+def line_groups(spark, texts):
+    """text -> text of the line that stays for it, of one-line documents."""
+    got = linededup.line_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return {texts[r.doc_id]: texts[r.keep_doc_id] for r in got}
+
+
+def test_lines_compare_letters_inside_words(spark):
+    rng = np.random.default_rng(12)
+    word = lambda n: "".join(rng.choice(list("acdefgiklmnopqrstuvwxyz"), n))
+    head, long = word(8), word(90)
+    texts = ["internationalization", "internationalism", *(head + word(52) for _ in range(6))]
+    for _ in range(25):  # one word with letters changed, and words with one word changed
+        c = list(long)
+        for _ in range(rng.integers(0, 3)):
+            c[rng.integers(90)] = "b"
+        texts.append("".join(c))
+    base = [word(12) for _ in range(8)]
+    texts += [" ".join([*base[:i], base[i][:10] + "bb", *base[i + 1 :]]) for i in range(8)]
+    texts = list(dict.fromkeys(texts))
+    got = line_groups(spark, texts)
+    assert got == brute_every_position(texts)
+    assert all(got[t] == t for t in texts[:8])
+
+
+def test_lines_match_all_pairs_at_every_position(spark, monkeypatch):
+    # the rows of test_lines_match_all_pairs; its brute force skips positions after a letter
+    monkeypatch.setattr(linededup, "BLOCK", 8)
+    rng = np.random.default_rng(4)
+    lines = variants(60, 30, rng, 6) + variants(30, 8, rng, 2) + ["Same line", "same LINE ", "", "  ", "x"]
+    rows = [(i, "\n".join(lines[j] for j in rng.integers(0, len(lines), 4))) for i in range(60)] + [(90, None), (91, ""), (92, "same line\n\nsame line")]
+    place = {(d, i): x.lower().strip(" ") for d, t in rows for i, x in enumerate((t or "").split("\n")) if x.strip(" ")}
+    stays = brute_every_position(list(dict.fromkeys(place[p] for p in sorted(place))))
+    first = {s: min(p for p, v in place.items() if v == s) for s in set(place.values())}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.line_no): (r.keep_doc_id, r.keep_line_no) for r in linededup.line_rows(docs).collect()}
+    assert got == {p: first[stays[s]] for p, s in place.items()}
+    texts = {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()}
+    assert texts == {d: "\n".join(x for i, x in enumerate((t or "").split("\n")) if (d, i) not in place or got[d, i] == (d, i)) for d, t in rows}
+
+
 def test_chat_collapse(spark, monkeypatch):
     monkeypatch.setattr(chat, "SPAN", 4)
     turns = lambda c, n, tag="": [(c, i, "user" if i % 2 == 0 else "assistant", f"t{i}{tag if i == n - 1 else ''}", "x") for i in range(n)]

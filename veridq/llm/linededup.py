@@ -1,7 +1,7 @@
 """Fuzzy line duplicates by MinHash, with DataFrame functions only.
 
 A line is compared by its character shingles: ``K`` characters (fewer at its end) from
-every position that does not follow a lower-case letter, so that inside a word none starts.
+every position.
 
 1. Equal lines (without spaces at the ends, lower-cased) are collapsed; each line text goes on once.
 2. The signature is the line's shingle hashes in order.  A band is ``ROWS`` consecutive
@@ -39,7 +39,7 @@ BLOCK = 128
 
 def shingle_hashes(text: str) -> Column:
     """Sorted distinct hashes of the shingles of a (not empty) line."""
-    grams = F.regexp_extract_all(F.col(text), F.lit(rf"(?s)(?<!\p{{Ll}})(?=(.{{1,{K}}}))."), F.lit(1))
+    grams = F.regexp_extract_all(F.col(text), F.lit(rf"(?s)(?=(.{{1,{K}}}))."), F.lit(1))
     return F.sort_array(F.array_distinct(F.transform(grams, lambda x: F.xxhash64(x))))
 
 
