@@ -227,6 +227,18 @@ def test_lines_match_all_pairs_at_every_position(spark, monkeypatch):
     assert texts == {d: "\n".join(x for i, x in enumerate((t or "").split("\n")) if (d, i) not in place or got[d, i] == (d, i)) for d, t in rows}
 
 
+def test_short_lines_always_share_a_band(spark):
+    # the longer line has four letters in front: 16 of 20 or 20 of 25 shingles are shared
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(8000):
+        short = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 16 + 4 * (i % 2)))
+        rows += [(2 * i, short), (2 * i + 1, "0123456789"[: 4 + i % 2] + short)]
+    keys = linededup.bands(spark.createDataFrame(rows, "lid long, line string"))
+    met = keys.groupBy(F.shiftright("lid", 1).alias("pair"), "key").agg(F.countDistinct("lid").alias("lines")).where("lines = 2")
+    assert met.select("pair").distinct().count() == 8000
+
+
 def test_chat_collapse(spark, monkeypatch):
     monkeypatch.setattr(chat, "SPAN", 4)
     turns = lambda c, n, tag="": [(c, i, "user" if i % 2 == 0 else "assistant", f"t{i}{tag if i == n - 1 else ''}", "x") for i in range(n)]
