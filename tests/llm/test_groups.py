@@ -82,6 +82,16 @@ def test_near_duplicates_edges(spark):
     assert setsketch.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_copies_with_null_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = lambda *at: " ".join("x" if i in at else w for i, w in enumerate(words))
+    other = [" ".join(f"{p}{i}" for i in range(60)) for p in "abc"]
+    rows = [(None, near()), (None, near(0)), (None, near(59)), (0, near(0, 59)), (4, near(1)), (None, other[0]), (None, other[0] + " end"), (9, other[1]), (None, other[1] + " end"), (None, None)]
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    of = sorted((-1 if r.doc_id is None else r.doc_id, -1 if r.component_id is None else r.component_id, r.kept) for r in got)
+    assert of == sorted([(-1, 0, False)] * 3 + [(0, 0, True), (4, 0, False), (-1, -1, False), (-1, -1, True), (9, 9, True), (-1, 9, False), (-1, -1, True)])
+
+
 def test_sketch_merges_and_estimates():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)

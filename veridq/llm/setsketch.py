@@ -5,7 +5,8 @@ A document's set is its distinct 4-word shingles.  Register i is the truncated l
 values x_i(d) that a hash gives the shingles d; registers of a union are the maxima, and equal
 registers are the likelier the more similar two sets are.
 
-1. Texts with the same word sequence form one class; its smallest id stands for it.
+1. Texts with the same word sequence form one class, named by a number of its own; the
+   text with its smallest id (else smallest hashes) stands for it.
 2. ``BANDS`` bands of ``ROWS`` registers: classes with an equal band meet in a bucket.
    A link of similarity 0.8 misses all bands with probability (1 - 0.8^4)^24 = 3e-6.
 3. Each bucket links its members to its smallest one only.  A candidate pair is kept
@@ -20,8 +21,9 @@ registers are the likelier the more similar two sets are.
 Edge cases: null or empty text, or one without words, has an empty set and links with
 nothing; texts of one to three words have their whole sequence as only shingle; a row
 with a null id is compared like others, its component is the smallest non-null id met,
-else null, and it is kept only in that case; repeated rows of an id share one result;
-an empty table gives no rows; further columns of the input are not read.
+else null; of each component the text with that id stays, of several texts with it or
+without any id the one with the smallest hashes; repeated rows of an id and text share
+one result; an empty table gives no rows; further columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -110,12 +112,18 @@ def likely_jaccard(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarra
     return out
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, k1, k2 (two hashes of the text), text."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2"), "text")
+
+
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, seq (digest of the word sequence), n, regs (binary)."""
+    """doc_id, k1, k2, seq (digest of the word sequence), n, regs (binary)."""
 
     def make():
-        def fn(ids, texts):
-            out = {"doc_id": ids, "seq": [], "n": [], "regs": []}
+        def fn(ids, k1, k2, texts):
+            out = {"doc_id": ids, "k1": k1, "k2": k2, "seq": [], "n": [], "regs": []}
             for t in texts:
                 w = words_of(t)
                 s = shingles(w)
@@ -126,8 +134,7 @@ def sketch(docs: DataFrame) -> DataFrame:
 
         return fn
 
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return arrow_map(src, make, "doc_id long, seq string, n long, regs binary", "doc_id", "text")
+    return arrow_map(keyed(docs), make, "doc_id long, k1 long, k2 long, seq string, n long, regs binary", "doc_id", "k1", "k2", "text")
 
 
 def sets(docs: DataFrame) -> DataFrame:
@@ -210,9 +217,11 @@ def links(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     stars = met.where("c <> lead").select(F.col("lead").alias("a"), F.col("c").alias("b")).distinct()
     stars = materialise(promising(stars, classes), "setsketch-stars")
     # full sets of the classes that meet another one in a bucket, from one text each
-    wanted = met.select("c").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("c"), "text")
-    members = materialise(sets(texts.join(wanted, "c", "left_semi")), "setsketch-sets")
+    on = ["id0", "k1", "k2"]  # a null id counts as 0 here: the same text is the same class
+    wanted = classes.join(met.select("c").distinct(), "c", "left_semi").select("c", F.coalesce("best.doc_id", F.lit(0)).alias("id0"), "best.k1", "best.k2")
+    texts = keyed(docs).withColumn("id0", F.coalesce("doc_id", F.lit(0))).select(*on, "text")
+    one = texts.join(wanted, on).groupBy(*on).agg(F.first("c").alias("c"), F.first("text").alias("text"))
+    members = materialise(sets(one), "setsketch-sets")
     found = materialise(confirm(stars, members), "setsketch-found")
     label = components(found, "setsketch-c1")
     more = materialise(_unseen(met, label, members), "setsketch-more")
@@ -300,21 +309,27 @@ def _linked(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(keep, columns=["a", "b"], dtype="int64")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+def _found(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, k1, k2, n_shingles, component_id, kept."""
     ship(docs.sparkSession)
     rows = materialise(sketch(docs), "setsketch-rows")
-    by_seq = rows.groupBy("seq").agg(F.min("doc_id").alias("any_id"), F.first("n").alias("n"), F.first("regs").alias("regs"))
-    # a class is named by its smallest id; one without ids gets a negative name
-    named = F.coalesce("any_id", -F.abs(F.xxhash64("seq")) - 1)
-    classes = materialise(by_seq.select(named.alias("c"), "seq", "any_id", "n", "regs"), "setsketch-classes")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
+    by_seq = rows.groupBy("seq").agg(F.min(place).alias("best"), F.first("n").alias("n"), F.first("regs").alias("regs"))
+    classes = materialise(by_seq.withColumn("c", F.monotonically_increasing_id()), "setsketch-classes")
     _, label = links(docs, classes)
-    comp = classes.where("n > 0").join(label.select(F.col("node").alias("c"), "label"), "c", "left").select("seq", "any_id", F.coalesce("label", "c").alias("comp"))
-    least = comp.groupBy("comp").agg(F.min("any_id").alias("component_id"))
-    of = comp.join(least, "comp").select("seq", "component_id")
-    out = rows.select("doc_id", "seq", F.col("n").alias("n_shingles")).join(of, "seq", "left")
-    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
+    comp = classes.where("n > 0").join(label.select(F.col("node").alias("c"), "label"), "c", "left").select("seq", "best", F.coalesce("label", "c").alias("comp"))
+    least = comp.groupBy("comp").agg(F.min("best").alias("keep"))
+    of = comp.join(least, "comp").select("seq", "keep")
+    out = rows.select("doc_id", "k1", "k2", "seq", F.col("n").alias("n_shingles")).join(of, "seq", "left")
+    empty = F.col("n_shingles") == 0
+    own = F.when(empty, F.col("doc_id")).otherwise(F.col("keep.doc_id"))
+    kept = empty | (F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("k1") == F.col("keep.k1")) & (F.col("k2") == F.col("keep.k2")))
+    return out.select("doc_id", "k1", "k2", "n_shingles", own.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    return _found(docs).drop("k1", "k2")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
