@@ -92,6 +92,14 @@ def test_near_copies_with_null_ids(spark):
     assert of == sorted([(-1, 0, False)] * 3 + [(0, 0, True), (4, 0, False), (-1, -1, False), (-1, -1, True), (9, 9, True), (-1, 9, False), (-1, -1, True)])
 
 
+def test_keep_one_goes_by_row(spark):
+    words = [f"w{i}" for i in range(60)]
+    near, clean = " ".join(["x", *words[1:]]), " ".join(f"c{i}" for i in range(60))
+    rows = [(1, " ".join(words)), (2, near), (2, clean), (None, near + " y"), (3, clean + " z"), (None, "all alone in here"), (6, None)]
+    kept = setsketch.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {rows[0], rows[2], rows[5], rows[6]} and len(kept) == 4
+
+
 def test_sketch_merges_and_estimates():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)

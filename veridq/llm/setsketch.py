@@ -333,6 +333,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows that ``near_duplicates`` does not keep, by id and text."""
+    on = ["_none", "_id", "_k1", "_k2"]
+    number = F.col("doc_id").cast("long")
+    keys = [number.isNull().alias("_none"), F.coalesce(number, F.lit(0)).alias("_id")]
+    gone = _found(docs).where(~F.col("kept")).select(*keys, F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
+    text = F.coalesce("text", F.lit(""))
+    every = docs.select("*", *keys, F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text).alias("_k2"))
+    return every.join(gone, on, "left_anti").select(*docs.columns)
