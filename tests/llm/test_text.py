@@ -157,6 +157,15 @@ def test_field_on_held_out_layouts():
     assert wrong <= 0.03 * total
 
 
+def test_quotes_open_a_value_only_after_equals():
+    text = lambda page: [b.text for b in htmlcrf.blocks(page)]
+    assert text("<p title=it's>One can't do <b>two</b>") == ["One can't do two"]
+    assert text("<p><a href=/o'brien>O'Brien wrote</a> it") == ["O'Brien wrote it"]
+    assert text('<div class="x""><p>First part.</p><p>A 5" pipe is <b>here') == ["First part.", 'A 5" pipe is here']
+    assert text('<p><a href=/q?s=">He said "so"</a> twice') == ['He said "so" twice']
+    assert text("""<p title = "a > b" data-x='c > d'>Text</p><p title="no end>More <i title=>text""") == ["Text", "More text"]
+
+
 def test_extract_given_pages_and_edges(spark):
     pages = spark.read.parquet(f"{SF001}/pages.parquet")
     got = {r.page_id: r for r in htmlcrf.extract(pages).collect()}

@@ -45,7 +45,9 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
 }
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
+#: A quote opens a value only directly after "="; elsewhere, or without an end, it is a plain character.
+ATTR = r"""[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:"[^"]*+"|'[^']*+'|[^ \t\n\f\r>]*+))?+"""
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^ \t\n\f\r/>]*+(?:[ \t\n\f\r/]|" + ATTR + r")*+(?:>|\Z)", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRS = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
