@@ -132,6 +132,24 @@ def test_packing(spark, edge):
     assert packing.pack_documents(edge.limit(0), path).count() == 0
 
 
+def test_full_pieces_go_to_no_group(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    plain = packing.pack_group
+
+    def counted(pdf, size):
+        seen.add(int((pdf["length"] >= size).sum()))
+        return plain(pdf, size)
+
+    monkeypatch.setattr(packing, "pack_group", counted)
+    rows = [(d, s, n, 0, 20 * 8 + 3, 7) for d in (1, 2, None) for s, n in [*((8 * i, 8) for i in range(20)), (160, 3)]]
+    got = packing.pack(spark.createDataFrame(rows, packing.PIECES), 3, 8).collect()
+    assert len(got) == 63 and seen.value == 0
+    used = {}
+    for r in got:
+        used.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(sorted(p) for p in used.values()) == sorted([[(0, 8)]] * 60 + [[(0, 3), (3, 3)], [(0, 3)]])
+
+
 def test_first_fit_decreasing_is_first_fit():
     rng = random.Random(4)
     for _ in range(50):

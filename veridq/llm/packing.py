@@ -1,8 +1,9 @@
 """Sequence packing: first-fit decreasing in randomised groups of documents.
 
 ``cut`` turns each document into ids plus an end id and cuts it into pieces of at
-most ``size`` tokens: full pieces, then the rest.  ``pack`` deals pieces to groups by
-a hash of their document, and in each group puts them, longest first, into the first
+most ``size`` tokens: full pieces, then the rest.  ``pack`` numbers full pieces as they
+are, each a sequence, and deals the rest, at most one piece of a document, to groups by a
+hash of their document; in each group it puts them, longest first, into the first
 sequence with room; a tournament tree over the sequences' free capacities finds it in
 logarithmic time.  Groups hold about ``group_pieces`` pieces whatever the input, so the
 work is linear and a group fits in a task.  Only sizes are shuffled, never ids.
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veridq.llm.bpe import rank_encoder
-from veridq.llm.common import arrow_map, ship
+from veridq.llm.common import arrow_map, materialise, ship
 
 SIZE = 2048
 GROUP_PIECES = 4096
@@ -93,25 +94,25 @@ def pack(pieces: DataFrame, n_docs: int, size: int = SIZE, group_pieces: int = G
     """``pieces`` with ``sequence_id`` and ``offset``.  ``n_docs`` sets the number of groups."""
     ship(pieces.sparkSession)
     groups = max(1, -(-n_docs // group_pieces))
-    dealt = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "deal", "doc_tokens"), F.lit(groups)))
+    pieces = materialise(pieces, "packing-pieces")
+    # numbers above those of the groups
+    whole = pieces.where(F.col("length") >= size).drop("deal").withColumn("sequence_id", F.lit(groups << 32) + F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    dealt = pieces.where(F.col("length") < size).withColumn("g", F.pmod(F.xxhash64("doc_id", "deal", "doc_tokens"), F.lit(groups)))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         return pack_group(pdf, size)
 
     kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return dealt.groupBy("g").applyInPandas(one, kind)
+    return whole.unionByName(dealt.groupBy("g").applyInPandas(one, kind))
 
 
 def pack_group(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
-    """One group: whole sequences as they are, the rest first-fit decreasing."""
+    """One group, first-fit decreasing."""
     pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
-    lengths = pdf["length"].to_numpy()
-    full = int((lengths >= size).sum())
-    bins, offsets = first_fit_decreasing(lengths[full:].tolist(), size)
-    seq = np.concatenate([np.arange(full), full + np.array(bins, dtype=np.int64)]).astype(np.int64)
+    bins, offsets = first_fit_decreasing(pdf["length"].tolist(), size)
     out = pdf[["doc_id", "start", "length", "ids_crc32", "doc_tokens"]].copy()
-    out["sequence_id"] = (int(pdf["g"].iloc[0]) << 32) + seq
-    out["offset"] = np.concatenate([np.zeros(full, dtype=np.int64), np.array(offsets, dtype=np.int64)])
+    out["sequence_id"] = (int(pdf["g"].iloc[0]) << 32) + np.array(bins, dtype=np.int64)
+    out["offset"] = np.array(offsets, dtype=np.int64)
     return out
 
 
