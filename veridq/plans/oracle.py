@@ -74,9 +74,9 @@ def _rules() -> list[tuple[str, str, str, str]]:
     return r
 
 
-def failures_sql(src: str = "messy", columns=None) -> str:
+def failures_sql(src: str = "messy", columns=None, rules=None) -> str:
     parts = []
-    for c, rid, pred, msg in _rules():
+    for c, rid, pred, msg in rules or _rules():
         if columns and c not in columns:
             continue
         parts.append(
@@ -166,6 +166,7 @@ def _all_sql() -> dict[str, str]:
     out.update(clean_mask_sql())
     out.update(extension_sql())
     out.update(streaming_sql())
+    out.update(pipeline_sql(out))
     return out
 
 
@@ -344,6 +345,9 @@ _PII_LABELS = {"name": spec.PII_LABEL_NAME, "email": spec.PII_LABEL_EMAIL, "phon
                "address": spec.PII_LABEL_ADDRESS, "date_of_birth": spec.PII_LABEL_DOB, "income": spec.PII_LABEL_INCOME}
 
 
+TEXT_PATTERNS = {"email": spec.EMAIL_SEARCH, "phone": spec.PHONE_SEARCH, "date": spec.DATE_SEARCH}
+
+
 def _text_hits_sql(table: str, id_expr: str, id_name: str, cols: list[str]) -> str:
     pats = {"email": spec.EMAIL_SEARCH, "phone": spec.PHONE_SEARCH, "date": spec.DATE_SEARCH}
     parts = []
@@ -644,6 +648,15 @@ a AS (SELECT count(*) AS t, count_if(n_failures > 0) AS qn FROM rs)
 SELECT 'valid' AS partition, t - qn AS n_rows, round(qn * 100.0 / t, 2) AS batch_failure_pct,
   CASE WHEN qn * 1.0 / t > 0.2 THEN 'HOLD' ELSE 'PASS' END AS gate FROM a
 UNION ALL SELECT 'quarantine', qn, round(qn * 100.0 / t, 2), CASE WHEN qn * 1.0 / t > 0.2 THEN 'HOLD' ELSE 'PASS' END FROM a"""
+    changed = [(c, r, p.replace("BETWEEN 10 AND 15", "BETWEEN 11 AND 15"), m) for c, r, p, m in _rules() if (c, r) != ("first_name", "charset")]
+    out["ext_rescan"] = _with(M) + f"""SELECT *, CASE WHEN rule_id = 'phone.digits' THEN 1 ELSE 0 END AS since
+FROM ({failures_sql("messy", rules=changed)})"""
+    email = failures_sql("messy", ["email"])
+    out["ext_gate"] = _with(M, _row_failures_sql(), f"""e AS (
+  SELECT m.row_num, count(f.row_num) AS n FROM messy m LEFT JOIN ({email}) f USING (row_num) GROUP BY ALL)""") + """
+SELECT CASE WHEN n = 0 THEN 'published' ELSE 'quarantined' END AS view, 'email' AS batch, row_num, CAST(n AS BIGINT) AS n_failures FROM e
+WHERE (SELECT avg(CAST(n > 0 AS INT)) <= 0.2 FROM e)
+UNION ALL SELECT 'quarantined', 'all', row_num, n_failures FROM rs WHERE (SELECT avg(CAST(n_failures > 0 AS INT)) > 0.2 FROM rs)"""
     out["ext_failure_drift"] = """WITH d AS (
   SELECT CAST(ts AS DATE) AS day, count(*) AS n_events,
     count_if(event_type = 'error' OR value IS NULL OR isnan(value) OR value < 0 OR NOT coalesce(json_valid(props), false)) AS n_failed
@@ -675,7 +688,61 @@ def streaming_sql() -> dict[str, str]:
         "stream_validate": _with(M) + failures_sql("messy"),
         "stream_mask": _with(M) + f"SELECT {cols} FROM messy",
         "stream_dedupe": _with(M) + "SELECT * FROM messy QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY row_num) = 1",
+        "stream_duplicate_ids": _with(M) + "SELECT * FROM (" + failures_sql("messy", ["customer_id"]) + ") WHERE rule_id = 'customer_id.duplicate'",
+        "stream_pii_conversations": f"""WITH n AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS msg_id,
+  {", ".join(f"len(regexp_extract_all(coalesce(text, ''), {q(p)})) AS n_{k}" for k, p in TEXT_PATTERNS.items())} FROM conversations)
+SELECT *, array_to_string(list_filter([{", ".join(f"CASE WHEN n_{k} > 0 THEN '{k}' END" for k in TEXT_PATTERNS)}], lambda x: x IS NOT NULL), ',') AS pii FROM n""",
+        "stream_pii_windows": _with(M) + f"""SELECT strftime({pdate("created_date", spec.VALIDATE_DATE_FORMATS)}, '%Y-%m') AS month, detector,
+  count_if(hit) AS n_rows, count(*) AS total
+FROM (SELECT created_date, unnest([{", ".join(f"{{'detector': '{k}', 'hit': {v}}}" for k, v in _pii_flags().items())}], recursive := true) FROM messy)
+GROUP BY 1, 2""",
         "stream_event_quality": """SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n_events,
   count_if(event_type = 'error' OR value IS NULL OR isnan(value) OR value < 0 OR NOT coalesce(json_valid(props), false)) AS n_failed
 FROM events GROUP BY 1""",
     }
+
+
+# ---------------------------------------------------------------------------
+# Runs: stage rows and row counts of every table, and the gate
+# ---------------------------------------------------------------------------
+
+#: Table of a run -> query with the same rows.
+RUN_TABLES = {
+    "issues": "issues_all", "issue_severity": "issues_by_severity", "completeness": "profile_completeness",
+    "type_conformance": "profile_type_conformance", "phone_formats": "profile_phone_formats",
+    "date_formats": "profile_date_formats", "key_duplicates": "profile_key_uniqueness", "row_health": "profile_row_health",
+    "pii_inventory": "pii_row_inventory", "pii_coverage": "pii_coverage", "pii_classification": "pii_column_classification",
+    "failures": "validate_all_failures", "validation_summary": "validate_column_summary", "row_status": "validate_row_status",
+    "cleaned": "clean_full", "masked": "mask_full", "mask_summary": "mask_summary",
+}
+
+
+def pipeline_sql(sql: dict[str, str]) -> dict[str, str]:
+    def n(name):
+        return f"(SELECT count(*) FROM ({sql[RUN_TABLES[name]]}))"
+
+    audit = "(SELECT count(*) FROM (" + _with(M, _clean_ctes(), _audit_sql()) + "SELECT * FROM aud))"
+    counts = {t: n(t) for t in RUN_TABLES} | {"audit": audit}
+    raw = "(SELECT count(*) FROM orders)"
+    failed = f"(SELECT count(*) FROM ({sql['validate_row_status']}) WHERE n_failures > 0)"
+    stages = [
+        ("load", "'SUCCESS'", f"CAST({raw} AS VARCHAR) || ' rows, 10 columns'", raw, raw),
+        ("profile", "'SUCCESS'", "CAST(issues AS VARCHAR) || ' quality issues found'", "NULL", "issues"),
+        ("pii", "'SUCCESS'", "'inventory and coverage written'", "NULL", "pii_inventory"),
+        ("validate", "CASE WHEN failures = 0 THEN 'SUCCESS' ELSE 'WARNINGS' END", "CAST(failures AS VARCHAR) || ' failures in ' || CAST(failed AS VARCHAR) || ' rows'", "row_status", "failures"),
+        ("clean", "'SUCCESS'", "CAST(cleaned AS VARCHAR) || ' rows after cleaning'", "NULL", "cleaned"),
+        ("mask", "'SUCCESS'", "'all PII columns masked'", "NULL", "masked"),
+        ("run", "'SUCCESS'", f"'{len(counts)} tables written, 0 missing'", raw, "masked"),
+    ]
+    c = "c AS (SELECT " + ", ".join(f"{v} AS {k}" for k, v in counts.items()) + f", {failed} AS failed)"
+    summary = " UNION ALL ".join(
+        f"SELECT '{s}' AS stage, {status} AS status, {detail} AS detail, CAST({i} AS BIGINT) AS rows_in, CAST({o} AS BIGINT) AS rows_out FROM c"
+        for s, status, detail, i, o in stages)
+    tables = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", {v} AS rows, 'OK' AS status" for t, v in counts.items())
+    return {
+        "pipeline_summary": _with(c) + summary,
+        "manifest": tables,
+        "pipeline_gate": f"""SELECT *, 'SUCCESS' AS first_run,
+  CASE WHEN (SELECT avg(CAST(n_failures > 0 AS INT)) FROM ({sql['validate_row_status']})) > 0.2 THEN 'HELD' ELSE 'SUCCESS' END AS second_run
+FROM ({sql['mask_full']})""",
+    }

@@ -132,11 +132,39 @@ def clean_mask_queries() -> dict[str, Query]:
     }
 
 
+def strict_phone() -> V.Rule:
+    """The phone rule with another limit: what the re-scan query changes."""
+    pre, post = spec.MSG_PHONE_DIGITS.split("{}")
+    n = F.col("__nd_phone")
+    message = F.concat(F.lit(pre), n.cast("string"), F.lit(post))
+    bad = F.col("phone").isNotNull() & (F.col("__s_phone") != "") & ~n.between(11, spec.PHONE_MAX_DIGITS)
+    return V.rule(bad, "phone", "digits", message, F.col("phone"))
+
+
 def extension_queries() -> dict[str, Query]:
     from veridq.operators import clean as C
     from veridq.operators import extend as XT
+    from veridq.operators import gate as G
+    from veridq.operators import rescan as R
+    from veridq.session import new_path
     from veridq.sources.tables import table
 
+    def rescan(spark, sf):
+        """Scan, then change one rule, drop one, and scan again."""
+        df, store, rules = messy(spark, sf), new_path(spark, "rescan"), R.RuleSet.default(AS_OF)
+        R.scan(df, store, rules)
+        R.scan(df, store, rules.change(strict_phone(), drop=("first_name.charset",)))
+        return R.stored(spark, store)
+
+    def gate(spark, sf):
+        """A batch that passes on its email rules and one that is held on all rules."""
+        df, store = messy(spark, sf), new_path(spark, "gate")
+        G.stage(df, store, "email", AS_OF, columns=["email"])
+        G.stage(df, store, "all", AS_OF)
+        views = {"published": G.published(spark, store), "quarantined": G.quarantined(spark, store)}
+        parts = [v.select(F.lit(k).alias("view"), "batch", "row_num", "n_failures") for k, v in views.items()]
+        return parts[0].unionByName(parts[1])
+
     return {
         "ext_cross_column": lambda spark, sf: XT.cross_column_failures(messy(spark, sf), AS_OF),
         "ext_soft_duplicates": lambda spark, sf: XT.soft_duplicates(messy(spark, sf)),
@@ -145,6 +173,8 @@ def extension_queries() -> dict[str, Query]:
         "ext_zscore_income": lambda spark, sf: XT.income_outliers(messy(spark, sf)),
         "ext_referential_orphans": lambda spark, sf: XT.referential_report(lambda n: table(spark, sf, n)),
         "ext_quarantine_split": lambda spark, sf: XT.quarantine_split(messy(spark, sf), AS_OF),
+        "ext_rescan": rescan,
+        "ext_gate": gate,
         "ext_failure_drift": lambda spark, sf: XT.failure_drift(table(spark, sf, "events")),
         "ext_review_queue": lambda spark, sf: XT.review_queue(messy(spark, sf), AS_OF),
         "ext_income_brackets": lambda spark, sf: C.clean(messy(spark, sf), AS_OF).select(
@@ -160,11 +190,15 @@ def streaming_queries() -> dict[str, Query]:
         "stream_mask": S.mask_stream,
         "stream_dedupe": S.dedupe_stream,
         "stream_event_quality": S.event_quality_stream,
+        "stream_duplicate_ids": S.duplicate_ids_stream,
+        "stream_pii_conversations": S.pii_conversations_stream,
+        "stream_pii_windows": S.pii_windows_stream,
     }
 
 
 def pipeline_queries() -> dict[str, Query]:
-    from veridq.plans.pipeline import run_pipeline
+    from veridq.plans.pipeline import published_table, run_pipeline
+    from veridq.session import new_path
 
     def summary(spark, sf):
         res = run_pipeline(spark, messy(spark, sf), as_of=AS_OF)
@@ -174,4 +208,13 @@ def pipeline_queries() -> dict[str, Query]:
         res = run_pipeline(spark, messy(spark, sf), as_of=AS_OF)
         return res.manifest.select("table", "rows", "status")
 
-    return {"pipeline_summary": summary, "manifest": manifest}
+    def gated(spark, sf):
+        """A run that is published, then one that the gate holds: the first one's masked rows
+        stay visible."""
+        store = new_path(spark, "published")
+        first = run_pipeline(spark, messy(spark, sf), as_of=AS_OF, publish_dir=store, max_failure_rate=1.0)
+        second = run_pipeline(spark, messy(spark, sf), as_of=AS_OF, publish_dir=store)
+        rows = published_table(spark, store)
+        return rows.withColumns({"first_run": F.lit(first.status), "second_run": F.lit(second.status)})
+
+    return {"pipeline_summary": summary, "manifest": manifest, "pipeline_gate": gated}

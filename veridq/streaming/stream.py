@@ -4,11 +4,11 @@
   planned like the batch job.
 * Validation writes the row-local failures and the ids of each micro-batch; a read adds
   the uniqueness rule over the ids of all batches.
-* Keep-first dedupe needs history: ``foreachBatch`` keeps the first row per key
-  inside the batch (window with ``WindowGroupLimit``), drops keys already in the
-  target with a ``left_anti`` join, and writes the batch to a folder named by
-  ``batchId`` with overwrite — re-running a batch after a failure replaces its
-  output instead of duplicating it.
+* Keep-first dedupe, repeated ids and PII counts per window are keyed state in Spark's state
+  store: a micro-batch touches the state of its own keys and never reads the history.  The
+  groups it changed are written to a folder named by ``batchId`` with overwrite, so a
+  replayed batch replaces its output; a read takes the last state of each group.
+* PII tags are a projection of each message.
 * Event quality per day: every micro-batch writes its own counts per day, which a read
   sums; events may arrive in any order and none is dropped as late.
 
@@ -18,14 +18,14 @@ Checkpoints and outputs live under the shared work folder
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veridq import spec
-from veridq.operators import clean as C
+from veridq.functions import exprs as X
 from veridq.operators import extend as XT
 from veridq.operators import mask as MK
+from veridq.operators import pii as D
 from veridq.operators import validate as V
 from veridq.session import new_path
 from veridq.sources.messy import messy_from_orders
@@ -88,55 +88,135 @@ def mask_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-# Batch keys above this count are joined with a shuffle instead of a broadcast.
-BROADCAST_KEYS_LIMIT = 1_000_000
+# Keyed state --------------------------------------------------------------------
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-def dedupe_batch(target: str, key: str = "customer_id", order: str = "row_num"):
-    """foreachBatch function: keep-first within the batch, then drop keys already
-    written by earlier batches.
 
-    History is never shuffled whole: it is semi-joined against this batch's
-    distinct keys (broadcast when their counted number is below
-    ``BROADCAST_KEYS_LIMIT``), which leaves only the keys seen before; the batch is
-    anti-joined against that small set.  Output goes to ``_batch=<id>`` with
-    overwrite, so a replayed batch replaces its own output."""
+def start_state(df: DataFrame, out: str, ck: str):
+    """Start a streaming aggregate in update mode: the groups that a micro-batch changed go to
+    a folder of the batch id (a replay replaces it).  The state is on disk (RocksDB) and in
+    the checkpoint; each batch reads and writes the state of its own groups only, whatever
+    the history."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
-        try:
-            first = C.keep_first(batch, key, order)
-            try:
-                hist = spark.read.parquet(target).where(F.col("_batch") != batch_id).select(key)
-            except AnalysisException as e:
-                if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                    raise  # an unreadable history is not an empty one
-                hist = None
-            if hist is not None:
-                keys = first.select(F.col(key).alias("_k")).distinct()
-                side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS_LIMIT else keys
-                seen = hist.join(side, hist[key].eqNullSafe(side["_k"]), "left_semi").select(F.col(key).alias("_s"))
-                first = first.join(seen, first[key].eqNullSafe(seen["_s"]), "left_anti")
-            (first.withColumn("_batch", F.lit(batch_id))
-             .write.mode("overwrite").parquet(f"{target}/_batch={batch_id}"))
-        finally:
-            batch.unpersist()
+        batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
 
-    return fn
+    conf, key = df.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key)
+    conf.set(key, ROCKSDB)  # read when the query starts
+    try:
+        return (
+            df.writeStream.outputMode("update").foreachBatch(fn).option("checkpointLocation", ck)
+            .trigger(availableNow=True).start()
+        )
+    finally:
+        conf.set(key, before)
+
+
+def keep_state(df: DataFrame, out: str, ck: str) -> None:
+    start_state(df, out, ck).awaitTermination()
+
+
+def read_state(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """The last state of each group: its row of the latest batch that changed it.  Null keys
+    are a group."""
+    rows = spark.read.parquet(out)
+    rest = [c for c in rows.columns if c not in (*keys, "_batch")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_last"))
+    return last.select(*keys, *[F.col("_last").getField(c).alias(c) for c in rest])
+
+
+def in_files(spark: SparkSession, sf_dir: str, name: str, columns: list[str], n: int = 3) -> DataFrame:
+    """``columns`` of a driver table as a stream of ``n`` files, one per micro-batch."""
+    path = new_path(spark, f"files-{name}")
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
+    rows.repartition(n).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def first_rows(rows: DataFrame, key: str = "customer_id", order: str = "row_num") -> DataFrame:
+    """Keep-first (C6) as a streaming aggregate: per key the row with the lowest ``order`` so
+    far.  A lower row that arrives later takes the place, so the result is that of the batch
+    operator in whatever order rows arrive."""
+    return rows.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*rows.columns), order).alias("_row")).select("_key", "_row.*")
+
+
+def kept_rows(spark: SparkSession, out: str) -> DataFrame:
+    return read_state(spark, out, ["_key"]).drop("_key")
 
 
 def dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, ck = new_path(spark, "stream-dedupe"), new_path(spark, "ck-dedupe")
-    s = messy_from_orders(stream_table(spark, sf_dir, "orders").select("o_orderkey"))
-    q = (
-        s.writeStream.foreachBatch(dedupe_batch(target))
-        .option("checkpointLocation", ck)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return spark.read.parquet(target).drop("_batch")
+    out, ck = new_path(spark, "stream-dedupe"), new_path(spark, "ck-dedupe")
+    keep_state(first_rows(messy_from_orders(in_files(spark, sf_dir, "orders", ["o_orderkey"]))), out, ck)
+    return kept_rows(spark, out)
+
+
+def key_counts(rows: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Valid ids as a streaming aggregate: first row and number of rows so far (V1d)."""
+    p = V.id_parts(key)
+    ids = V.derive(rows.select("row_num", key), [key]).where(p["valid"]).select("row_num", p["key"].alias("_key"))
+    return ids.groupBy("_key").agg(F.min("row_num").alias("first_row"), F.count(F.lit(1)).alias("n"))
+
+
+def duplicate_ids_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1d over a stream: rows that repeat an id.  The keys' counts are state; the ids of the
+    batches are appended and joined with the few repeated keys when read."""
+    out, ids = new_path(spark, "stream-keys"), new_path(spark, "stream-ids")
+    rows = messy_from_orders(in_files(spark, sf_dir, "orders", ["o_orderkey"])).select("row_num", "customer_id")
+    keep_state(key_counts(rows), out, new_path(spark, "ck-keys"))
+    _run(rows, ids, new_path(spark, "ck-ids"))
+    return repeated_ids(spark.read.parquet(ids), read_state(spark, out, ["_key"]))
+
+
+def repeated_ids(rows: DataFrame, keys: DataFrame, id_col: str = "customer_id") -> DataFrame:
+    """V1d failures of ``rows`` by the state of their keys."""
+    p = V.id_parts(id_col)
+    each = V.derive(rows.select("row_num", id_col), [id_col]).where(p["valid"]).select("row_num", p["key"].alias("_key"), F.col(id_col).alias("value"))
+    pre, post = spec.MSG_ID_DUPLICATE.split("{}")
+    message = F.concat(F.lit(pre), F.col("first_row").cast("string"), F.lit(post))
+    met = each.join(keys.where("n > 1"), "_key").where("row_num > first_row")
+    return met.select("row_num", F.lit(id_col).alias("column"), F.lit(f"{id_col}.duplicate").alias("rule_id"), message.alias("rule"), "value")
+
+
+# PII ----------------------------------------------------------------------------
+
+
+def pii_tags(messages: DataFrame, id_col: str, text_cols: list[str]) -> DataFrame:
+    """One row per message with its matches per detector and whether it has any: a projection,
+    so a micro-batch needs nothing but its own messages."""
+    n = {k: sum((F.regexp_count(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(p)) for c in text_cols), F.lit(0)) for k, p in D.DETECTORS.items()}
+    tags = F.array_compact(F.array(*[F.when(F.col(f"n_{k}") > 0, F.lit(k)) for k in n]))
+    return messages.select(id_col, *[v.cast("bigint").alias(f"n_{k}") for k, v in n.items()]).select("*", F.array_join(tags, ",").alias("pii"))
+
+
+def pii_conversations_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags of every message of ``conversations``, batch by batch."""
+    out = new_path(spark, "stream-pii")
+    rows = in_files(spark, sf_dir, "conversations", ["conv_id", "turn", "text"])
+    _run(pii_tags(rows.withColumn("msg_id", F.concat_ws(":", "conv_id", "turn")), "msg_id", ["text"]), out, new_path(spark, "ck-pii"))
+    return spark.read.parquet(out)
+
+
+def pii_windows(rows: DataFrame, event_date: Column) -> DataFrame:
+    """Rows with personal data per detector and month of their event date, as a streaming
+    aggregate.
+
+    Lateness: no row is late.  A row adds to its month whenever it arrives; the state is a
+    row per month and detector.  Rows without a date count under the null month."""
+    flags = D.detector_flags()
+    month = F.date_format(F.trunc(event_date, "month"), "yyyy-MM")
+    each = F.array(*[F.struct(F.lit(k).alias("detector"), v.alias("hit")) for k, v in flags.items()])
+    hits = rows.select(month.alias("month"), F.inline(each))
+    return hits.groupBy("month", "detector").agg(F.count_if("hit").alias("n_rows"), F.count(F.lit(1)).alias("total"))
+
+
+def pii_windows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_path(spark, "stream-pii-windows")
+    rows = messy_from_orders(in_files(spark, sf_dir, "orders", ["o_orderkey"]))
+    date = X.parse_date(X.ustrip("created_date"), spec.VALIDATE_DATE_FORMATS)
+    keep_state(pii_windows(rows, date), out, new_path(spark, "ck-pii-windows"))
+    return read_state(spark, out, ["month", "detector"])
 
 
 def _count_days(out: str):
