@@ -102,13 +102,13 @@ def blocks(docs: DataFrame) -> DataFrame:
         part, made = TaskContext.get().partitionId() << 33, 0
         held: dict[str, Open] = {}
 
-        def flush():
+        def flush(langs: list[str]):
             nonlocal made
-            for lang, b in held.items():
+            for lang in langs:
+                b = held.pop(lang)
                 if b.size:
                     yield _batch([(part + made, lang, *b.close())], schema)
                     made += 1
-            held.clear()
 
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
@@ -119,18 +119,19 @@ def blocks(docs: DataFrame) -> DataFrame:
                     end = data.find(b" ", at + CHUNK)
                     words = data[at : end if end >= 0 else len(data)].split(b" ")
                     at = end + 1 if end >= 0 else len(data)
-                    if sum(b.size for b in held.values()) >= BLOCK and b"\n" in words:
-                        cut = words.index(b"\n")
-                        if lang in held:  # the rest of the piece that is open
-                            held[lang].add(words[:cut])
-                            words = words[cut:]
-                        yield from flush()
+                    if lang in held and held[lang].size >= BLOCK and b"\n" in words:
+                        cut = words.index(b"\n")  # the rest of the piece that is open
+                        held[lang].add(words[:cut])
+                        words = words[cut:]
+                        yield from flush([lang])
                     held.setdefault(lang, Open()).add(words)
                 if lang in held:
                     held[lang].add([b"\n"])
-                if sum(b.size for b in held.values()) >= BLOCK:
-                    yield from flush()
-        yield from flush()
+                    if held[lang].size >= BLOCK:
+                        yield from flush([lang])
+                if len(held) > 1 and sum(b.size for b in held.values()) >= 2 * BLOCK:
+                    yield from flush(list(held))
+        yield from flush(list(held))
 
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(run, kind)
 
@@ -190,7 +191,9 @@ def first_state(cut: DataFrame, words: DataFrame, bits: int) -> DataFrame:
     """Blocks in the ids of the vocabulary; words that are not in it end a run."""
     kind, schema = _arrow(STATE)
     local = cut.select("block", "lang", F.posexplode("words").alias("at", "word"))
-    known = local.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct(F.col("at").alias("at"), "id")).alias("known"))
+    # left: a row per entry of a dictionary, however many of the words are frequent
+    named = local.join(words.select("lang", "word", "id"), ["lang", "word"], "left")
+    known = named.groupBy("block").agg(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("at", "id"))).alias("known"))
     known = known.select("block", "known.at", F.col("known.id").alias("id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
