@@ -1,139 +1,364 @@
-"""Fuzzy line duplicates by MinHash, with DataFrame functions only.
-
-A line is compared by its character shingles: ``K`` characters (fewer at its end) from
-every position.
-
-1. Equal lines (without spaces at the ends, lower-cased) are collapsed; each line text goes on once.
-2. The signature is the line's shingle hashes in order.  A band is ``ROWS`` consecutive
-   hashes, taken in a circle from the first hash of each of ``BANDS`` equal ranges; a
-   line of at most ``EVERY`` hashes has a band from every hash.  Two of those at similarity
-   0.8 share one by the pigeonhole principle (a fifth of the hashes cannot break up all
-   runs of four); longer ones share a given band with probability 0.41 and miss all
-   with 2e-4 (simulated, 40,000 pairs each of 64/80, 65/65, 72/72, 90/90 and 300/300
-   hashes: 0, 1, 0, 1 and 5 missed).
-3. In each bucket the smallest line is paired with the others; a pair is a link if the
-   Jaccard similarity of the full shingle sets is at least 0.8.
-4. Components of the links; in buckets that still hold several, the pairs across
-   components are tested too, in blocks.  One line of each component stays: the first
-   by document and line number.
+"""Fuzzy line duplicates by MinHash.
+
+A line (without spaces at the ends, lower-cased) is compared by its character shingles:
+``K`` characters, fewer at its end, from every position.
+
+1. One pass splits the texts and numbers the lines.  A task keeps a line that it meets again
+   once.  Of every line text it takes a signature of ``BANDS`` * ``ROWS`` minima, each under
+   a hash of its own, the same rule for all lengths; ``ROWS`` minima make a band's key.  Two
+   lines of similarity 0.8 miss all bands with probability 8e-4.  Lines of a block that have
+   a key in common send one row for it to the shuffle, so a common line or template costs a
+   row per block.  Texts stay in compressed blocks.
+2. In each bucket the first line is paired with the others.  The lines that take part get
+   their texts from the blocks; a pair is a link if the Jaccard similarity of the full
+   shingle sets is at least 0.8.
+3. Components of the links, and of equal lines.  Buckets of three lines or more that still
+   hold several components are compared whole, in blocks of at most ``BLOCK`` lines: only
+   links become rows.
+4. One line of each component stays: the first by document, line number and row.
 
 Edge cases: null or empty text has no lines; blank lines are never compared and stay;
-lines of a document with a null id come first; repeated rows of an id and line number:
-all but equal first ones go; an empty table gives no rows; further columns of the
-input are not read.
+lines of a document with a null id come first; of repeated rows one has its lines kept;
+an empty table gives no rows; a line of any length is read whole, in parts; further
+columns of the input are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from pyspark.taskcontext import TaskContext
 
-from veridq.llm.common import materialise
+from veridq.llm.common import arrow_map, materialise, ship
 from veridq.llm.components import components
+from veridq.session import new_path
 
 K = 8
-ROWS, BAND_BITS = 4, 4
-BANDS = 1 << BAND_BITS
-EVERY = 64  # hashes up to which each one starts a band
+BANDS, ROWS = 10, 3
 SIMILAR = 80  # per cent
-BLOCK = 128
+BLOCK = 256  # lines of an open bucket on either side of a comparison
+TEXT_BLOCK = 2_000_000  # characters in a block of texts
+LINE_BITS = 20  # lines in a block of texts, as bits
+SEGMENT = 1 << 16  # positions hashed at once
+
+U = np.uint64
+PAD = 0x110000  # no character
+MIX = U(0x9E3779B97F4A7C15)
+#: Odd multipliers, one for each hash of the signature and one for each row of a band.
+SEEDS = np.random.default_rng(2718).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+FOLD = np.random.default_rng(1828).integers(0, 1 << 63, ROWS, dtype=np.uint64) | U(1)
+
+PARTS = "kind string, row long, doc_id long, line_no int, k1 long, k2 long, rid long, key long, lead long, block long, texts binary"
+
+
+# ---- signatures ---------------------------------------------------------------
+
+
+def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers first[i] .. first[i] + size[i] - 1 of every i, in a row."""
+    end = np.cumsum(size)
+    return np.arange(end[-1] if len(end) else 0) + np.repeat(first - (end - size), size)
+
+
+def shingles(segments: list[str], positions: np.ndarray) -> np.ndarray:
+    """Hashes of the shingles at the first ``positions[i]`` places of every segment; a segment
+    that is too short for its last shingles ends its line."""
+    size = np.array([len(s) for s in segments])
+    wide = positions + K - 1
+    text = "".join([s.ljust(w, "\0") for s, w in zip(segments, wide.tolist(), strict=True)])
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    start = np.cumsum(wide) - wide
+    codes[_spans(start + size, wide - size)] = PAD
+    n = len(codes) - K + 1
+    h = np.zeros(max(n, 0), np.uint64)
+    for j in range(K if n > 0 else 0):
+        h = (h + codes[j : n + j]) * MIX
+        h ^= h >> U(29)
+    return h[_spans(start, positions)]
+
+
+def signatures(lines: list[str]) -> np.ndarray:
+    """One row of ``BANDS`` keys for each (not empty) line."""
+    least = np.full((len(lines), BANDS * ROWS), 0xFFFFFFFF, np.uint32)
+    held: list[tuple[int, str, int]] = []
+
+    def close() -> None:
+        positions = np.array([p for _, _, p in held])
+        h = (shingles([s for _, s, _ in held], positions) >> U(32)).astype(np.uint32)
+        at, first = np.array([i for i, _, _ in held]), np.cumsum(positions) - positions
+        for r, seed in enumerate(SEEDS):
+            x = h * seed
+            x ^= x >> np.uint32(15)
+            x *= np.uint32(0x2C1B3C6D)
+            np.minimum.at(least[:, r], at, np.minimum.reduceat(x, first))
+        held.clear()
 
+    size = 0
+    for i, line in enumerate(lines):
+        for lo in range(0, len(line), SEGMENT):
+            positions = min(SEGMENT, len(line) - lo)
+            held.append((i, line[lo : lo + positions + K - 1], positions))
+            size += positions
+            if size >= SEGMENT:
+                close()
+                size = 0
+    if held:
+        close()
+    keys = np.zeros((len(lines), BANDS), np.uint64)
+    for r in range(ROWS):
+        keys = (keys ^ least[:, r::ROWS].astype(np.uint64)) * FOLD[r]
+        keys ^= keys >> U(31)
+    return ((keys << U(4)) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
-def shingle_hashes(text: str) -> Column:
-    """Sorted distinct hashes of the shingles of a (not empty) line."""
-    grams = F.regexp_extract_all(F.col(text), F.lit(rf"(?s)(?=(.{{1,{K}}}))."), F.lit(1))
-    return F.sort_array(F.array_distinct(F.transform(grams, lambda x: F.xxhash64(x))))
 
+def shingle_set(line: str) -> np.ndarray:
+    """Sorted distinct shingle hashes of a line."""
+    parts = [shingles([line[i : i + SEGMENT + K - 1]], np.array([min(SEGMENT, len(line) - i)])) for i in range(0, len(line), SEGMENT)]
+    return np.unique(np.concatenate(parts))
 
-def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, raw line, its normal form ``line`` and that one's two hashes."""
-    got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "raw"))
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether 100 * intersection >= SIMILAR * union."""
+    if 100 * min(len(a), len(b)) < SIMILAR * max(len(a), len(b)):
+        return False
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    met = int((both[1:] == both[:-1]).sum())
+    return 100 * met >= SIMILAR * (len(a) + len(b) - met)
+
+
+# ---- one pass over the texts -----------------------------------------------------
+
+
+def lines(docs: DataFrame, *more: str) -> DataFrame:
+    """``more``, doc_id, line_no, raw line, its normal form ``line`` and that one's two hashes."""
+    got = docs.select(*more, F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "raw"))
     got = got.withColumn("line", F.trim(F.lower("raw")))
     return got.withColumn("k1", F.xxhash64("line")).withColumn("k2", F.xxhash64(F.lit(1), "line"))
 
 
-def bands(distinct: DataFrame) -> DataFrame:
-    """lid, n, key: one row for each line and band."""
-    rows = distinct.select("lid", shingle_hashes("line").alias("h")).withColumn("n", F.size("h"))
-    first = f"filter(sequence(0, n - 1), i -> i = 0 or shiftright(get(h, i), {64 - BAND_BITS}) <> shiftright(get(h, i - 1), {64 - BAND_BITS}))"
-    at = f"if(n <= {EVERY}, sequence(0, n - 1), {first})"
-    run = ", ".join(f"get(h, (i + {j}) % n)" for j in range(ROWS))
-    rows = rows.withColumn("at", F.expr(at))
-    return rows.select("lid", "n", F.explode(F.expr(f"array_distinct(transform(at, i -> xxhash64(least(n, {ROWS}), {run})))")).alias("key"))
+class _Block:
+    """Line texts of a task until they are signed and written."""
+
+    def __init__(self, number: int):
+        self.number, self.size = number, 0
+        self.texts: list[str] = []
+        self.known: set[tuple[int, int]] = set()
+
+    def add(self, text: str, key: tuple[int, int]) -> int | None:
+        """The number of a text that is new here."""
+        if key in self.known:
+            return None
+        self.known.add(key)
+        self.texts.append(text)
+        self.size += len(text)
+        return (self.number << LINE_BITS) + len(self.texts) - 1
+
+    def full(self) -> bool:
+        return self.size >= TEXT_BLOCK or len(self.texts) == 1 << LINE_BITS
+
+    def close(self) -> Iterator[dict]:
+        keys = signatures(self.texts)
+        rid = np.repeat((self.number << LINE_BITS) + np.arange(len(keys)), BANDS)
+        flat = keys.reshape(-1)
+        order = np.argsort(flat, kind="stable")  # the first of equal keys is the smallest rid
+        flat, rid = flat[order], rid[order]
+        new = np.r_[True, flat[1:] != flat[:-1]]
+        lead = rid[np.flatnonzero(new)][np.cumsum(new) - 1]
+        yield {"kind": "bands", "key": flat, "rid": rid, "lead": lead}
+        packed = zstandard.ZstdCompressor(3).compress("\n".join(self.texts).encode("utf-8", "surrogatepass"))
+        yield {"kind": "texts", "block": [self.number], "texts": [packed]}
+
+
+def _read_once(docs: DataFrame, number: str | None) -> str:
+    """Write the tables of pass 1 to a new folder: ``rows`` (every line that is not blank; ``rid``
+    where its text is new to the block), ``bands`` and ``texts``."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    spark = docs.sparkSession
+    ship(spark)
+    kind = StructType.fromDDL(PARTS)
+    schema = to_arrow_schema(kind)
+
+    def batch_of(cols: dict) -> pa.RecordBatch:
+        n = len(next(v for k, v in cols.items() if k != "kind"))
+        whole = {"kind": pa.array([cols.pop("kind")] * n, pa.string())} | {k: v if isinstance(v, pa.Array) else pa.array(v, schema.field(k).type) for k, v in cols.items()}
+        return pa.RecordBatch.from_arrays([whole[f.name].cast(f.type) if f.name in whole else pa.nulls(n, f.type) for f in schema], schema=schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = TaskContext.get().partitionId() << LINE_BITS
+        block = _Block(made)
+        for batch in batches:
+            keys = zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)
+            texts, rids = batch.column("line"), []
+            for i, key in enumerate(keys):
+                if block.full():
+                    for part in block.close():
+                        yield batch_of(part)
+                    made += 1
+                    block = _Block(made)
+                rids.append(None if key in block.known else block.add(texts[i].as_py(), key))
+            yield batch_of({"kind": "rows", "rid": rids} | {c: batch.column(c) for c in ("row", "doc_id", "line_no", "k1", "k2")})
+        if block.texts:
+            for part in block.close():
+                yield batch_of(part)
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    row = F.col(number) if number else F.monotonically_increasing_id()
+    numbered = docs.select(row.alias("row"), "doc_id", "text")
+    every = lines(numbered, "row").where("line <> ''").select("row", "doc_id", "line_no", "line", "k1", "k2")
+    path = new_path(spark, "lines")
+    every.mapInArrow(run, kind).write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    return path
+
+
+def _part(docs: DataFrame, path: str, kind: str, *cols: str) -> DataFrame:
+    return docs.sparkSession.read.schema(PARTS).parquet(path).where(F.col("kind") == kind).select(*cols)
+
+
+# ---- links --------------------------------------------------------------------------
+
+
+def _texts_of(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
+    """rid and line of the texts ``wanted(rid)``.  Blocks move compressed."""
+    places = wanted.groupBy(F.shiftright("rid", LINE_BITS).alias("block")).agg(F.collect_list("rid").alias("rids"))  # a block's lines at most
+
+    def make():
+        def fn(rids, packed):
+            out = {"rid": [], "line": []}
+            for want, raw in zip(rids, packed, strict=True):
+                texts = zstandard.ZstdDecompressor().decompress(raw).decode("utf-8", "surrogatepass").split("\n")
+                out["rid"] += want
+                out["line"] += [texts[r & ((1 << LINE_BITS) - 1)] for r in want]
+            return out
+
+        return fn
+
+    return arrow_map(places.join(blocks, "block"), make, "rid long, line string", "rids", "texts")
+
+
+def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are similar."""
-    side = lambda x: sets.select(F.col("lid").alias(x), F.col("h").alias(f"h{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    met = both.withColumn("met", F.size(F.array_intersect("ha", "hb"))).withColumn("all", F.size("ha") + F.size("hb") - F.col("met"))
-    return met.where(F.col("met") * 100 >= SIMILAR * F.col("all")).select("a", "b")
-
-
-def _several(rows: DataFrame) -> DataFrame:
-    """Rows of the buckets with more than one component."""
-    some = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    return rows.join(some.select("key"), "key", "left_semi")
-
-
-def _unseen(met: DataFrame, label: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of components with a link inside a bucket.
-
-    Lines that cannot be in a link go first: an intersection is at most the shingles that
-    another open line has too.  The rest of a bucket is compared in blocks of at most
-    about ``BLOCK`` lines, in one expression over the block's array, so that only links
-    become rows."""
-    rows = met.join(label.select(F.col("node").alias("lid"), "label"), "lid", "left").withColumn("comp", F.coalesce("label", "lid"))
-    open_ = materialise(_several(rows.select("key", "lid", "n", "comp")), "lines-open")
-    each = sets.join(open_.select("lid").distinct(), "lid", "left_semi").select("lid", F.explode("h").alias("h"))
-    shared = each.join(each.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1").select("h"), "h", "left_semi").groupBy("lid").agg(F.count(F.lit(1)).alias("most"))
-    least = open_.groupBy("key").agg(F.min("n").alias("low"))
-    able = open_.join(shared, "lid").join(least, "key").where(f"100 * most >= {SIMILAR} * (n + low - most)")
-    left = materialise(_several(able.select("key", "lid", "n", "comp", "most")), "lines-able")
-    blocks = left.join(left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb")), "key")
-    blocks = blocks.withColumn("i", F.pmod(F.xxhash64("lid"), F.col("nb")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    dealt = blocks.withColumn("p", F.least("i", "j")).withColumn("q", F.greatest("i", "j")).join(sets, "lid")
-    groups = dealt.groupBy("key", "p", "q").agg(F.collect_list(F.struct("lid", "comp", "most", "n", "h")).alias("m"))
-    # the union is at least the larger set, so the least intersection is known beforehand
-    near = f"100 * size(array_intersect(x.h, y.h)) >= {SIMILAR} * (x.n + y.n - size(array_intersect(x.h, y.h)))"
-    able_pair = f"100 * least(x.most, y.most) >= {SIMILAR} * (x.n + y.n - least(x.most, y.most))"
-    found = f"filter(m, y -> y.lid > x.lid and y.comp <> x.comp and {able_pair} and {near})"
-    return groups.select(F.explode(F.expr(f"flatten(transform(m, x -> transform({found}, y -> named_struct('a', least(x.comp, y.comp), 'b', greatest(x.comp, y.comp)))))")).alias("l")).select("l.a", "l.b").distinct()
-
-
-def line_components(docs: DataFrame) -> DataFrame:
-    """k1, k2 of each distinct line with the place of the line that stays."""
-    place = F.struct(F.col("doc_id").isNotNull().alias("real"), F.col("doc_id"), F.col("line_no"))
-    distinct = lines(docs).where("line <> ''").groupBy("k1", "k2").agg(F.first("line").alias("line"), F.min(place).alias("place"), F.count(F.lit(1)).alias("times"))
-    distinct = materialise(distinct.withColumn("lid", F.monotonically_increasing_id()), "lines-distinct")
-    in_bucket = Window.partitionBy("key")
-    banded = bands(distinct).withColumn("size", F.count(F.lit(1)).over(in_bucket)).withColumn("lead", F.min("lid").over(in_bucket))
-    met = materialise(banded.where("size > 1").drop("size"), "lines-met")
-    sized = F.expr(f"100 * least(n, ln) >= {SIMILAR} * greatest(n, ln)")
-    leads = met.where("lid = lead").select("key", F.col("n").alias("ln"))
-    stars = met.where("lid <> lead").join(leads, "key").where(sized).select(F.col("lead").alias("a"), F.col("lid").alias("b")).distinct()
-    # full sets of the lines that meet another one in a bucket
-    sets = distinct.join(met.select("lid").distinct(), "lid", "left_semi").select("lid", shingle_hashes("line").alias("h"))
-    sets = materialise(sets, "lines-sets")
-    links = materialise(confirm(stars, sets), "lines-links")
+    side = lambda x: texts.select(F.col("rid").alias(x), F.col("line").alias(f"t{x}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+
+    def make():
+        last: list = [None, None]
+
+        def fn(a, b, ta, tb):
+            ok = []
+            for x, s, t in zip(a, ta, tb, strict=True):
+                if last[0] != x:
+                    last[:] = x, shingle_set(s)
+                ok.append(similar(last[1], shingle_set(t)))
+            return {"a": np.array(a)[ok], "b": np.array(b)[ok]} if any(ok) else None
+
+        return fn
+
+    return arrow_map(both, make, "a long, b long", "a", "b", "ta", "tb")
+
+
+def _unseen(members: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between different components inside buckets ``members(key, rid)``."""
+    rows = members.join(label.select(F.col("node").alias("rid"), "label"), "rid", "left").select("key", "rid", F.coalesce("label", "rid").alias("comp"))
+    some = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi and n > 2")
+    open_ = rows.join(some.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")), "key")
+    # a bucket's block i meets every block j; most buckets are one block
+    open_ = open_.withColumn("i", F.pmod(F.xxhash64("rid"), F.col("nb")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    dealt = open_.select("key", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "rid", "comp").join(texts, "rid")
+    group = ["key", "p", "q"]
+    dealt = dealt.repartition(*group).sortWithinPartitions(*group, "rid").select(*group, "rid", "comp", "line")
+    ship(members.sparkSession)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        last = None
+        for batch in batches:
+            cols = [c.to_pylist() for c in batch.columns]
+            out = []
+            for *g, rid, comp, line in zip(*cols, strict=True):
+                if g != last:
+                    out += _linked(held)
+                    held, last = [], g
+                held.append((rid, comp, line))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], schema=schema)
+        out = _linked(held)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], schema=schema)
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _linked(rows: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Links that join the components of ``rows`` (rid, component, line), by all pairs of
+    different ones."""
+    sets = [shingle_set(line) for _, _, line in rows]
+    root: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while root.get(v, v) != v:
+            v = root[v]
+        return v
+
+    out = []
+    for x in range(len(rows)):
+        for y in range(x):
+            a, b = find(rows[x][1]), find(rows[y][1])
+            if a != b and similar(sets[x], sets[y]):
+                root[max(a, b)] = min(a, b)
+                out.append((rows[y][0], rows[x][0]))
+    return out
+
+
+def _links(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Confirmed links (a, b), buckets (key, rid) of several lines, and the lines' texts."""
+    bands = _part(docs, path, "bands", "key", "rid", "lead")
+    # a row per block and key, so a bucket has at most as many as there are blocks
+    every = Window.partitionBy("key")
+    sent = bands.where("rid = lead").select("key", "rid").withColumn("first", F.min("rid").over(every)).withColumn("n", F.count(F.lit(1)).over(every))
+    leads = materialise(sent.where("n > 1").select("key", "rid", "first"), "lines-leads")
+    local = bands.where("rid <> lead")
+    stars = leads.where("rid <> first").select(F.col("first").alias("a"), F.col("rid").alias("b"))
+    stars = materialise(stars.unionByName(local.select(F.col("lead").alias("a"), F.col("rid").alias("b"))).distinct(), "lines-stars")
+    wanted = stars.select(F.col("a").alias("rid")).unionByName(stars.select(F.col("b").alias("rid"))).distinct()
+    texts = materialise(_texts_of(wanted, _part(docs, path, "texts", "block", "texts")), "lines-met")
+    members = leads.select("key", "rid").unionByName(local.select("key", "rid")).unionByName(local.select("key", F.col("lead").alias("rid"))).distinct()
+    return materialise(_confirm(stars, texts), "lines-links"), members, texts
+
+
+def _kept(docs: DataFrame, number: str | None = None) -> DataFrame:
+    """row, doc_id, line_no, keep (place of the line that stays), group_size of every line
+    that is not blank."""
+    path = _read_once(docs, number)
+    rows = _part(docs, path, "rows", "row", "doc_id", "line_no", "k1", "k2", "rid")
+    place = F.struct(F.col("doc_id").isNotNull().alias("real"), "doc_id", "line_no", "row")
+    of_text = [F.min(place).alias("place"), F.count(F.lit(1)).alias("times"), F.min("rid").alias("lid"), F.max("rid").alias("last")]
+    classes = materialise(rows.groupBy("k1", "k2").agg(*of_text), "lines-classes")
+    links, members, texts = _links(docs, path)
+    # equal lines of several blocks
+    again = classes.where("lid <> last").select("k1", "k2", "lid")
+    same = rows.where("rid is not null").join(again, ["k1", "k2"]).where("rid <> lid").select(F.col("lid").alias("a"), F.col("rid").alias("b"))
+    links = materialise(links.unionByName(same), "lines-joined")
     label = components(links, "lines-c1")
-    more = materialise(_unseen(met, label, sets), "lines-more")
-    of = distinct.select("k1", "k2", "lid", "place", "times").join(label.select(F.col("node").alias("lid"), "label"), "lid", "left").withColumn("comp", F.coalesce("label", "lid"))
+    more = materialise(_unseen(members, label, texts), "lines-more")
     if not more.isEmpty():  # components that are one
-        joined = components(more, "lines-c2").select(F.col("node").alias("comp"), F.col("label").alias("into"))
-        of = of.join(joined, "comp", "left").withColumn("comp", F.coalesce("into", "comp"))
+        label = components(links.unionByName(more), "lines-c2")
+    of = classes.join(label.select(F.col("node").alias("lid"), "label"), "lid", "left").withColumn("comp", F.coalesce("label", "lid"))
     best = of.groupBy("comp").agg(F.min("place").alias("keep"), F.sum("times").alias("group_size"))
-    return of.select("k1", "k2", "comp").join(best, "comp").select("k1", "k2", "keep", "group_size")
+    stays = of.select("k1", "k2", "comp").join(best, "comp").select("k1", "k2", "keep", "group_size")
+    return rows.select("row", "doc_id", "line_no", "k1", "k2").join(stays, ["k1", "k2"]).select("row", "doc_id", "line_no", "keep", "group_size")
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """One row per line that is not blank: doc_id, line_no, keep_doc_id, keep_line_no,
     group_size, kept."""
-    every = lines(docs).where("line <> ''").select("doc_id", "line_no", "k1", "k2")
-    got = every.join(line_components(docs), ["k1", "k2"])
-    kept = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("line_no") == F.col("keep.line_no"))
-    return got.select(
+    kept = (F.col("row") == F.col("keep.row")) & (F.col("line_no") == F.col("keep.line_no"))
+    return _kept(docs).select(
         "doc_id",
         F.col("line_no").cast("long").alias("line_no"),
         F.col("keep.doc_id").alias("keep_doc_id"),
@@ -144,12 +369,10 @@ def line_rows(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """doc_id and text of every document without the lines that another line stands for."""
-    raw = lines(docs)
-    keep = line_rows(docs).where("kept").select("doc_id", F.col("line_no").cast("int").alias("line_no"), F.lit(True).alias("kept"))
-    on = raw["doc_id"].eqNullSafe(keep["doc_id"]) & (raw["line_no"] == keep["line_no"])
-    rest = raw.join(keep, on, "left").where((raw["line"] == "") | F.col("kept")).select(raw["doc_id"], raw["line_no"], raw["raw"])
-    parts = rest.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line_no", "raw"))).alias("p"))
-    texts = parts.select("doc_id", F.array_join("p.raw", "\n").alias("text"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return ids.join(texts, ids["doc_id"].eqNullSafe(texts["doc_id"]), "left").select(ids["doc_id"], F.coalesce("text", F.lit("")).alias("text"))
+    """doc_id and text of every row without the lines that another line stands for."""
+    numbered = materialise(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "lines-numbered")
+    stays = _kept(numbered, "row").where("row = keep.row and line_no = keep.line_no").select("row", "line_no", F.lit(True).alias("kept"))
+    rest = lines(numbered, "row").join(stays, ["row", "line_no"], "left").where("line = '' or kept")
+    parts = rest.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("line_no", "raw"))).alias("p"))  # one document's lines
+    texts = parts.select("row", F.array_join("p.raw", "\n").alias("text"))
+    return numbered.select("row", F.col("doc_id").cast("long").alias("doc_id")).join(texts, "row", "left").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
