@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from veridq.llm import chat, components, exact, gam, linededup, packing, setsketch
+from veridq.llm import chat, components, exact, gam, linededup, packing, setsketch, winnow
 from veridq.llm.common import read
 
 SF001 = "/root/testdata/sf0.001"
@@ -145,6 +145,76 @@ def test_exact_dedup(spark, monkeypatch):
     assert exact.dedup(docs.limit(0)).count() == 0
 
 
+def test_exact_stage_survives_other_splits(spark):
+    """The input's splits change between the jobs, as when executors join or leave."""
+    rows = [(i, f"text {i % 927}", i) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int").repartition(7)
+    import veridq.llm.exact as module
+
+    whole = module.dedup
+
+    def later(docs, *a, **k):
+        out = whole(docs, *a, **k)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        return out
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    try:
+        module.dedup = later
+        kept = exact.keep_first(docs)
+        got = kept.collect()
+    finally:
+        module.dedup = whole
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert kept.columns == docs.columns and len(got) == 927 and {r._row for r in got} == {r.doc_id for r in got}
+
+
+def test_helper_columns_do_not_clash(spark):
+    names = ["_row", "_id", "_none", "_k1", "_k2", "_score", "_w", "_t", "_e", "_g", "_m", "row", "score"]
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(["some plain words in a text here", "other words of another text there", "some plain words in a text here"])]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    for step in (exact.keep_first, setsketch.keep_one, lambda d: gam.keep_good(d, SF001, 0.0)):
+        got = step(docs)
+        assert got.columns == docs.columns
+        assert {tuple(r) for r in got.collect()} <= set(rows) and got.count() >= 2
+    marked = winnow.fingerprint(docs)
+    assert marked.columns == [*docs.columns, "fingerprint"] and {tuple(r)[:-1] for r in marked.collect()} == set(rows)
+
+
+def test_scores_are_sums_of_tables(spark):
+    docs = read(spark, SF001, "documents").select("doc_id", "text")
+    model = gam.fit(docs, read(spark, SF001, "labels"))
+    texts = {r.doc_id: r.text for r in docs.collect()} | {-1: None, -2: "", -3: "word " * 200_000}
+
+    def plain(t):
+        x = gam.features(t)
+        total = model.base
+        for j, table in enumerate(model.tables):
+            total += table[sum(c <= x[j] for c in model.cuts[j])]
+        for a, b, grid in model.pairs:
+            total += grid[sum(c <= x[a] for c in model.coarse[a])][sum(c <= x[b] for c in model.coarse[b])]
+        return 1 / (1 + np.exp(-max(-30.0, min(30.0, total))))
+
+    got = gam.score(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model).collect()
+    assert len(got) == len(texts) and all(r.score == pytest.approx(plain(texts[r.doc_id]), abs=1e-9) for r in got)
+
+
+def test_fit_bounds_its_sample(spark):
+    docs = spark.createDataFrame([(i % 3, f"text {i} of words") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    import veridq.llm.gam as module
+
+    seen, train = [], module.train
+    try:
+        module.train = lambda x, y: seen.append(len(x)) or train(x, y)
+        gam.fit(docs, labels, max_train=50)
+    finally:
+        module.train = train
+    assert seen == [50]
+
+
 def test_directory_doubles_and_covers_all_keys(spark):
     keys = spark.range(5000).select(F.xxhash64("id").alias("key")).unionByName(spark.range(400).select(F.lit(77).cast("long").alias("key")))
     buckets = exact.directory(keys, capacity=100)
@@ -159,42 +229,6 @@ def test_equal_keys_are_told_apart_by_bytes(spark):
     assert {r.rep: r["class"] for r in got} == {1: 1, 2: 2, 3: 1, 4: 4}
 
 
-def brute_lines(rows, similar):
-    import re
-
-    place, sets = {}, {}
-    for d, t in rows:
-        for i, line in enumerate((t or "").split("\n")):
-            s = line.lower().strip(" ")
-            if s:
-                place[d, i] = s
-                sets.setdefault(s, {s[j : j + linededup.K] for j in range(len(s)) if j == 0 or not re.match(r"[a-zß-öø-ÿ]", s[j - 1])})
-    order = sorted(sets, key=lambda s: min(p for p, v in place.items() if v == s))
-    u = Union(range(len(order)))
-    for i, j in itertools.combinations(range(len(order)), 2):
-        a, b = sets[order[i]], sets[order[j]]
-        if 100 * len(a & b) >= similar * len(a | b):
-            u.join(i, j)
-    first = {s: min(p for p, v in place.items() if v == order[u.find(i)]) for i, s in enumerate(order)}
-    return {p: first[s] for p, s in place.items()}
-
-
-def test_lines_match_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(linededup, "BLOCK", 8)
-    rng = np.random.default_rng(4)
-    lines = variants(60, 30, rng, 6) + variants(30, 8, rng, 2) + ["Same line", "same LINE ", "", "  ", "x"]
-    rows = [(i, "\n".join(lines[j] for j in rng.integers(0, len(lines), 4))) for i in range(60)] + [(90, None), (91, ""), (92, "same line\n\nsame line")]
-    docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, line int")
-    got = {(r.doc_id, r.line_no): (r.keep_doc_id, r.keep_line_no) for r in linededup.line_rows(docs).collect()}
-    want = brute_lines(rows, linededup.SIMILAR)
-    assert got == want
-    texts = {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()}
-    for d, t in rows:
-        kept = [x for i, x in enumerate((t or "").split("\n")) if not x.strip(" ") or want[d, i] == (d, i)]
-        assert texts[d] == "\n".join(kept)
-    assert linededup.line_rows(docs.limit(0)).count() == 0
-
-
 def brute_every_position(texts):
     """text -> first text of its component, on the shingles from every position."""
     sets = [{s[j : j + linededup.K] for j in range(len(s))} for s in texts]
@@ -229,32 +263,74 @@ def test_lines_compare_letters_inside_words(spark):
     assert all(got[t] == t for t in texts[:8])
 
 
-def test_lines_match_all_pairs_at_every_position(spark, monkeypatch):
-    # the rows of test_lines_match_all_pairs; its brute force skips positions after a letter
+def brute_lines(rows):
+    """(row number, line number) -> the place that stays, by all pairs; ties go by row."""
+    place = {(i, n): x.lower().strip(" ") for i, (_, t) in enumerate(rows) for n, x in enumerate((t or "").split("\n")) if x.strip(" ")}
+    order = lambda p: (rows[p[0]][0] is not None, rows[p[0]][0] or 0, p[1], p[0])
+    stays = brute_every_position(list(dict.fromkeys(place[p] for p in sorted(place, key=order))))
+    first = {s: min((p for p, v in place.items() if v == s), key=order) for s in set(place.values())}
+    return {p: first[stays[s]] for p, s in place.items()}
+
+
+@pytest.mark.parametrize("text_block", [2_000_000, 300])
+def test_lines_match_all_pairs(spark, monkeypatch, text_block):
     monkeypatch.setattr(linededup, "BLOCK", 8)
+    monkeypatch.setattr(linededup, "TEXT_BLOCK", text_block)
     rng = np.random.default_rng(4)
     lines = variants(60, 30, rng, 6) + variants(30, 8, rng, 2) + ["Same line", "same LINE ", "", "  ", "x"]
     rows = [(i, "\n".join(lines[j] for j in rng.integers(0, len(lines), 4))) for i in range(60)] + [(90, None), (91, ""), (92, "same line\n\nsame line")]
-    place = {(d, i): x.lower().strip(" ") for d, t in rows for i, x in enumerate((t or "").split("\n")) if x.strip(" ")}
-    stays = brute_every_position(list(dict.fromkeys(place[p] for p in sorted(place))))
-    first = {s: min(p for p, v in place.items() if v == s) for s in set(place.values())}
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = spark.createDataFrame([(d, t, 1, "r") for d, t in rows], "doc_id long, text string, line int, row string").coalesce(2)
     got = {(r.doc_id, r.line_no): (r.keep_doc_id, r.keep_line_no) for r in linededup.line_rows(docs).collect()}
-    assert got == {p: first[stays[s]] for p, s in place.items()}
+    want = {(rows[i][0], n): (rows[j][0], m) for (i, n), (j, m) in brute_lines(rows).items()}
+    assert got == want
     texts = {r.doc_id: r.text for r in linededup.dedup_lines(docs).collect()}
-    assert texts == {d: "\n".join(x for i, x in enumerate((t or "").split("\n")) if (d, i) not in place or got[d, i] == (d, i)) for d, t in rows}
-
-
-def test_short_lines_always_share_a_band(spark):
-    # the longer line has four letters in front: 16 of 20 or 20 of 25 shingles are shared
-    rng = np.random.default_rng(5)
-    rows = []
-    for i in range(8000):
-        short = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 16 + 4 * (i % 2)))
-        rows += [(2 * i, short), (2 * i + 1, "0123456789"[: 4 + i % 2] + short)]
-    keys = linededup.bands(spark.createDataFrame(rows, "lid long, line string"))
-    met = keys.groupBy(F.shiftright("lid", 1).alias("pair"), "key").agg(F.countDistinct("lid").alias("lines")).where("lines = 2")
-    assert met.select("pair").distinct().count() == 8000
+    assert texts == {d: "\n".join(x for i, x in enumerate((t or "").split("\n")) if not x.strip(" ") or want[d, i] == (d, i)) for d, t in rows}
+    assert linededup.line_rows(docs.limit(0)).count() == 0 and linededup.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_lines_of_repeated_and_unnamed_rows(spark):
+    rows = [(5, "one line here\ntwo line there"), (5, "one line here\ntwo line there"), (None, "Two line there\nonly here"), (None, "only here"), (7, "only here\n\n one line here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = linededup.line_rows(docs).collect()
+    want = brute_lines(rows)
+    assert len(got) == len(want) and sum(r.kept for r in got) == len(set(want.values()))
+    assert {(r.keep_doc_id, r.keep_line_no) for r in got if r.doc_id == 5} == {(5, 0), (None, 0)}
+    assert sorted(r.group_size for r in got) == [3, 3, 3, 3, 3, 3, 3, 3, 3]
+    texts = sorted(((r.doc_id or 0), r.text) for r in linededup.dedup_lines(docs).collect())
+    assert texts == [(0, "Two line there"), (0, "only here"), (5, ""), (5, "one line here"), (7, "")]
+
+
+def test_very_long_lines(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "SEGMENT", 1000)
+    rng = np.random.default_rng(6)
+    long = "".join(rng.choice(list("abcdefgh ijklm"), 50_000))
+    near = long[:30_000] + "zz" + long[30_000:]
+    rows = [(1, long), (2, near), (3, long[:20_000]), (4, "é" * 5000), (5, "é" * 4000 + "\n" + "\0" * 9 + "a")]
+    got = {(r.doc_id, r.line_no): r.keep_doc_id for r in linededup.line_rows(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 0): 1, (2, 0): 1, (3, 0): 3, (4, 0): 4, (5, 0): 4, (5, 1): 5}
+    assert (linededup.signatures([long]) == linededup.signatures([long, "x"])[:1]).all()
+    sets = {long[i : i + linededup.K] for i in range(len(long))}
+    assert len(linededup.shingle_set(long)) == len(sets)
+
+
+@pytest.mark.parametrize("a,b,both", [(5, 4, 4), (18, 18, 16), (20, 16, 16), (80, 64, 64), (72, 72, 64), (300, 300, 267)])
+def test_bands_find_similar_lines(a, b, both):
+    """At the threshold at most 1 in 200 pairs is missed, whatever the sizes."""
+    rng = np.random.default_rng(a)
+    n, missed = 4000, 0
+    h = rng.integers(0, 1 << 32, (n, a + b - both), dtype=np.uint64).astype(np.uint32)
+
+    def keys(part):
+        least = np.empty((n, linededup.BANDS * linededup.ROWS), np.uint32)
+        for r, seed in enumerate(linededup.SEEDS):
+            x = part * seed
+            x ^= x >> np.uint32(15)
+            least[:, r] = (x * np.uint32(0x2C1B3C6D)).min(axis=1)
+        return least.reshape(n, linededup.BANDS, linededup.ROWS)
+
+    met = (keys(h[:, :a]) == keys(h[:, a - both :])).all(axis=2).any(axis=1)
+    missed = n - int(met.sum())
+    assert missed <= n // 200, missed
 
 
 def test_chat_collapse(spark, monkeypatch):

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from veridq.session import new_path
 
@@ -90,9 +88,9 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def disk_only(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.DISK_ONLY)
-
-
-def fresh(prefix: str) -> str:
-    return f"{prefix}-{uuid.uuid4().hex[:12]}"
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

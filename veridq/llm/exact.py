@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.taskcontext import TaskContext
 
-from veridq.llm.common import ship, slices
+from veridq.llm.common import free_name, materialise, ship, slices
 from veridq.session import new_path
 
 CAPACITY = 16_384  # entries in a bucket
@@ -203,7 +203,10 @@ def dedup(docs: DataFrame, capacity: int = CAPACITY, row: str | None = None) ->
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text another row keeps."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    kept = dedup(numbered, row="_row").where("kept").select(F.col("row").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").drop("_row")
+    """``docs`` without the rows whose text another row keeps.  The rows are numbered and
+    written once: a number made twice could fall on another row when splits or executors
+    change."""
+    row = free_name(docs, "row")
+    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "exact-numbered")
+    kept = dedup(numbered, row=row).where("kept").select(F.col("row").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
 from veridq.llm.bpe import _mapped
-from veridq.llm.common import arrow_map, read
+from veridq.llm.common import arrow_map, free_name, read
 
 MAX_TRAIN = 20_000
 BINS, PAIR_BINS, LEAVES = 32, 8, 3
@@ -188,7 +188,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: i
 
         return fn
 
-    got = arrow_map(rows, make, "doc_id long, y double, x array<double>", "doc_id", "y", "text").collect()
+    # an id may occur in several documents, so the limit holds for what was joined
+    found = arrow_map(rows, make, "doc_id long, y double, x array<double>", "doc_id", "y", "text")
+    got = found.orderBy(F.xxhash64("doc_id"), "y", "x").limit(max_train).collect()
     got.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.y, r.x))
     x = np.array([r.x for r in got], dtype=float).reshape(len(got), len(FEATURES))
     return train(x, np.array([r.y for r in got]))
@@ -209,5 +211,5 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
 def keep_good(docs: DataFrame, sf_dir: str, threshold: float = 0.5) -> DataFrame:
     """Documents that the classifier does not reject, with the columns of ``docs``."""
-    model = fit(docs, read(docs.sparkSession, sf_dir, "labels"))
-    return score(docs, model, "_score").where(F.col("_score") >= threshold).drop("_score")
+    model, name = fit(docs, read(docs.sparkSession, sf_dir, "labels")), free_name(docs, "score")
+    return score(docs, model, name).where(F.col(name) >= threshold).select(*docs.columns)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veridq.llm.common import arrow_map, materialise, ship
+from veridq.llm.common import arrow_map, free_name, materialise, ship
 from veridq.llm.components import components
 
 WORDS = 4
@@ -328,16 +328,19 @@ def _found(docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    return _found(docs).drop("k1", "k2")
+    """One row per document: doc_id, n_shingles, component_id, kept (doc_id = component_id;
+    for a null id: the row that stays).  Of rows with the same id all are kept or none;
+    ``keep_one`` tells their texts apart."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), "kept")
+    return _found(docs).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``near_duplicates`` does not keep, by id and text."""
-    on = ["_none", "_id", "_k1", "_k2"]
-    number = F.col("doc_id").cast("long")
-    keys = [number.isNull().alias("_none"), F.coalesce(number, F.lit(0)).alias("_id")]
-    gone = _found(docs).where(~F.col("kept")).select(*keys, F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
-    text = F.coalesce("text", F.lit(""))
-    every = docs.select("*", *keys, F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text).alias("_k2"))
+    """``docs`` without the rows that stand for no component, by id and text."""
+    on = [free_name(docs, n) for n in ("none", "id", "k1", "k2")]
+    number, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    named = lambda *cols: [c.alias(n) for c, n in zip(cols, on, strict=True)]
+    keys = number.isNull(), F.coalesce(number, F.lit(0))
+    gone = _found(docs).where(~F.col("kept")).select(*named(*keys, F.col("k1"), F.col("k2"))).distinct()
+    every = docs.select("*", *named(*keys, F.xxhash64(text), F.xxhash64(F.lit(1), text)))
     return every.join(gone, on, "left_anti").select(*docs.columns)

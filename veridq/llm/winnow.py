@@ -11,7 +11,9 @@ so that the smallest long is the smallest hash at its rightmost place.
 
 Edge cases: null or empty text has no fingerprint entries; a text shorter than ``K`` has
 one hash, of all of it; one with fewer than ``W`` hashes is one window; equal texts have
-equal fingerprints; further columns of the input are kept.
+equal fingerprints; further columns of the input are kept, whatever their names; rows with
+a null id come first and are edited with the row after them; rows with the same id are
+ordered by a hash of the text; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -54,9 +56,11 @@ def moved(entries: str, by: str) -> str:
 
 def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """``df`` with ``out``: array of (hash, position) of the text's fingerprint."""
-    got = minima(df.withColumn("_t", F.coalesce(F.col(text), F.lit(""))), "_t", "_w").withColumn("_e", chosen("_w"))
+    # the input's columns wait in one struct, so none of them can clash
+    whole = df.select(F.struct(*[c for c in df.columns if c != out]).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    got = minima(whole, "_t", "_w").withColumn("_e", chosen("_w"))
     pairs = F.expr(f"transform(_e, x -> named_struct('hash', shiftright(x, {PLACE_BITS}), 'position', {PLACES}L - (x & {PLACES}L)))")
-    return got.withColumn(out, pairs).drop("_t", "_w", "_e")
+    return got.select("row.*", pairs.alias(out))
 
 
 def digest(entries: str) -> Column:
