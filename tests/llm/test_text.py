@@ -198,6 +198,42 @@ def test_extract_given_pages_and_edges(spark):
     assert htmlcrf.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("plain", [0.0, 1.0])
+def test_held_out_layouts_with_and_without_marks(plain):
+    field, wrong, total = htmlcrf.trained(), 0, 0
+    for text, labels in htmlcrf.labelled_pages(300, 4321, plain):
+        got = htmlcrf.blocks(text)
+        if len(got) == len(labels):
+            wrong += sum(x != y for x, y in zip(field.labels(got), labels, strict=True))
+            total += len(labels)
+    assert total > 2000 and wrong <= 0.03 * total
+
+
+PROSE = "This is a paragraph of prose, and it has a good length to be one."
+
+
+def test_extract_without_marks_and_with_open_controls():
+    text = htmlcrf.trained().text
+    nav = "<ul><li><a href=/>Home</a></li><li><a href=/a>About us</a></li></ul>"
+    want = f"The title of it\n{PROSE}\n{PROSE}"
+    assert text(f"<nav>{nav}</nav><div><h1>The title of it</h1><p>{PROSE}</p><p>{PROSE}</p></div><footer>&copy; 2024 Site</footer>") == want
+    assert text(f"<div>{nav}</div><div><h1>The title of it</h1><p>{PROSE}</p><p>{PROSE}</p></div>") == want
+    article = f"<article><h1>The title of it</h1><p>{PROSE}</p><p>{PROSE}</p></article>"
+    for control in ("<button>Menu", "<select><option>a<option>b", "<svg><path d=x>"):
+        assert text(f"<nav>{control}</nav>{article}") == want
+        assert text(f"<nav><div>{control}</div></nav>{article}<button>Send</button>") == want
+    assert text(article.replace("</h1>", "</h1><button><div>Share</div></button><select><option>a</select><svg><text>x</text></svg>")) == want
+    assert text("<article><p>See <![CDATA[the tail") == "See the tail"
+    assert text("<article><p>See <![CDATA[the tail]]> end") == "See the tail end"
+
+
+def test_extract_a_very_long_page():
+    text = htmlcrf.trained().text
+    body = "".join(f"<p>{PROSE}<button>x</p>" if i % 2 else f"<p>{PROSE}</p>" for i in range(20_000))
+    assert text(f"<article>{body}</article>") == "\n".join([PROSE] * 20_000)
+    assert text(f"<article><p>{'word ' * 200_000}end.</p></article>") == "word " * 200_000 + "end."
+
+
 def brute_winnow(t, k=winnow.K, w=winnow.W):
     grams = [t[i : i + k] for i in range(len(t) - k + 1)] if len(t) >= k else [t] if t else []
     v = []

@@ -7,8 +7,12 @@ on labelled pages, and Viterbi finds the best labels of a page.  The labelled pa
 laid out by ``labelled_pages`` from a seed: many site layouts whose parts are known, with
 invented words.
 
+A share of them has no marks at all: there the texts around a block tell the article from
+the rest, so such context counts only for blocks that no tag or class marks.
+
 Edge cases: null or empty html gives an empty text; unclosed and misnested tags close
-where a browser closes them; a cut-off tag at the end of a page is dropped; a cut-off
+where a browser closes them, buttons, selects and drawings included; an unfinished CDATA
+section runs to the end; a cut-off tag at the end of a page is dropped; a cut-off
 character reference stays as it is; repeated pages give the same text; further columns
 of the input are not read.
 """
@@ -26,7 +30,8 @@ from pyspark.sql import functions as F
 
 from veridq.llm.common import arrow_map
 
-TRAIN_PAGES = 400
+TRAIN_PAGES = 600
+PLAIN = 0.35
 SEED = 7
 
 BLOCK = frozenset(
@@ -36,8 +41,13 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no text of the page.
-RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "button", "select")
+RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "title")
+#: Elements like others, whose content is no text either: they also end where their parent
+#: ends, and where another button or select begins.
+CONTROLS = frozenset(("svg", "button", "select"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that say what their text is.
+MARKS = frozenset("article main aside nav header footer form section figure dialog menu".split())
 #: An opening tag closes these open elements, up to the nearest of the others.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -48,6 +58,7 @@ CLOSES = {
 #: A quote opens a value only directly after "="; elsewhere, or without an end, it is a plain character.
 ATTR = r"""[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:"[^"]*+"|'[^']*+'|[^ \t\n\f\r>]*+))?+"""
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^ \t\n\f\r/>]*+(?:[ \t\n\f\r/]|" + ATTR + r")*+(?:>|\Z)", re.S)
+UNQUOTED_SLASH = re.compile(r"""=[ \t\n\f\r]*(?:[^ \t\n\f\r"'>][^ \t\n\f\r>]*)?/>\Z""")
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRS = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -63,6 +74,35 @@ class Block:
         self.text, self.path, self.words, self.links = text, path, words, links
 
 
+def closed(tag: str) -> bool:
+    """Whether a tag ends with a slash that is not part of an unquoted value."""
+    return tag.endswith("/>") and UNQUOTED_SLASH.search(tag) is None
+
+
+def control_end(page: str, pos: int, control: str, outer: list[str]) -> int:
+    """Where the element ``control`` that begins at ``pos`` ends: behind its end tag, before
+    the end tag of an element around it, or before the next one of its kind.  One that
+    nothing ends has no content: its tag alone is skipped."""
+    open_: list[str] = []
+    for m in TOKEN.finditer(page, pos):
+        tag = m.group()
+        if tag.startswith(("<!", "<?")):
+            continue
+        name = NAME.match(tag).group(1).lower()
+        if tag[1] == "/":
+            if name == control and name not in open_:
+                return m.end()
+            if name in open_:
+                del open_[len(open_) - 1 - open_[::-1].index(name) :]
+            elif name in outer:
+                return m.start()
+        elif name == control and control != "svg":
+            return m.start()
+        elif name not in VOID and not closed(tag) and (name in BLOCK or name == control):
+            open_.append(name)
+    return pos
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, white space collapsed."""
     out: list[Block] = []
@@ -99,7 +139,7 @@ def blocks(page: str) -> list[Block]:
         tag = m.group()
         if tag.startswith(("<!", "<?")):
             if tag.startswith("<![CDATA["):
-                add(tag[9:-3])
+                add(tag[9:-3] if tag.endswith("]]>") else tag[9:])
             continue
         name = NAME.match(tag).group(1).lower()
         if tag[1] == "/":
@@ -121,11 +161,15 @@ def blocks(page: str) -> list[Block]:
             nxt = page.find(">", pos) if end is not None and not page[end.start() : end.end()].endswith(">") else -1
             pos = nxt + 1 if nxt >= 0 else pos
             continue
+        if name in CONTROLS:
+            if not closed(tag):
+                pos = control_end(page, pos, name, [t for t, _ in stack])
+            continue
         if name == "br":
             run.append(" ")
             continue
         if name == "a":
-            link = 0 if tag.endswith("/>") else 1
+            link = 0 if closed(tag) else 1
         if name not in BLOCK:
             continue
         flush()
@@ -142,16 +186,29 @@ def blocks(page: str) -> list[Block]:
                     del stack[i:]
                     break
         words = tuple(p.lower() for _, v in ATTRS.findall(tag) for p in PARTS.findall(v)) if "=" in tag else ()
-        if not tag.endswith("/>"):
+        if not closed(tag):
             stack.append((name, words))
     flush()
     return out
 
 
+def kind_of(b: Block) -> str:
+    """Links, prose, or a short, middling or long text that does not end like a sentence."""
+    chars = len(b.text)
+    if 2 * b.links > chars:
+        return "links"
+    if b.text[-1] in ".!?…:;\"”":
+        return "prose" if chars >= 60 else "sentence"
+    return "short" if chars < 30 else "middling" if chars < 120 else "long"
+
+
 def features(page: list[Block]) -> list[list[str]]:
-    """Names of the features that hold, for each block."""
+    """Names of the features that hold, for each block: of its ancestors and their marks, its
+    text, and the texts around it."""
     out = []
-    for b in page:
+    kinds = [kind_of(b) for b in page]
+    full = [0, *np.cumsum([k in ("prose", "long") for k in kinds]).tolist()]
+    for i, b in enumerate(page):
         f = ["bias"]
         f += {f"in:{t}" for t in b.path}
         f += {f"word:{w}" for w in b.words}
@@ -167,6 +224,16 @@ def features(page: list[Block]) -> list[list[str]]:
             f.append("copyright")
         if b.text[0].islower():
             f.append("small")
+        if b.words or not MARKS.isdisjoint(b.path):
+            out.append(f)
+            continue
+        # no mark: what the text is like and what is around it
+        f.append(f"plain:{kinds[i]}")
+        f.append(f"before:{kinds[i - 1] if i else 'none'}")
+        f.append(f"after:{kinds[i + 1] if i + 1 < len(page) else 'none'}")
+        f.append(f"around:{full[min(i + 4, len(page))] - full[max(i - 3, 0)]}")
+        f.append(f"ahead:{min(full[-1] - full[i], 2)}")
+        f.append(f"behind:{min(full[i], 2)}")
         out.append(f)
     return out
 
@@ -253,8 +320,8 @@ class Site:
     """A random layout: parts with known labels, written as html with the labels of
     its blocks in order."""
 
-    def __init__(self, rng: random.Random):
-        self.rng, self.html, self.labels = rng, [], []
+    def __init__(self, rng: random.Random, plain: bool = False):
+        self.rng, self.html, self.labels, self.plain = rng, [], [], plain
         self.vocabulary = ["".join(rng.choice("bcdfglmnprstv") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(60)]
 
     def words(self, lo: int, hi: int, end: str = "") -> str:
@@ -281,7 +348,7 @@ class Site:
     def article_part(self, depth: int = 0) -> None:
         r, kind = self.rng, self.rng.random()
         if kind < 0.6:
-            text = self.prose()
+            text = self.prose() if r.random() < 0.92 else self.words(1, 6)
             if r.random() < 0.2:
                 text = f"{text} <a href='x'>{self.words(1, 3)}</a> {self.words(1, 9, '.')}"
             if r.random() < 0.1:
@@ -308,15 +375,28 @@ class Site:
                     self.leaf("td", self.words(1, 3), 1)
                 self.html.append("</tr>")
             self.html.append("</table>")
-        elif kind < 0.96 and depth == 0:
-            self.html.append(r.choice(["<section>", "<div>", '<div class="section">']))
+        elif kind < 0.96 and depth == 0 or self.plain:
+            self.html.append("<div>" if self.plain else r.choice(["<section>", "<div>", '<div class="section">']))
             name = self.html[-1][1:].split(" ")[0].rstrip(">")
             for _ in range(r.randint(1, 3)):
-                self.article_part(1)
+                self.article_part(1) if depth == 0 else self.leaf("p", self.prose(), 1)
             self.html.append(f"</{name}>")
         else:
             self.aside(inside=True)
 
+    def chrome(self) -> None:
+        """A part that is not main text and has no mark: only its texts tell."""
+        r, kind = self.rng, self.rng.random()
+        self.html.append("<div>")
+        if kind < 0.5:
+            self.link_list(r.randint(2, 8))
+        elif kind < 0.75:
+            self.put("", " | ".join(f'<a href="/{self.words(1, 1)}">{self.words(1, 2)}</a>' for _ in range(r.randint(2, 6))), 0)
+        else:
+            for _ in range(r.randint(1, 3)):
+                self.leaf(r.choice(["p", "div", "span"][:2]), f'<a href="/x">{self.words(1, 5)}</a>' if r.random() < 0.6 else self.words(1, 3), 0)
+        self.html.append("</div>")
+
     def aside(self, inside: bool = False) -> None:
         """A part that is not main text."""
         r = self.rng
@@ -364,8 +444,37 @@ class Site:
             self.html.append(f"</{inner[1:].split(' ')[0].rstrip('>')}>")
         self.html.append(f"</{name}>")
 
+    def plain_page(self) -> tuple[str, list[int]]:
+        """A page whose article has no tag or class of its own, nor has the rest."""
+        r = self.rng
+        self.html.append(f"<html><head><title>{self.words(2, 8)}</title></head><body>")
+        if r.random() < 0.5:
+            self.html.append(r.choice(["<nav>", "<div>", "<div>"]))
+            name = self.html[-1][1:4]
+            self.link_list(r.randint(2, 8))
+            self.html.append(f"</{name}>")
+        for _ in range(r.choice([0, 1, 2])):
+            self.chrome()
+        wrap = r.choice(["<div>", "<div><div>", "", "<center>"])
+        self.html.append(wrap)
+        if r.random() < 0.8:
+            self.leaf(r.choice(["h1", "h1", "h2"]), self.words(1, 12), 1)
+        for _ in range(r.choice([1, 2, 2, 3, 5, 8, 14])):
+            self.article_part()
+        self.html.append(wrap.replace("<", "</"))
+        for _ in range(r.choice([0, 1, 2])):
+            self.chrome()
+        if r.random() < 0.7:
+            name = r.choice(["footer", "div", "div"])
+            self.html.append(f"<{name}>")
+            self.put("", r.choice(["&copy; {}", "&copy; 2024 {}. {}", "{} | {}"]).format(self.words(1, 3), self.words(1, 4)), 0)
+            self.html.append(f"</{name}>")
+        return "".join(self.html), self.labels
+
     def page(self) -> tuple[str, list[int]]:
         r = self.rng
+        if self.plain:
+            return self.plain_page()
         self.html.append(f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{self.words(2, 8)}</title><style>p{{margin:0}}</style></head><body>")
         if r.random() < 0.5:
             self.html.append("<header>" if r.random() < 0.6 else f'<div {r.choice(["class", "id"])}="{r.choice(["header", "masthead", "site-header"])}">')
@@ -398,7 +507,7 @@ class Site:
             self.html.append("<header>")
             self.leaf("h1", self.words(1, 12), 1)
             self.html.append("</header>")
-        for _ in range(r.choice([0, 1, 2, 3, 5, 8, 14])):
+        for _ in range(r.choice([0, 1, 1, 2, 3, 5, 8, 14])):
             self.article_part()
         if r.random() < 0.08:
             self.html.append("<footer>")
@@ -427,10 +536,10 @@ class Site:
         return "".join(self.html), self.labels
 
 
-def labelled_pages(n: int = TRAIN_PAGES, seed: int = SEED) -> list[tuple[str, list[int]]]:
-    """Pages and the labels of their leaf blocks."""
+def labelled_pages(n: int = TRAIN_PAGES, seed: int = SEED, plain: float = PLAIN) -> list[tuple[str, list[int]]]:
+    """Pages and the labels of their leaf blocks; a share ``plain`` of them without marks."""
     rng = random.Random(seed)
-    return [Site(rng).page() for _ in range(n)]
+    return [Site(rng, rng.random() < plain).page() for _ in range(n)]
 
 
 @lru_cache(maxsize=2)
