@@ -6,13 +6,13 @@ A line (without spaces at the ends, lower-cased) is compared by its character sh
 1. One pass splits the texts and numbers the lines.  A task keeps a line that it meets again
    once.  Of every line text it takes a signature of ``BANDS`` * ``ROWS`` minima, each under
    a hash of its own, the same rule for all lengths; ``ROWS`` minima make a band's key.  Two
-   lines of similarity 0.8 miss all bands with probability 8e-4.  Lines of a block that have
+   lines of similarity 0.8 miss all bands with probability 0.003.  Lines of a block that have
    a key in common send one row for it to the shuffle, so a common line or template costs a
    row per block.  Texts stay in compressed blocks.
-2. In each bucket the first line is paired with the others.  The lines that take part get
+2. Equal lines are one.  In each bucket the first is paired with the others.  Those that take part get
    their texts from the blocks; a pair is a link if the Jaccard similarity of the full
    shingle sets is at least 0.8.
-3. Components of the links, and of equal lines.  Buckets of three lines or more that still
+3. Components of the links.  Buckets of three lines or more that still
    hold several components are compared whole, in blocks of at most ``BLOCK`` lines: only
    links become rows.
 4. One line of each component stays: the first by document, line number and row.
@@ -40,12 +40,13 @@ from veridq.llm.components import components
 from veridq.session import new_path
 
 K = 8
-BANDS, ROWS = 10, 3
+BANDS, ROWS = 8, 3
 SIMILAR = 80  # per cent
 BLOCK = 256  # lines of an open bucket on either side of a comparison
 TEXT_BLOCK = 2_000_000  # characters in a block of texts
 LINE_BITS = 20  # lines in a block of texts, as bits
 SEGMENT = 1 << 16  # positions hashed at once
+BROADCAST_LINES = 2_000_000  # numbers of lines, 16 MB, that are sent to all blocks of texts
 
 U = np.uint64
 PAD = 0x110000  # no character
@@ -119,17 +120,47 @@ def signatures(lines: list[str]) -> np.ndarray:
 
 def shingle_set(line: str) -> np.ndarray:
     """Sorted distinct shingle hashes of a line."""
-    parts = [shingles([line[i : i + SEGMENT + K - 1]], np.array([min(SEGMENT, len(line) - i)])) for i in range(0, len(line), SEGMENT)]
-    return np.unique(np.concatenate(parts))
+    return np.unique(np.concatenate(list(_each([line]))[0]))
+
+
+def _each(lines: list[str]) -> Iterator[list[np.ndarray]]:
+    """The shingle hashes of every line, in parts; short lines are hashed together."""
+    lo = 0
+    while lo < len(lines):
+        hi, size = lo, 0
+        while hi < len(lines) and (hi == lo or size + len(lines[hi]) <= SEGMENT):
+            size += len(lines[hi])
+            hi += 1
+        if size <= SEGMENT:
+            positions = np.array([len(x) for x in lines[lo:hi]])
+            for h in np.split(shingles(lines[lo:hi], positions), np.cumsum(positions)[:-1]):
+                yield [h]
+        else:
+            line = lines[lo]
+            yield [shingles([line[i : i + SEGMENT + K - 1]], np.array([min(SEGMENT, len(line) - i)])) for i in range(0, len(line), SEGMENT)]
+        lo = hi
+
+
+def near(n: int, m: int, met: int) -> bool:
+    """Whether sets of n and m shingles with ``met`` in common are similar enough."""
+    return 100 * met >= SIMILAR * (n + m - met)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether 100 * intersection >= SIMILAR * union."""
+    """Whether two sorted sets are similar enough."""
     if 100 * min(len(a), len(b)) < SIMILAR * max(len(a), len(b)):
         return False
-    both = np.sort(np.concatenate([a, b]), kind="stable")
-    met = int((both[1:] == both[:-1]).sum())
-    return 100 * met >= SIMILAR * (len(a) + len(b) - met)
+    return near(len(a), len(b), int(met_in(a, [b]).sum()))
+
+
+def met_in(a: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
+    """Which elements of the sorted set ``a`` are in ``parts``."""
+    seen = np.zeros(len(a), bool)
+    for h in parts:
+        at = np.searchsorted(a, h)
+        at[at == len(a)] = 0
+        seen[at[a[at] == h]] = True
+    return seen
 
 
 # ---- one pass over the texts -----------------------------------------------------
@@ -166,10 +197,8 @@ class _Block:
         keys = signatures(self.texts)
         rid = np.repeat((self.number << LINE_BITS) + np.arange(len(keys)), BANDS)
         flat = keys.reshape(-1)
-        order = np.argsort(flat, kind="stable")  # the first of equal keys is the smallest rid
-        flat, rid = flat[order], rid[order]
-        new = np.r_[True, flat[1:] != flat[:-1]]
-        lead = rid[np.flatnonzero(new)][np.cumsum(new) - 1]
+        _, first, which = np.unique(flat, return_index=True, return_inverse=True)
+        lead = rid[first[which]]  # the smallest rid with the key
         yield {"kind": "bands", "key": flat, "rid": rid, "lead": lead}
         packed = zstandard.ZstdCompressor(3).compress("\n".join(self.texts).encode("utf-8", "surrogatepass"))
         yield {"kind": "texts", "block": [self.number], "texts": [packed]}
@@ -225,42 +254,48 @@ def _part(docs: DataFrame, path: str, kind: str, *cols: str) -> DataFrame:
 
 
 def _texts_of(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
-    """rid and line of the texts ``wanted(rid)``.  Blocks move compressed."""
+    """rid, line and n (distinct shingles) of the texts ``wanted(rid)``."""
     places = wanted.groupBy(F.shiftright("rid", LINE_BITS).alias("block")).agg(F.collect_list("rid").alias("rids"))  # a block's lines at most
 
     def make():
         def fn(rids, packed):
-            out = {"rid": [], "line": []}
+            out = {"rid": [], "line": [], "n": []}
             for want, raw in zip(rids, packed, strict=True):
                 texts = zstandard.ZstdDecompressor().decompress(raw).decode("utf-8", "surrogatepass").split("\n")
+                texts = [texts[r & ((1 << LINE_BITS) - 1)] for r in want]
                 out["rid"] += want
-                out["line"] += [texts[r & ((1 << LINE_BITS) - 1)] for r in want]
+                out["line"] += texts
+                out["n"] += [len(np.unique(np.concatenate(h))) for h in _each(texts)]
             return out
 
         return fn
 
-    return arrow_map(places.join(blocks, "block"), make, "rid long, line string", "rids", "texts")
+    # few lines go to the blocks; many are met by the blocks, which move compressed
+    places = F.broadcast(places) if wanted.count() <= BROADCAST_LINES else places
+    return arrow_map(blocks.join(places, "block"), make, "rid long, line string, n int", "rids", "texts")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are similar."""
-    side = lambda x: texts.select(F.col("rid").alias(x), F.col("line").alias(f"t{x}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    size = lambda x: texts.select(F.col("rid").alias(x), F.col("n").alias(f"n{x}"))
+    line = lambda x: texts.select(F.col("rid").alias(x), F.col("line").alias(f"t{x}"))
+    sized = pairs.join(size("a"), "a").join(size("b"), "b").where(f"100 * least(na, nb) >= {SIMILAR} * greatest(na, nb)")
+    both = sized.join(line("b"), "b").join(line("a"), "a")
 
     def make():
         last: list = [None, None]
 
-        def fn(a, b, ta, tb):
+        def fn(a, b, nb, ta, tb):
             ok = []
-            for x, s, t in zip(a, ta, tb, strict=True):
+            for x, n, s, h in zip(a, nb, ta, _each(tb), strict=True):
                 if last[0] != x:
                     last[:] = x, shingle_set(s)
-                ok.append(similar(last[1], shingle_set(t)))
+                ok.append(near(len(last[1]), n, int(met_in(last[1], h).sum())))
             return {"a": np.array(a)[ok], "b": np.array(b)[ok]} if any(ok) else None
 
         return fn
 
-    return arrow_map(both, make, "a long, b long", "a", "b", "ta", "tb")
+    return arrow_map(both, make, "a long, b long", "a", "b", "nb", "ta", "tb")
 
 
 def _unseen(members: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame:
@@ -270,7 +305,7 @@ def _unseen(members: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame
     open_ = rows.join(some.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")), "key")
     # a bucket's block i meets every block j; most buckets are one block
     open_ = open_.withColumn("i", F.pmod(F.xxhash64("rid"), F.col("nb")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    dealt = open_.select("key", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "rid", "comp").join(texts, "rid")
+    dealt = open_.select("key", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "rid", "comp").join(texts.select("rid", "line"), "rid")
     group = ["key", "p", "q"]
     dealt = dealt.repartition(*group).sortWithinPartitions(*group, "rid").select(*group, "rid", "comp", "line")
     ship(members.sparkSession)
@@ -297,7 +332,7 @@ def _unseen(members: DataFrame, label: DataFrame, texts: DataFrame) -> DataFrame
 def _linked(rows: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     """Links that join the components of ``rows`` (rid, component, line), by all pairs of
     different ones."""
-    sets = [shingle_set(line) for _, _, line in rows]
+    sets = [np.unique(np.concatenate(h)) for h in _each([line for _, _, line in rows])]
     root: dict[int, int] = {}
 
     def find(v: int) -> int:
@@ -315,8 +350,9 @@ def _linked(rows: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     return out
 
 
-def _links(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Confirmed links (a, b), buckets (key, rid) of several lines, and the lines' texts."""
+def _links(docs: DataFrame, path: str, same: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Confirmed links (a, b), buckets (key, rid) of several lines, and the lines' texts.
+    ``same(a, b)``: texts b that equal a, of another block; a stands for them."""
     bands = _part(docs, path, "bands", "key", "rid", "lead")
     # a row per block and key, so a bucket has at most as many as there are blocks
     every = Window.partitionBy("key")
@@ -324,11 +360,13 @@ def _links(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame, DataFrame]
     leads = materialise(sent.where("n > 1").select("key", "rid", "first"), "lines-leads")
     local = bands.where("rid <> lead")
     stars = leads.where("rid <> first").select(F.col("first").alias("a"), F.col("rid").alias("b"))
-    stars = materialise(stars.unionByName(local.select(F.col("lead").alias("a"), F.col("rid").alias("b"))).distinct(), "lines-stars")
+    one = lambda df, c: df.join(same.select(F.col("b").alias(c), F.col("a").alias("to")), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
+    stars = one(one(stars.unionByName(local.select(F.col("lead").alias("a"), F.col("rid").alias("b"))), "a"), "b").where("a <> b")
+    stars = materialise(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "lines-stars")
     wanted = stars.select(F.col("a").alias("rid")).unionByName(stars.select(F.col("b").alias("rid"))).distinct()
     texts = materialise(_texts_of(wanted, _part(docs, path, "texts", "block", "texts")), "lines-met")
-    members = leads.select("key", "rid").unionByName(local.select("key", "rid")).unionByName(local.select("key", F.col("lead").alias("rid"))).distinct()
-    return materialise(_confirm(stars, texts), "lines-links"), members, texts
+    members = leads.select("key", "rid").unionByName(local.select("key", "rid")).unionByName(local.select("key", F.col("lead").alias("rid")))
+    return materialise(_confirm(stars, texts), "lines-links"), one(members, "rid").distinct(), texts
 
 
 def _kept(docs: DataFrame, number: str | None = None) -> DataFrame:
@@ -339,11 +377,10 @@ def _kept(docs: DataFrame, number: str | None = None) -> DataFrame:
     place = F.struct(F.col("doc_id").isNotNull().alias("real"), "doc_id", "line_no", "row")
     of_text = [F.min(place).alias("place"), F.count(F.lit(1)).alias("times"), F.min("rid").alias("lid"), F.max("rid").alias("last")]
     classes = materialise(rows.groupBy("k1", "k2").agg(*of_text), "lines-classes")
-    links, members, texts = _links(docs, path)
     # equal lines of several blocks
     again = classes.where("lid <> last").select("k1", "k2", "lid")
     same = rows.where("rid is not null").join(again, ["k1", "k2"]).where("rid <> lid").select(F.col("lid").alias("a"), F.col("rid").alias("b"))
-    links = materialise(links.unionByName(same), "lines-joined")
+    links, members, texts = _links(docs, path, materialise(same, "lines-same"))
     label = components(links, "lines-c1")
     more = materialise(_unseen(members, label, texts), "lines-more")
     if not more.isEmpty():  # components that are one
