@@ -7,7 +7,7 @@ import pytest
 from tests.conftest import SF001
 from veridq.plans.queries import all_queries
 
-SIDE_EFFECT = ("stream_", "pipeline_summary", "manifest")
+SIDE_EFFECT = ("stream_", "pipeline_", "manifest", "ext_rescan", "ext_gate")
 QUERIES = {k: v for k, v in all_queries().items() if not k.startswith(SIDE_EFFECT)}
 
 

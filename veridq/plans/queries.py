@@ -47,7 +47,7 @@ def all_queries() -> dict[str, Query]:
 
 def profile_queries() -> dict[str, Query]:
     from veridq.operators import profile as P
-    from veridq.sources.tables import table
+    from veridq.sources.tables import spread, table
 
     ms = messy
     iss = lambda spark, sf: P.issues(ms(spark, sf), AS_OF)
@@ -59,7 +59,8 @@ def profile_queries() -> dict[str, Query]:
         "profile_date_formats": lambda spark, sf: P.date_formats(ms(spark, sf)),
         "profile_key_uniqueness": lambda spark, sf: P.key_duplicates(ms(spark, sf), ["customer_id"]),
         "profile_key_uniqueness_lineitem": lambda spark, sf: P.key_duplicates(
-            table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], order_col=None),
+            spread(spark, sf, "lineitem", ["l_orderkey", "l_linenumber"], "l_orderkey", "l_linenumber"),
+            ["l_orderkey", "l_linenumber"], order_col=None),
         "profile_key_summary": lambda spark, sf: P.key_uniqueness(ms(spark, sf), ["customer_id"]),
         "issues_invalid_values": lambda spark, sf: P.local_issues(ms(spark, sf), AS_OF, kinds=("invalid",)),
         "issues_status": lambda spark, sf: P.local_issues(ms(spark, sf), AS_OF, kinds=("status",)),
@@ -74,20 +75,22 @@ def profile_queries() -> dict[str, Query]:
 
 def pii_queries() -> dict[str, Query]:
     from veridq.operators import pii as D
-    from veridq.sources.tables import table
+    from veridq.sources.tables import TABLES, spread, table
 
     return {
         "pii_column_classification": lambda spark, sf: D.classification(messy(spark, sf)),
         "pii_coverage": lambda spark, sf: D.coverage(messy(spark, sf)),
         "pii_row_inventory": lambda spark, sf: D.inventory_text(messy(spark, sf)),
         "pii_at_risk": lambda spark, sf: D.at_risk(messy(spark, sf)),
-        "pii_text_scan_documents": lambda spark, sf: D.text_hits(table(spark, sf, "documents"), "doc_id", ["text"]),
-        "pii_text_scan_pages": lambda spark, sf: D.text_hits(table(spark, sf, "pages"), "page_id", ["url", "html"]),
+        "pii_every_cell": lambda spark, sf: D.scan_tables({t: table(spark, sf, t) for t in TABLES}),
+        "pii_text_scan_documents": lambda spark, sf: D.text_hits(spread(spark, sf, "documents", ["doc_id", "text"]), "doc_id", ["text"]),
+        "pii_text_scan_pages": lambda spark, sf: D.text_hits(
+            spread(spark, sf, "pages", ["page_id", "url", "html"]), "page_id", ["url", "html"]),
         "pii_text_scan_conversations": lambda spark, sf: D.text_hits(
             table(spark, sf, "conversations").withColumn("msg_id", F.concat_ws(":", "conv_id", "turn")),
             "msg_id", ["text"]),
-        "pii_text_matches_documents": lambda spark, sf: D.text_matches(table(spark, sf, "documents"), "doc_id", ["text"]),
-        "pii_text_summary_documents": lambda spark, sf: D.text_summary(table(spark, sf, "documents"), "doc_id", ["text"]),
+        "pii_text_matches_documents": lambda spark, sf: D.text_matches(spread(spark, sf, "documents", ["doc_id", "text"]), "doc_id", ["text"]),
+        "pii_text_summary_documents": lambda spark, sf: D.text_summary(spread(spark, sf, "documents", ["doc_id", "text"]), "doc_id", ["text"]),
     }
 
 
@@ -100,7 +103,7 @@ def clean_mask_queries() -> dict[str, Query]:
         return lambda spark, sf: C.audit(messy(spark, sf), AS_OF).where(cond)
 
     def cleaned(spark, sf):
-        return C.clean(messy(spark, sf, deal=False), AS_OF)
+        return C.clean(messy(spark, sf, deal=False), AS_OF)  # its first step is an exchange
 
     def masked_cols(*cols):
         return lambda spark, sf: MK.mask(cleaned(spark, sf)).select("row_num", *cols)
@@ -145,7 +148,9 @@ def extension_queries() -> dict[str, Query]:
     from veridq.operators import clean as C
     from veridq.operators import extend as XT
     from veridq.operators import gate as G
+    from veridq.operators import lineage as L
     from veridq.operators import rescan as R
+    from veridq.operators import sketches as K
     from veridq.session import new_path
     from veridq.sources.tables import table
 
@@ -156,6 +161,12 @@ def extension_queries() -> dict[str, Query]:
         R.scan(df, store, rules.change(strict_phone(), drop=("first_name.charset",)))
         return R.stored(spark, store)
 
+    def sketch_weeks(spark, sf):
+        """Daily sketches of the events, stored, merged by week and held against exact counts."""
+        events, path = table(spark, sf, "events"), new_path(spark, "daily")
+        K.daily(events, F.to_date("ts"), ["user_id"], ["value"]).write.parquet(path)
+        return K.weekly_check(events, spark.read.parquet(path), "2024-01-01")
+
     def gate(spark, sf):
         """A batch that passes on its email rules and one that is held on all rules."""
         df, store = messy(spark, sf), new_path(spark, "gate")
@@ -173,6 +184,11 @@ def extension_queries() -> dict[str, Query]:
         "ext_zscore_income": lambda spark, sf: XT.income_outliers(messy(spark, sf)),
         "ext_referential_orphans": lambda spark, sf: XT.referential_report(lambda n: table(spark, sf, n)),
         "ext_quarantine_split": lambda spark, sf: XT.quarantine_split(messy(spark, sf), AS_OF),
+        "ext_lineage_replay": lambda spark, sf: L.replay(messy(spark, sf), C.audit(messy(spark, sf), AS_OF)),
+        "ext_lineage_restore": lambda spark, sf: L.restore(C.clean(messy(spark, sf), AS_OF), C.audit(messy(spark, sf), AS_OF)),
+        "ext_lineage_report": lambda spark, sf: L.report(
+            messy(spark, sf), C.clean(messy(spark, sf), AS_OF), C.audit(messy(spark, sf), AS_OF)),
+        "ext_sketch_weeks": sketch_weeks,
         "ext_rescan": rescan,
         "ext_gate": gate,
         "ext_failure_drift": lambda spark, sf: XT.failure_drift(table(spark, sf, "events")),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -43,3 +44,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _SCANS: dict = {}
+_SPLITS: dict = {}
+
+
+def spread(spark: SparkSession, sf_dir: str, name: str, columns: list[str], *keys: str) -> DataFrame:
+    """``columns`` of a table for work that is dear per row: dealt over all cores (by ``keys``
+    if given) when the table has fewer row groups than there are cores, else as scanned.
+
+    Splits are planned by bytes, but a row group is read by one task.  Only a table planned
+    in few splits is looked at; its rows per split come from the file footers."""
+    df, cores = table(spark, sf_dir, name).select(*columns), spark.sparkContext.defaultParallelism
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, id(spark), path, fingerprint(spark, path))
+    if key not in _SPLITS:
+        n = df.rdd.getNumPartitions()
+        if n < 2 * cores:
+            n = spark.read.parquet(path).groupBy(F.spark_partition_id()).count().count()
+        _SPLITS[key] = n
+    return df if _SPLITS[key] >= cores else df.repartition(cores, *keys)
