@@ -128,11 +128,13 @@ def read_state(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
 
 
 def in_files(spark: SparkSession, sf_dir: str, name: str, columns: list[str], n: int = 3) -> DataFrame:
-    """``columns`` of a driver table as a stream of ``n`` files, one per micro-batch."""
+    """``columns`` of a driver table as a stream of ``n`` micro-batches.  A batch is as many
+    files as there are cores: a file of one row group is read by one task."""
+    cores = spark.sparkContext.defaultParallelism
     path = new_path(spark, f"files-{name}")
     rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
-    rows.repartition(n).write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rows.repartition(n * cores).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", cores).parquet(path)
 
 
 def first_rows(rows: DataFrame, key: str = "customer_id", order: str = "row_num") -> DataFrame:
