@@ -21,12 +21,20 @@ CHANGES = ["change", "null", "fill"]
 ROW = "row_num"
 
 
-def chains(audit: DataFrame) -> DataFrame:
-    """row_num and ``cells``: column -> its changes (order, old_value, new_value) in order."""
+def marks(audit: DataFrame) -> DataFrame:
+    """Per row of the audit: ``cells`` (column -> its changes (order, old_value, new_value) in
+    order) and whether the row was ``dropped``.  One pass over the audit, one shuffle."""
     order = F.array_position(F.array(*[F.lit(s) for s in STEPS]), F.col("step")).alias("order")
-    changes = audit.where(F.col("action").isin(*CHANGES))
-    each = changes.groupBy(ROW, "column").agg(F.array_sort(F.collect_list(F.struct(order, "old_value", "new_value"))).alias("steps"))
-    return each.groupBy(ROW).agg(F.map_from_entries(F.collect_list(F.struct("column", "steps"))).alias("cells"))
+    change, drop = F.col("action").isin(*CHANGES), F.col("action") == "drop"
+    each = audit.where(change | drop).repartition(ROW).groupBy(ROW, "column").agg(
+        F.array_sort(F.collect_list(F.when(change, F.struct(order, "old_value", "new_value")))).alias("steps"), F.max(drop).alias("dropped"))
+    cell = F.when(F.size("steps") > 0, F.struct("column", "steps"))
+    return each.groupBy(ROW).agg(F.map_from_entries(F.collect_list(cell)).alias("cells"), F.max("dropped").alias("dropped"))
+
+
+def chains(audit: DataFrame) -> DataFrame:
+    """row_num and ``cells`` of the changed rows."""
+    return marks(audit).where(F.size("cells") > 0).select(ROW, "cells")
 
 
 def dropped(audit: DataFrame) -> DataFrame:
@@ -47,7 +55,11 @@ def _broken(c: str) -> Column:
 
 
 def _joined(rows: DataFrame, audit: DataFrame) -> DataFrame:
-    return rows.join(chains(audit).withColumnRenamed("cells", "__cells"), ROW, "left")
+    return rows.join(marks(audit).withColumnsRenamed({"cells": "__cells", "dropped": "__dropped"}), ROW, "left")
+
+
+def _kept(raw: DataFrame, audit: DataFrame) -> DataFrame:
+    return _joined(raw, audit).where(~F.coalesce(F.col("__dropped"), F.lit(False)))
 
 
 def _values(df: DataFrame) -> list[str]:
@@ -56,7 +68,7 @@ def _values(df: DataFrame) -> list[str]:
 
 def replay(raw: DataFrame, audit: DataFrame) -> DataFrame:
     """The rows of ``raw`` with the changes of the audit, without the dropped ones."""
-    got = _joined(raw.join(dropped(audit), ROW, "left_anti"), audit)
+    got = _kept(raw, audit)
     value = lambda c: F.when(_steps(c).isNull(), F.col(c)).otherwise(F.element_at(_steps(c), -1)["new_value"].cast(raw.schema[c].dataType))
     return got.select(ROW, *[value(c).alias(c) for c in _values(raw)]).select(*raw.columns)
 
@@ -72,7 +84,7 @@ def _compared(raw: DataFrame, cleaned: DataFrame, audit: DataFrame) -> DataFrame
     """One row per cell: row_num, column, raw, replayed, cleaned, audited, reason (null if the
     audit explains it)."""
     cols = _values(raw)
-    kept = _joined(raw.join(dropped(audit), ROW, "left_anti"), audit)
+    kept = _kept(raw, audit)
     last = lambda c: F.when(_steps(c).isNull(), F.col(c).cast("string")).otherwise(F.element_at(_steps(c), -1)["new_value"])
     cells = F.struct(*[F.struct(F.col(c).cast("string").alias("raw"), last(c).alias("replayed"), _steps(c).isNotNull().alias("audited"), _broken(c).alias("broken")).alias(c) for c in cols])
     mine = kept.select(ROW, cells.alias("__m"))
