@@ -97,3 +97,22 @@ def test_counts_past_64_bits(spark):
     # 1000*a*n passes 64 bits only with counts that no fixture has: the expression itself
     big = spark.sql("select (cast(1000 as decimal(4,0)) * cast(123456789012345L as decimal(15,0)) * cast(987654321098765432L as decimal(18,0))) div (cast(123456789012346L as decimal(18,0)) * cast(999999999999999L as decimal(18,0))) as s").first().s
     assert big == 1000 * 123456789012345 * 987654321098765432 // (123456789012346 * 999999999999999)
+
+
+def test_merge_in_pieces():
+    r = np.random.default_rng(3)
+    for bits, head in ((40, 3), (90, 0)):
+        keys = [Q.permute(Q.pack([r.integers(0, 50, 400)] * 2, bits // 2), bits) for _ in range(3)]
+        if head:  # one range of the keys
+            top = np.uint64(Q.widths(bits)[0] - head)
+            keys = [[x[k[0] >> top == 5] for x in k] for k in keys]
+        filters = [Q.encode(*Q.tally(k)[:2], bits, head, 5 if head else 0) for k in keys]
+        want, total, found = Q.merge(filters)
+        for size in (1, 7, 10**6):
+            parts = list(Q.merge_pieces(filters, size))
+            assert size > 7 or len(parts) > 1
+            assert all((np.concatenate([p[0][i] for p in parts]) == x).all() for i, x in enumerate(want))
+            assert (np.concatenate([p[1] for p in parts]) == total).all()
+            before = np.cumsum([0, *(len(p[1]) for p in parts)])
+            for f, place in enumerate(found):
+                assert (np.concatenate([p[2][f] + b for p, b in zip(parts, before, strict=False)]) == place).all()

@@ -246,12 +246,18 @@ def merged(parts: DataFrame, least: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         head, lang, range_ = (table.column(c)[0].as_py() for c in ("head", "lang", "range"))
-        raws = table.column("filter").to_pylist()
-        keys, counts, found = quotient.merge(raws)
-        often = counts >= least
-        rows = [(b, lang, head, range_, np.packbits(often[p]).tobytes()) for b, p in zip(table.column("block").to_pylist(), found, strict=True)]
-        if often.any():
-            rows.append((None, lang, head, range_, quotient.encode([x[often] for x in keys], counts[often], quotient.bits_of(raws[0]), head, range_)))
+        raws = [v.as_buffer() for v in table.column("filter")]
+        told, kept = [[] for _ in raws], []
+        for keys, counts, found in quotient.merge_pieces(raws):
+            often = counts >= least
+            for bits, p in zip(told, found, strict=True):
+                bits.append(often[p])
+            if often.any():
+                kept.append(([x[often] for x in keys], counts[often]))
+        rows = [(b, lang, head, range_, np.packbits(np.concatenate(bits)).tobytes()) for b, bits in zip(table.column("block").to_pylist(), told, strict=True)]
+        if kept:
+            keys = [np.concatenate(x) for x in zip(*(k for k, _ in kept), strict=True)]
+            rows.append((None, lang, head, range_, quotient.encode(keys, np.concatenate([c for _, c in kept]), quotient.bits_of(raws[0]), head, range_)))
         return pa.Table.from_batches([_batch(rows, schema)])
 
     return parts.groupBy("lang", "range").applyInArrow(run, kind)

@@ -188,3 +188,19 @@ def merge(filters: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, list[np.n
     limbs = [np.concatenate(x) for x in zip(*(e[0] for e in each), strict=True)]
     keys, counts, place = tally(limbs, np.concatenate([e[1] for e in each]))
     return keys, counts, np.split(place, np.cumsum([len(e[1]) for e in each])[:-1])
+
+
+def merge_pieces(filters: list[bytes], size: int = 1 << 18):
+    """``merge`` of the filters of one range, about ``size`` entries at a time in order of the
+    keys: nothing but the decoded filters is held whole."""
+    each = [decode(f) for f in filters]
+    _, _, bits, head, range_, _ = (int(v) for v in np.frombuffer(filters[0], np.int64, 6))
+    rest = widths(bits)[0] - head
+    pieces = min(max(1, -(-sum(len(c) for _, c in each) // size)), 1 << rest)
+    bounds = np.array([(range_ << rest) + (k << rest) // pieces for k in range(1, pieces)], U)
+    ends = [np.r_[0, np.searchsorted(keys[0], bounds), len(counts)] for keys, counts in each]
+    for k in range(pieces):
+        part = [([x[e[k] : e[k + 1]] for x in keys], counts[e[k] : e[k + 1]]) for (keys, counts), e in zip(each, ends, strict=True)]
+        limbs = [np.concatenate(x) for x in zip(*(p[0] for p in part), strict=True)]
+        keys, counts, place = tally(limbs, np.concatenate([p[1] for p in part]))
+        yield keys, counts, np.split(place, np.cumsum([len(p[1]) for p in part])[:-1])
