@@ -275,6 +275,22 @@ def test_edited_texts(spark):
     assert winnow.edited(docs.limit(0)).count() == 0
 
 
+def test_entries_of_edited_texts_without_all_minima(spark):
+    """Entries match those of the edited text at every length, and no array with a value for
+    each position passes the sort."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(pool) for _ in range(n)) for n in range(70) for pool in ("a", "ab", "aé🙂b")]
+    rng.shuffle(texts)
+    rows = winnow.edited(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert not re.search(r"\b_w#", rows._jdf.queryExecution().optimizedPlan().toString())
+    got = {r.doc_id: r for r in rows.collect()}
+    for i, t in enumerate(texts):
+        nxt = texts[(i + 1) % len(texts)]
+        text = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        for entries, of in ((got[i].e, t), (got[i].ee, text), (got[i].ne, nxt)):
+            assert [(x >> winnow.PLACE_BITS, winnow.PLACES - (x & winnow.PLACES)) for x in entries] == brute_winnow(of)
+
+
 def test_edited_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(winnow, "BUCKET_DOCS", 3)
     docs = spark.createDataFrame([(i * i * 7 % 1009, f"text number {i} " * 3) for i in range(300)], "doc_id long, text string").dropDuplicates(["doc_id"])

@@ -39,14 +39,14 @@ def minima(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn("_m", F.expr(f"transform(_g, (x, i) -> (xxhash64(x) & {~PLACES}L) + ({PLACES}L - (i & {PLACES})))")).drop("_g")
     step = 1
     while step < W:
-        df = df.withColumn("_m", F.expr(f"transform(_m, (x, i) -> least(x, get(_m, i + {step})))"))
+        df = df.withColumn("_m", F.expr(f"zip_with(_m, slice(_m, {step + 1}, size(_m)), (x, y) -> if(y < x, y, x))"))
         step *= 2
     return df.withColumn(out, F.expr(f"slice(_m, 1, greatest(size(_m) - {W - 1}, least(size(_m), 1)))")).drop("_m")
 
 
 def chosen(minima: str) -> Column:
-    """Entries of a fingerprint: each chosen position once (equal ones are neighbours)."""
-    return F.expr(f"filter({minima}, (x, i) -> i = 0 or x <> get({minima}, i - 1))")
+    """Entries of a fingerprint: each chosen position once, in order."""
+    return F.array_distinct(F.col(minima))
 
 
 def moved(entries: str, by: str) -> str:
@@ -54,6 +54,14 @@ def moved(entries: str, by: str) -> str:
     return f"transform({entries}, x -> x - {by})"
 
 
+def upto(entries: str, n: str, span: str) -> Column:
+    """The entries that the windows within the first ``n`` characters choose; ``span``: the
+    last ``SPAN`` of those.  Chosen positions never fall from window to window, so they are
+    the entries up to the last such window's minimum."""
+    last = f"array_min(transform(sequence(0, {W - 1}), i -> (xxhash64(substring({span}, i + 1, {K})) & {~PLACES}L) + ({PLACES}L - (({n} - {SPAN} + i) & {PLACES}))))"
+    return F.expr(f"if({n} < {SPAN}, cast(array() as array<bigint>), slice({entries}, 1, cast(array_position({entries}, {last}) as int)))")
+
+
 def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """``df`` with ``out``: array of (hash, position) of the text's fingerprint."""
     # the input's columns wait in one struct, so none of them can clash
@@ -71,9 +79,9 @@ def digest(entries: str) -> Column:
 def likeness(a: str, b: str) -> Column:
     """Share of the hashes of both fingerprints that are in both; 1 if both are empty."""
     x, y = (f"transform({v}, e -> shiftright(e, {PLACE_BITS}))" for v in (a, b))
-    both = F.expr(f"size(array_intersect({x}, {y}))").cast("double")
-    either = F.expr(f"size(array_union({x}, {y}))")
-    return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
+    both = F.expr(f"size(array_intersect({x}, {y}))")
+    either = F.expr(f"size(array_distinct({x})) + size(array_distinct({y}))") - both
+    return F.when(either == 0, F.lit(1.0)).otherwise(both.cast("double") / either)
 
 
 def with_next(docs: DataFrame, order: str, payload, n_docs: int, prepare) -> DataFrame:
@@ -117,27 +125,26 @@ def edited(docs: DataFrame) -> DataFrame:
     the next document ``ne``; ``n_chars`` and the edited text.
 
     The edited text is a prefix of the document and a prefix of the next one, so its
-    windows are theirs but for those across the cut, which are computed from
+    entries are theirs but for the windows across the cut, which are computed from
     ``SPAN - 1`` characters on either side."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("_t"))
 
     def prepare(df: DataFrame) -> DataFrame:
-        return minima(df, "_t", "_w").withColumn("e", chosen("_w"))
+        return minima(df, "_t", "_w").withColumn("e", chosen("_w")).drop("_w")
 
-    rows = with_next(src, "doc_id", F.struct("_t", "_w", "e"), src.count(), prepare)
-    rows = rows.select("doc_id", "_t", "_w", "e", F.length("_t").alias("n_chars"), F.col("next._t").alias("_nt"), F.col("next._w").alias("_nw"), F.col("next.e").alias("ne"))
+    rows = with_next(src, "doc_id", F.struct("_t", "e"), src.count(), prepare)
+    rows = rows.select("doc_id", "_t", "e", F.length("_t").alias("n_chars"), F.col("next._t").alias("_nt"), F.col("next.e").alias("ne"))
     rows = rows.withColumn("_half", F.floor(F.col("n_chars") / 2).cast("int"))
-    rows = rows.withColumn("_p", F.col("n_chars") - F.col("_half")).withColumn("_nt", F.expr("substring(_nt, 1, _half)"))
-    rows = rows.withColumn("_q", F.length("_nt")).withColumn("edited", F.expr("concat(substring(_t, 1, _p), _nt)"))
+    rows = rows.withColumn("_p", F.col("n_chars") - F.col("_half"))
+    rows = rows.withColumn("_t", F.expr("substring(_t, 1, _p)")).withColumn("_nt", F.expr("substring(_nt, 1, _half)"))
+    rows = rows.withColumn("_q", F.length("_nt")).withColumn("edited", F.concat("_t", "_nt"))
     # the windows across the cut
     side = SPAN - 1
     rows = rows.withColumn("_from", F.greatest(F.col("_p") - side, F.lit(0)))
-    rows = rows.withColumn("_c", F.expr(f"substring(edited, _from + 1, _p - _from + least(_q, {side}))")).drop("_t", "_nt")
+    rows = rows.withColumn("_c", F.expr(f"substring(edited, _from + 1, _p - _from + least(_q, {side}))"))
+    rows = rows.withColumn("_ts", F.expr(f"substring(_t, _p - {side}, {SPAN})")).withColumn("_ns", F.expr(f"substring(_nt, _q - {side}, {SPAN})")).drop("_t", "_nt")
     rows = minima(rows, "_c", "_cw")
     rows = rows.withColumn("_cw", F.expr(f"if(length(_c) >= {SPAN} or length(_c) = _p + _q, _cw, cast(array() as array<bigint>))"))
-    own = f"slice(_w, 1, greatest(_p - {SPAN - 1}, 0))"
-    rows = rows.withColumn("_a", F.expr(f"concat({own}, {moved('_cw', '_from')})")).drop("_w", "_cw")
-    rows = rows.withColumn("_b", F.expr(f"slice(_nw, 1, greatest(_q - {SPAN - 1}, 0))")).drop("_nw")
-    rows = rows.withColumn("_b", chosen("_b")).withColumn("_a", chosen("_a"))
-    rows = rows.withColumn("_all", F.expr(f"concat(_a, {moved('_b', '_p')})"))
+    rows = rows.withColumn("_a", upto("e", "_p", "_ts")).withColumn("_b", upto("ne", "_q", "_ns"))
+    rows = rows.withColumn("_all", F.expr(f"concat(_a, {moved('_cw', '_from')}, {moved('_b', '_p')})"))
     return rows.withColumn("ee", chosen("_all")).select("doc_id", "n_chars", "edited", "e", "ee", "ne")
