@@ -52,6 +52,19 @@ def test_encoders_match_the_library():
             assert words.encode(t) == ids_of(word, t)
 
 
+def test_words_of_many_texts_are_coded_together(monkeypatch):
+    rng = random.Random(7)
+    pool = ["a", "B", "'re", "'", "  ", "\n", "\t", "é", "ß", "12", "7", "-", "...", "?!", "ing", " The", "end. ", "ª", "\xa0", "×", "İ", "_", "ſ"]
+    odd = [None, "", "  \t ", "\xa0", "<|endoftext|> x", "Σς", "日本語 🙂", "a\x01b \x01", "\x1c", "a\x85b", "z" * 5000]
+    texts = odd + ["".join(rng.choice(pool) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    rng.shuffle(texts)
+    enc, word = bpe.WordEncoder(tokenizer("word_bpe_49k.json")), library("word_bpe_49k.json")
+    assert enc.encode_all(texts) == [ids_of(word, t) for t in texts]
+    assert enc.encode_all([]) == [] and enc.encode_all([None]) == [b""]
+    monkeypatch.setattr(enc, "word", None)  # plain texts take no call a word
+    assert enc.encode_all(["One, two. Three's e\xa0f", "ß9"]) == [ids_of(word, t) for t in ("One, two. Three's e f", "ß9")]
+
+
 def test_transducer_is_stable_in_small_steps():
     m = bpe.Encoder(tokenizer("byte_bpe_50k.json")).m
     rng = random.Random(2)

@@ -26,6 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
@@ -46,6 +47,9 @@ CHUNK = 1 << 16  # characters cut into pre-tokens at a time
 HELD = 3  # characters after a pre-token that can still change it
 CACHED = 500_000  # distinct short pre-tokens remembered per worker
 SHORT = 64  # characters
+WHOLE = 1 << 20  # characters of a text whose parts are numbered with those of others
+MARK = "\x01"  # stands for the end of a word
+LETTERS = "[a-z\xdf-\xf6\xf8-\u024f]+"  # letters to all libraries
 
 
 def byte_names() -> list[str]:
@@ -338,12 +342,59 @@ class WordEncoder(Encoder):
         parts = {bytes([b]): i for b, i in enumerate(self.m.first)} | {bytes([b]) + mark: i for b, i in enumerate(self.m.final)}
         parts |= {self.m.bytes[i] + mark * self.m.ends[i]: i for i in self.m.made}
         self.piece = pieces(parts, WORD_PATTERN).encode_single_piece
+        # plain texts have no MARK, and no part of one a line end, which is its own token here
+        control = {b.removesuffix(mark) + MARK.encode() * b.endswith(mark): i for b, i in parts.items() if b != mark}
+        self.marked = pieces(control, rf"[^\n{MARK}]+{MARK}|\n")
         self.unsettled = regex.compile(rf"[^{SETTLED}]")
         self.parts = Remembered(self._part)
 
     def word(self, word: str) -> bytes:
         return array("I", self.piece(word.encode() + b"\xff")).tobytes()
 
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """``encode`` of every text.  The parts of plain texts are numbered together and the
+        distinct ones coded in one call."""
+        out, at, low = [b""] * len(texts), [], []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if len(text) > WHOLE or UNPLAIN.search(text) or any(s in text for s in self.m.special):
+                out[i] = self.encode(text)
+            else:
+                text = text.lower()
+                at.append(i)
+                low.append(text.replace("\xa0", " "))  # the white space of plain texts that is not ASCII
+        if not at:
+            return out
+        split = pc.ascii_split_whitespace(pa.array(low, pa.large_string()))
+        coded = split.values.dictionary_encode()
+        ids, first, size = self._distinct(coded.dictionary)
+        of = coded.indices.to_numpy()
+        n = size[of]
+        end = np.concatenate([[0], np.cumsum(n)])
+        raw = ids[np.repeat(first[of] - end[:-1], n) + np.arange(end[-1])].tobytes()
+        ends = end[split.offsets.to_numpy()] * 4  # of the texts, in bytes
+        for i, lo, hi in zip(at, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            out[i] = raw[lo:hi]
+        return out
+
+    def _distinct(self, parts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of parts of plain texts, and where each part's begin and how many they are.
+        White space at a text's ends gives empty parts, which have none."""
+        alpha, dotted = [pc.match_substring_regex(parts, f"^{LETTERS}{end}$").to_numpy(zero_copy_only=False) for end in ("", "[.,;:!?]")]
+        kinds = [alpha, dotted, ~(alpha | dotted)]
+        order = np.concatenate([np.flatnonzero(k) for k in kinds])
+        one, two, rest = [parts.filter(pa.array(k)).to_numpy(zero_copy_only=False) for k in kinds]
+        rest = "".join([w + "\n" for w in rest])
+        find = self.any if UNPLAIN.search(rest) else self.plain
+        text = "".join([w + MARK + "\n" for w in one] + [w[:-1] + MARK + w[-1] + MARK + "\n" for w in two]) + find.sub("\\g<0>" + MARK, rest)
+        ids = np.frombuffer(self.marked.encode_to_tiktoken_buffer(text, set()), "<u4")
+        ends = np.flatnonzero(ids == self.m.first[10])
+        first, size = np.empty_like(ends), np.empty_like(ends)
+        first[order] = begin = np.concatenate([[0], ends[:-1] + 1])
+        size[order] = ends - begin
+        return ids, first, size
+
     def _part(self, text: str) -> bytes:
         """Lower-cased text between white space.  No pre-token has white space, so a part's
         ids do not depend on its neighbours."""

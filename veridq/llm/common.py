@@ -74,12 +74,12 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable], schema: str, *cols: s
     return df.select(*cols).mapInArrow(run, kind)
 
 
-def slices(batch: pa.RecordBatch) -> list[tuple[int, int]]:
-    """Row ranges of about SLICE_CHARS bytes each, one row at least."""
+def slices(batch: pa.RecordBatch, chars: int = SLICE_CHARS) -> list[tuple[int, int]]:
+    """Row ranges of about ``chars`` bytes each, one row at least."""
     n = batch.num_rows
     if not n:
         return []
-    step = max(1, int(n * SLICE_CHARS / max(batch.nbytes, 1)))
+    step = max(1, int(n * chars / max(batch.nbytes, 1)))
     return [(i, min(i + step, n)) for i in range(0, n, step)]
 
 

@@ -34,6 +34,7 @@ from veridq.session import new_path
 MAGIC = b"VQTB2\0\0\0"
 BLOCK = 2048  # ids in a block
 LANES = 4096  # blocks in a segment, about
+TEXTS = 16_000_000  # characters encoded together, about
 SLOTS1, SLOTS2 = 9, 10  # bits of the context tables
 HEAD = struct.Struct("<8sIIQII")
 
@@ -75,7 +76,7 @@ class Lanes:
         low, span = self.LEAST, self.MOST - self.LEAST
         self.p2[self.s] = f2 + ((low + hit2 * span - f2) >> 4)
         self.p1[self.s] = self.q1 + ((low + hit1 * span - self.q1) >> 4) * (1 - hit2) * self.other
-        step = hit2 * (1 + (self.c < 3)) - 1
+        step = hit2 * (1 + (self.c < 3).astype(np.int32)) - 1
         self.t2[self.i2] = np.where((hit2 | self.c) > 0, self.e2 + step, x << 2)
         self.t1[self.i1] = x
         self.a, self.b = self.b, x * np.int64(40503)
@@ -93,23 +94,24 @@ def table_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return used, share
 
 
+LEAST_RANGE = np.uint64(1 << 48)
+U12, U16, U20, U48 = np.uint64(12), np.uint64(16), np.uint64(20), np.uint64(48)
+ALL, LOW20 = np.uint64(65536), np.uint64((1 << 20) - 1)
+
+
 class Order0:
     """Shares and starts, and the id at each of the 65536 places."""
 
     def __init__(self, used: np.ndarray, share: np.ndarray):
-        self.share = np.zeros(int(used[-1]) + 1, dtype=np.uint64)
-        self.share[used] = share.astype(np.uint64)
-        self.start = np.concatenate([[0], np.cumsum(self.share)[:-1]]).astype(np.uint64)
+        of = np.zeros(int(used[-1]) + 1, dtype=np.uint64)
+        of[used] = share.astype(np.uint64)
+        self.both = (np.cumsum(of) - of) << U20 | of  # a share has 17 bits at most
         self.at = np.repeat(used, share).astype(np.int32)
 
     def place(self, x: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and share of 65536; an id predicted by a higher order has it all."""
-        miss = rest > 0
-        return np.where(miss, self.start.take(x), 0), np.where(miss, self.share.take(x), 65536)
-
-
-LEAST_RANGE = np.uint64(1 << 48)
-U12, U16, U48 = np.uint64(12), np.uint64(16), np.uint64(48)
+        both = np.where(rest > 0, self.both.take(x), ALL)
+        return both >> U20, both & LOW20
 
 
 def _shares(f2: np.ndarray, f1: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +213,7 @@ def decode_blocks(used: np.ndarray, share: np.ndarray, blocks: list[bytes], tota
             few = few[rg < LEAST_RANGE]
         grid[t] = x
         m.learn(x, f2, hit2, hit1)
-    out = np.zeros(n * BLOCK, dtype=np.int64)
+    out = np.zeros(n * BLOCK, dtype=np.uint32)
     out.reshape(n, BLOCK)[:, : len(grid)] = grid.T
     return out[:total]
 
@@ -247,7 +249,7 @@ def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
     sums = np.frombuffer(data, "<u4", 2 * n, at).reshape(n, 2)
     ends = at + 8 * n + np.cumsum(sums[:, 0].astype(np.int64))
     blocks = [data[e - int(s) : e] for e, s in zip(ends.tolist(), sums[:, 0], strict=True)]
-    ids = decode_blocks(used, share, blocks, total).astype("<u4")
+    ids = decode_blocks(used, share, blocks, total).astype("<u4", copy=False)
     for i in range(n):
         if zlib.crc32(ids[i * BLOCK : (i + 1) * BLOCK].tobytes()) != sums[i, 1]:
             raise ValueError(f"block {i} is damaged")
@@ -273,10 +275,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, arrow, strict=True)], schema=arrow)
 
         for batch in batches:
-            for lo, hi in slices(batch):
-                cols = [c.slice(lo, hi - lo).to_pylist() for c in batch.columns[:2]]
-                for d, t in zip(*cols, strict=True):
-                    ids = enc.encode(t) + end
+            for lo, hi in slices(batch, TEXTS):
+                ids_of, texts = [c.slice(lo, hi - lo).to_pylist() for c in batch.columns[:2]]
+                for d, ids in zip(ids_of, enc.encode_all(texts), strict=True):
+                    ids += end
                     held.append((d, ids))
                     size += len(ids) // 4
                     if size >= LANES * BLOCK:
