@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from veridq import spec
 from veridq.functions import exprs as X
 from veridq.operators import clean as C
+from veridq.operators import gate as G
 from veridq.operators import lineage as L
 from veridq.operators import mask as MK
 from veridq.operators import validate as V
@@ -47,6 +48,28 @@ def test_pipeline_stores_a_given_table_once(spark, tmp_path):
     assert same(spark.read.parquet(str(tmp_path / "run" / "_input")), df)
 
 
+def test_gate_counts_the_failures_that_validation_found(spark, tmp_path, monkeypatch):
+    df = rows(spark, str(tmp_path / "rows"))
+    want = G.stage(df, str(tmp_path / "alone"), "b", max_failure_rate=1.0)
+
+    def again(*a, **k):
+        raise AssertionError("the rules run a second time")
+
+    with monkeypatch.context() as m:
+        m.setattr(V, "with_failures", again)
+        res = run_pipeline(spark, df, out_dir=str(tmp_path / "run"), publish_dir=str(tmp_path / "store"), max_failure_rate=1.0)
+    assert res.status == "SUCCESS"
+    (got,) = G.batches(spark, str(tmp_path / "store")).collect()
+    assert (got.n_rows, got.n_failed, got.gate) == (want.n_rows, want.n_failed, want.gate) and got.n_failed > 0
+    for view in (G.published, G.quarantined):
+        assert same(view(spark, str(tmp_path / "store")).drop("batch"), view(spark, str(tmp_path / "alone")).drop("batch"))
+
+    with monkeypatch.context() as m:  # a failed validation takes nothing from the gate
+        m.setattr(V, "check", again)
+        held = run_pipeline(spark, df, out_dir=str(tmp_path / "held"), publish_dir=str(tmp_path / "other"))
+    assert held.status == "HELD" and [s[2] for s in held.stages if s[1] in ("validate", "gate")] == ["FAILED", "HELD"]
+
+
 def test_audit_reads_the_rows_twice(spark, tmp_path):
     df = rows(spark, str(tmp_path / "rows"))
     assert plan(C.audit(df)).count("Relation") == 2  # first rows per key, and the entries
