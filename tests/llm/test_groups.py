@@ -394,3 +394,45 @@ def test_pipeline_stages(spark):
 
 def exact_key(t):
     return "".join(c.lower() if c.isascii() else c for c in t or "")
+
+
+def test_lines_of_an_open_bucket_are_not_compared_pair_by_pair(monkeypatch):
+    import random
+
+    import numpy as np
+
+    from veridq.llm import linededup as L
+
+    r = random.Random(8)
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    base = [" ".join(r.choice(words) for _ in range(8)) for _ in range(12)]
+    rows = []
+    for i in range(60):
+        text = list(r.choice(base))
+        for _ in range(r.randint(0, 5)):
+            text[r.randrange(len(text))] = r.choice("xyz")
+        rows.append((100 + i, 100 + i // 2, "".join(text)))
+    rows.append((99, 7, "q"))  # shares no shingle
+    sets = [L.shingle_set(t) for _, _, t in rows]
+    root, want = {}, []
+
+    def find(v):
+        while root.get(v, v) != v:
+            v = root[v]
+        return v
+
+    for x in range(len(rows)):
+        for y in range(x):
+            a, b, met = find(rows[x][1]), find(rows[y][1]), len(np.intersect1d(sets[x], sets[y]))
+            if a != b and 100 * met >= L.SIMILAR * (len(sets[x]) + len(sets[y]) - met):
+                root[max(a, b)] = min(a, b)
+                want.append((rows[y][0], rows[x][0]))
+
+    def one_pair(*a):
+        raise AssertionError("a pair is compared on its own")
+
+    monkeypatch.setattr(L, "similar", one_pair)
+    for columns in (7, 4096):
+        monkeypatch.setattr(L, "COLUMNS", columns, raising=False)
+        assert L._linked(rows) == want and want
+    assert L._linked([]) == [] == L._linked(rows[:1])

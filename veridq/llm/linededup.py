@@ -43,6 +43,7 @@ K = 8
 BANDS, ROWS = 8, 3
 SIMILAR = 80  # per cent
 BLOCK = 256  # lines of an open bucket on either side of a comparison
+COLUMNS = 4096  # shingles in a product of matrices
 TEXT_BLOCK = 2_000_000  # characters in a block of texts
 LINE_BITS = 20  # lines in a block of texts, as bits
 SEGMENT = 1 << 16  # positions hashed at once
@@ -141,7 +142,7 @@ def _each(lines: list[str]) -> Iterator[list[np.ndarray]]:
         lo = hi
 
 
-def near(n: int, m: int, met: int) -> bool:
+def near(n, m, met):
     """Whether sets of n and m shingles with ``met`` in common are similar enough."""
     return 100 * met >= SIMILAR * (n + m - met)
 
@@ -341,15 +342,37 @@ def _linked(rows: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
         return v
 
     out = []
-    for x in range(len(rows)):
-        for y in range(x):
-            a, b = find(rows[x][1]), find(rows[y][1])
-            if a != b and similar(sets[x], sets[y]):
-                root[max(a, b)] = min(a, b)
-                out.append((rows[y][0], rows[x][0]))
+    for x, y in zip(*_close(sets), strict=True):
+        a, b = find(rows[x][1]), find(rows[y][1])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((rows[y][0], rows[x][0]))
     return out
 
 
+def _close(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """The pairs x > y of similar sets.  A pair's common shingles are counted by a product of
+    matrices, ``COLUMNS`` shingles at a time; those of one set alone have no column."""
+    if len(sets) < 2:
+        return [], []
+    size = np.array([len(s) for s in sets])
+    flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat)
+    flat, of = flat[order], of[order]
+    new = np.r_[True, flat[1:] != flat[:-1]]
+    shared = ~(new & np.r_[new[1:], True])
+    column, of = np.cumsum(new[shared]) - 1, of[shared]
+    met = np.zeros((len(sets), len(sets)), np.int64)
+    columns = int(column[-1]) + 1 if len(column) else 0
+    for lo in range(0, columns, COLUMNS):
+        first, end = np.searchsorted(column, (lo, lo + COLUMNS))
+        has = np.zeros((len(sets), min(COLUMNS, columns - lo)), np.float32)  # sums up to COLUMNS are exact
+        has[of[first:end], column[first:end] - lo] = 1
+        met += (has @ has.T).astype(np.int64)
+    x, y = np.nonzero(np.tril(near(size[:, None], size[None, :], met), -1))
+    return x.tolist(), y.tolist()
+
+
 def _links(docs: DataFrame, path: str, same: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Confirmed links (a, b), buckets (key, rid) of several lines, and the lines' texts.
     ``same(a, b)``: texts b that equal a, of another block; a stands for them."""
